@@ -124,22 +124,26 @@ class Data:
             return self.raw(name)
         return self.sql(FIXTURES[name])
 
+    def split(self, df: DataFrame) -> DataFrame:
+        """Small derived tables in as many pieces as there are cores, like a stored table."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
+
     # -- with geometry
     def parcels(self) -> DataFrame:
-        return self["parcel"].withColumn("geom", G.rectangle("x0", "y0", "x1", "y1"))
+        return self.split(self["parcel"]).withColumn("geom", G.rectangle("x0", "y0", "x1", "y1"))
 
     def useareas(self) -> DataFrame:
-        return self["usearea"].withColumn("geom", G.rectangle("x0", "y0", "x1", "y1"))
+        return self.split(self["usearea"]).withColumn("geom", G.rectangle("x0", "y0", "x1", "y1"))
 
     def polylines(self) -> DataFrame:
         """One axis-parallel line per order."""
         from pyspark.sql import functions as F
         steps = self["steps"].groupBy("oid").agg(F.array_sort(F.collect_list(F.struct("k", "y"))).alias("s"))
-        ys = F.concat(F.array(F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("y"))), F.col("s"))
-        legs = F.transform(F.col("s"), lambda st, i: F.array(
-            G.vertex(st["k"] * 10, F.get(ys, i)["y"]), G.vertex(st["k"] * 10, st["y"])))
-        path = F.concat(F.array(G.vertex(0, 0)), F.flatten(legs))
-        return steps.select("oid", G.drop_repeated(path).alias("part"))
+        base = F.array(F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("y")))
+        leg = lambda p, q: F.array(G.vertex(q["k"] * 10, p["y"]), G.vertex(q["k"] * 10, q["y"]))
+        legs = F.flatten(F.zip_with(F.concat(base, F.slice("s", 1, F.size("s") - 1)), F.col("s"), leg))
+        path = G.let(F.concat(F.array(G.vertex(0, 0)), legs), G.drop_repeated)
+        return self.split(steps.select("oid", path.alias("part")))
 
 
 def with_fixtures(body: str, *names: str) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .fixtures import Data, with_fixtures
 
+MODULES = ("q_history", "q_relational", "q_geometry")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,9 +26,5 @@ def query(name: str, oracle: str | None = None, fixtures: tuple[str, ...] = ()):
 
 def load() -> None:
     from importlib import import_module
-    for m in ("q_history", "q_relational", "q_geometry", "q_rules", "q_register", "q_ingest"):
-        try:
-            import_module(f"landloom.checks.{m}")
-        except ModuleNotFoundError as e:
-            if f"checks.{m}" not in str(e):
-                raise
+    for m in MODULES:
+        import_module(f"landloom.checks.{m}")

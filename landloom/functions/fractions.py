@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 NUM = "decimal(38,0)"
 FRAC = f"struct<n:{NUM},d:{NUM}>"
 EUCLID_STEPS = 190  # enough for any two 38-digit numbers
-SALTS = 32
+SALTS = 8
 
 
 def _frac(n: Column, d: Column) -> Column:
@@ -34,16 +34,12 @@ def add(a: Column, b: Column) -> Column:
     return F.when(a["d"] == b["d"], _frac(F.try_add(a["n"], b["n"]), a["d"])).otherwise(cross)
 
 
-def _fold(parts: Column, reduce: bool) -> Column:
+def _fold(parts: Column) -> Column:
+    """Plain sum; where 38 digits do not hold it, the sum reduced at every step."""
     zero = _frac(F.lit(0), F.lit(1))
-
-    def step(s, f):
-        plain = add(s, f)
-        if not reduce:
-            return plain
-        return reduced(plain)
-
-    return F.aggregate(parts, zero, step)
+    plain = F.aggregate(parts, zero, add)
+    careful = F.aggregate(parts, zero, lambda s, f: reduced(add(s, f)))
+    return F.when(plain["n"].isNotNull() & plain["d"].isNotNull(), plain).otherwise(careful)
 
 
 def as_text(f: Column) -> Column:
@@ -57,23 +53,16 @@ def sum_fractions(df: DataFrame, keys: list[str], num: str, den: str,
     Equal denominators are summed first (with map-side combine), the distinct
     denominators of a group are folded in salted parts and the parts joined, so
     no group is held as a whole.  ``reduce=False`` keeps unreduced fractions and
-    falls back to reduced ones only where 38 digits do not hold the product.
+    reduces only where 38 digits do not hold the product.
     """
     n = F.coalesce(F.col(num), F.lit(1)).cast(NUM)
     d = F.coalesce(F.col(den), F.lit(1)).cast(NUM)
     by_den = (df.select(*keys, n.alias("_n"), d.alias("_d"))
               .groupBy(*keys, "_d").agg(F.sum("_n").cast(NUM).alias("_n")))
     salt = F.pmod(F.xxhash64("_d"), F.lit(SALTS))
-    lists = (by_den.groupBy(*keys, salt.alias("_s"))
-             .agg(F.array_sort(F.collect_list(_frac(F.col("_d"), F.col("_n")))).alias("_l")))
-    flipped = F.transform("_l", lambda p: _frac(p["d"], p["n"]))  # sorted by denominator
-    parts = lists.select(
-        *keys, "_s", _fold(flipped, reduce).alias("_f"), _fold(flipped, True).alias("_r"))
-    total = parts.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_s", "_f", "_r"))).alias("_l"))
-    whole = _fold(F.transform("_l", lambda p: p["_r"]), True)
-    if reduce:
-        return total.select(*keys, as_text(whole).alias(out))
-    plain = _fold(F.transform("_l", lambda p: p["_f"]), False)
-    ok = plain["n"].isNotNull() & plain["d"].isNotNull()
-    return total.select(*keys, F.when(ok, as_text(plain)).otherwise(as_text(whole)).alias(out))
+    lists = by_den.groupBy(*keys, salt.alias("_s")).agg(
+        F.array_sort(F.collect_list(F.struct("_d", "_n"))).alias("_l"))  # by denominator
+    parts = lists.select(*keys, "_s", _fold(F.transform("_l", lambda p: _frac(p["_n"], p["_d"]))).alias("_f"))
+    total = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_s", "_f"))).alias("_l"))
+    whole = total.select(*keys, _fold(F.transform("_l", lambda p: p["_f"])).alias("_f"))
+    return whole.select(*keys, as_text(reduced(F.col("_f")) if reduce else F.col("_f")).alias(out))

@@ -91,6 +91,11 @@ def vertices(g) -> Column:
     return F.flatten(col(g)["parts"])
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once per row, not once per use."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 # -- measures -------------------------------------------------------------
 
 def total(arr: Column, f) -> Column:
@@ -123,9 +128,12 @@ def seg_length(e: Column) -> Column:
 
 def ring_area2(ring: Column) -> Column:
     """Twice the signed area, relative to the first vertex."""
-    x0, y0 = ring[0]["x"], ring[0]["y"]
-    cross = lambda e: (e["a"]["x"] - x0) * (e["b"]["y"] - y0) - (e["b"]["x"] - x0) * (e["a"]["y"] - y0)
-    return total(segments(ring), cross)
+    def shoelace(o):
+        cross = lambda e: ((e["a"]["x"] - o["x"]) * (e["b"]["y"] - o["y"])
+                           - (e["b"]["x"] - o["x"]) * (e["a"]["y"] - o["y"]))
+        return total(segments(ring), cross)
+
+    return let(start_vertex(ring), shoelace)
 
 
 def area(g) -> Column:
@@ -149,57 +157,66 @@ def npoints(g) -> Column:
 
 def bbox(g) -> Column:
     """Struct xmin, ymin, xmax, ymax."""
-    v = vertices(g)
-    xs, ys = F.transform(v, lambda p: p["x"]), F.transform(v, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-                    F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+    def box(v):
+        xs, ys = F.transform(v, lambda p: p["x"]), F.transform(v, lambda p: p["y"])
+        return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
+                        F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+
+    return let(vertices(g), box)
 
 
 def centroid(g) -> Column:
     """Centre of mass by the highest dimension present; fallback mean vertex."""
     g = col(g)
     v = vertices(g)
-    x0, y0 = v[0]["x"], v[0]["y"]
-    es = edges(g)
 
-    def acc(weight, fx, fy):
+    def weighted(o, es, weight, share):
         zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-        return F.aggregate(es, zero, lambda s, e: F.struct(
-            (s["w"] + weight(e)).alias("w"), (s["x"] + weight(e) * fx(e)).alias("x"),
-            (s["y"] + weight(e) * fy(e)).alias("y")))
-
-    rel = lambda e, p, ax, o: e[p][ax] - o
-    cross = lambda e: rel(e, "a", "x", x0) * rel(e, "b", "y", y0) - rel(e, "b", "x", x0) * rel(e, "a", "y", y0)
-    poly = acc(cross, lambda e: (rel(e, "a", "x", x0) + rel(e, "b", "x", x0)) / 3,
-               lambda e: (rel(e, "a", "y", y0) + rel(e, "b", "y", y0)) / 3)
-    lin = acc(seg_length, lambda e: (rel(e, "a", "x", x0) + rel(e, "b", "x", x0)) / 2,
-              lambda e: (rel(e, "a", "y", y0) + rel(e, "b", "y", y0)) / 2)
-    mean = point(total(v, lambda p: p["x"] - x0) / F.size(v) + x0,
-                 total(v, lambda p: p["y"] - y0) / F.size(v) + y0, g["srid"])
-    at = lambda s: point(s["x"] / s["w"] + x0, s["y"] / s["w"] + y0, g["srid"])
-    return (F.when(F.size(v) == 0, F.lit(None).cast(GEOM))
-            .when(is_polygon(g) & (F.abs(poly["w"]) > 1e-9), at(poly))
-            .when(~is_point(g) & (lin["w"] > 0), at(lin))
-            .when(g.isNotNull(), mean))
+
+        def step(s, e):
+            return let(weight(e), lambda w: F.struct(
+                (s["w"] + w).alias("w"),
+                (s["x"] + w * (e["a"]["x"] + e["b"]["x"] - 2 * o["x"]) / share).alias("x"),
+                (s["y"] + w * (e["a"]["y"] + e["b"]["y"] - 2 * o["y"]) / share).alias("y")))
+
+        return F.aggregate(es, zero, step)
+
+    def place(o):
+        cross = lambda e: ((e["a"]["x"] - o["x"]) * (e["b"]["y"] - o["y"])
+                           - (e["b"]["x"] - o["x"]) * (e["a"]["y"] - o["y"]))
+        at = lambda s: point(s["x"] / s["w"] + o["x"], s["y"] / s["w"] + o["y"], g["srid"])
+        mean = point(total(v, lambda p: p["x"] - o["x"]) / F.size(v) + o["x"],
+                     total(v, lambda p: p["y"] - o["y"]) / F.size(v) + o["y"], g["srid"])
+        on_line = lambda: let(weighted(o, edges(g), seg_length, 2), lambda s: F.when(s["w"] > 0, at(s)).otherwise(mean))
+        by_area = let(weighted(o, edges(g), cross, 3), lambda s: F.when(F.abs(s["w"]) > 1e-9, at(s)))
+        return (F.when(is_polygon(g), F.coalesce(by_area, on_line()))
+                .when(is_line(g), on_line()).otherwise(mean))
+
+    return F.when(F.size(v) > 0, let(start_vertex(v), place))
 
 
 def point_on_surface(g) -> Column:
     """Middle of the widest inside span on a horizontal scan line, fallback centroid."""
     g = col(g)
-    ys = F.array_sort(F.array_distinct(F.transform(vertices(g), lambda p: p["y"])))
-    mid = (F.array_min(ys) + F.array_max(ys)) / 2
-    below = F.array_max(F.filter(ys, lambda y: y <= mid))
-    above = F.array_min(F.filter(ys, lambda y: y > mid))
-    scan = (below + above) / 2  # never through a vertex
-    crossed = F.filter(edges(g), lambda e: (e["a"]["y"] < scan) != (e["b"]["y"] < scan))
-    xs = F.array_sort(F.transform(crossed, lambda e: e["a"]["x"] + (scan - e["a"]["y"])
-                                  * (e["b"]["x"] - e["a"]["x"]) / (e["b"]["y"] - e["a"]["y"])))
-    n = F.size(xs)
-    odd = lambda start: F.filter(F.transform(xs, lambda x, i: F.when(i % 2 == start, x)), lambda x: x.isNotNull())
-    spans = F.zip_with(odd(0), odd(1), lambda a, b: F.struct((b - a).alias("w"), ((a + b) / 2).alias("x")))
-    widest = F.array_max(spans)
-    c = centroid(g)
-    return F.when(is_polygon(g) & (n >= 2), point(widest["x"], scan, g["srid"])).otherwise(c)
+
+    def scan_height(ys):
+        mid = (F.array_min(ys) + F.array_max(ys)) / 2
+        below = F.array_max(F.filter(ys, lambda y: y <= mid))
+        above = F.array_min(F.filter(ys, lambda y: y > mid))
+        return (below + above) / 2  # never through a vertex
+
+    def widest(y):
+        crossed = F.filter(edges(g), lambda e: (e["a"]["y"] < y) != (e["b"]["y"] < y))
+        xs = F.array_sort(F.transform(crossed, lambda e: e["a"]["x"] + (y - e["a"]["y"])
+                                      * (e["b"]["x"] - e["a"]["x"]) / (e["b"]["y"] - e["a"]["y"])))
+        half = lambda xs, r: F.filter(F.transform(xs, lambda x, i: F.when(i % 2 == r, x)), lambda x: x.isNotNull())
+        span = lambda a, b: F.struct((b - a).alias("w"), ((a + b) / 2).alias("x"))
+        best = let(xs, lambda xs: F.array_max(F.zip_with(half(xs, 0), half(xs, 1), span)))
+        return let(best, lambda s: F.when(s.isNotNull(), point(s["x"], y, g["srid"])))
+
+    heights = F.array_distinct(F.transform(vertices(g), lambda p: p["y"]))
+    inside = let(let(heights, scan_height), widest)
+    return F.when(is_polygon(g), F.coalesce(inside, centroid(g))).otherwise(centroid(g))
 
 
 # -- transforms -----------------------------------------------------------
@@ -275,22 +292,26 @@ def part_length(part: Column) -> Column:
 
 def interpolate(part: Column, fraction: Column) -> Column:
     """Vertex at a fraction of the line's length."""
-    want = F.least(F.greatest(num(fraction), F.lit(0.0)), F.lit(1.0)) * part_length(part)
-    first = start_vertex(part)
-    zero = F.struct(F.lit(0.0).alias("s"), first["x"].alias("x"), first["y"].alias("y"), (want <= 0).alias("hit"))
+    share = F.least(F.greatest(num(fraction), F.lit(0.0)), F.lit(1.0))
+
+    def walk(want):
+        first = start_vertex(part)
+        zero = F.struct(F.lit(0.0).alias("s"), first["x"].alias("x"), first["y"].alias("y"), (want <= 0).alias("hit"))
 
-    def step(st, e):
-        ln = seg_length(e)
-        t = F.when(ln > 0, (want - st["s"]) / ln).otherwise(0.0)
-        hit = (st["s"] + ln >= want) & (ln > 0)
-        return F.when(st["hit"], st).otherwise(F.struct(
-            (st["s"] + ln).alias("s"),
-            F.when(hit, e["a"]["x"] + (e["b"]["x"] - e["a"]["x"]) * t).otherwise(e["b"]["x"]).alias("x"),
-            F.when(hit, e["a"]["y"] + (e["b"]["y"] - e["a"]["y"]) * t).otherwise(e["b"]["y"]).alias("y"),
-            hit.alias("hit")))
+        def step(st, e):
+            def advance(ln):
+                t = (want - st["s"]) / ln
+                hit = (ln > 0) & (st["s"] + ln >= want)
+                return F.when(hit, F.struct((st["s"] + ln).alias("s"), (e["a"]["x"] + (e["b"]["x"] - e["a"]["x"]) * t).alias("x"),
+                                            (e["a"]["y"] + (e["b"]["y"] - e["a"]["y"]) * t).alias("y"), F.lit(True).alias("hit"))
+                              ).otherwise(F.struct((st["s"] + ln).alias("s"), e["b"]["x"].alias("x"), e["b"]["y"].alias("y"),
+                                                   F.lit(False).alias("hit")))
 
-    done = F.aggregate(segments(part), zero, step)
-    return vertex(done["x"], done["y"])
+            return F.when(st["hit"], st).otherwise(let(seg_length(e), advance))
+
+        return let(F.aggregate(segments(part), zero, step), lambda st: vertex(st["x"], st["y"]))
+
+    return let(share * part_length(part), walk)
 
 
 def offset_line(part: Column, offs) -> Column:
@@ -301,32 +322,39 @@ def offset_line(part: Column, offs) -> Column:
     without length comes back unchanged.
     """
     d = num(offs)
-    clean = drop_repeated(part)
-    n = F.size(clean)
 
-    def normal(i, j):
-        a, b = F.get(clean, i), F.get(clean, j)
-        ln = dist(a["x"], a["y"], b["x"], b["y"])
-        return F.struct((-(b["y"] - a["y"]) / ln).alias("x"), ((b["x"] - a["x"]) / ln).alias("y"))
+    def normal(e):
+        return let(seg_length(e), lambda ln: F.struct((-(e["b"]["y"] - e["a"]["y"]) / ln).alias("x"),
+                                                      ((e["b"]["x"] - e["a"]["x"]) / ln).alias("y")))
+
+    def shift(clean):
+        n = F.size(clean)
+
+        def corners(normals):
+            def corner(p, i):
+                before, after = F.get(normals, F.greatest(i - 1, F.lit(0))), F.get(normals, F.least(i, n - 2))
 
-    def shifted(p, i):
-        before = normal(F.greatest(i - 1, F.lit(0)), F.greatest(i, F.lit(1)))
-        after = normal(F.least(i, n - 2), F.least(i + 1, n - 1))
-        k = F.lit(1.0) + before["x"] * after["x"] + before["y"] * after["y"]
-        mitred = vertex(p["x"] + d * (before["x"] + after["x"]) / k, p["y"] + d * (before["y"] + after["y"]) / k)
-        plain = vertex(p["x"] + d * before["x"], p["y"] + d * before["y"])
-        return F.when(k > 1e-9, mitred).otherwise(plain)
+                def mitre(k):
+                    plain = vertex(p["x"] + d * before["x"], p["y"] + d * before["y"])
+                    return F.when(k > 1e-9, vertex(p["x"] + d * (before["x"] + after["x"]) / k,
+                                                   p["y"] + d * (before["y"] + after["y"]) / k)).otherwise(plain)
 
-    moved = F.transform(clean, shifted)
-    return F.when((n < 2) | (d == 0), part).when(d < 0, F.reverse(moved)).otherwise(moved)
+                return let(F.lit(1.0) + before["x"] * after["x"] + before["y"] * after["y"], mitre)
+
+            return F.transform(clean, corner)
+
+        moved = let(F.transform(segments(clean), normal), corners)
+        return F.when((n < 2) | (d == 0), part).when(d < 0, F.reverse(moved)).otherwise(moved)
+
+    return let(drop_repeated(part), shift)
 
 
 def flat_buffer(part: Column, width, srid=25832) -> Column:
     """Polygon around a line without caps: left side forward, right side back."""
     w = num(width)
-    ring = F.concat(offset_line(part, -w), offset_line(part, w))
-    closed = F.concat(ring, F.slice(ring, 1, 1))
-    return F.when(F.size(drop_repeated(part)) >= 2, geom("POLYGON", F.array(oriented(closed)), srid))
+    both = F.concat(offset_line(part, -w), offset_line(part, w))
+    ring = let(both, lambda r: F.concat(r, F.slice(r, 1, 1)))
+    return F.when(part_length(part) > 0, geom("POLYGON", F.array(let(ring, lambda r: oriented(r))), srid))
 
 
 # -- predicates -----------------------------------------------------------
@@ -349,15 +377,13 @@ def on_segment(e: Column, x: Column, y: Column, eps: float = 1e-9) -> Column:
 
 
 def in_ring(ring: Column, x: Column, y: Column) -> Column:
-    es = segments(ring)
-    return (_crossings(es, x, y) % 2 == 1) | F.exists(es, lambda e: on_segment(e, x, y))
+    return let(segments(ring), lambda es: (_crossings(es, x, y) % 2 == 1) | F.exists(es, lambda e: on_segment(e, x, y)))
 
 
 def covers_point(g, x, y) -> Column:
     """Point inside a polygon or on its border."""
     x, y = num(x), num(y)
-    es = edges(g)
-    return (_crossings(es, x, y) % 2 == 1) | F.exists(es, lambda e: on_segment(e, x, y))
+    return let(edges(g), lambda es: (_crossings(es, x, y) % 2 == 1) | F.exists(es, lambda e: on_segment(e, x, y)))
 
 
 def segment_distance(e: Column, x: Column, y: Column) -> Column:
@@ -390,7 +416,7 @@ def segments_touch(e: Column, f: Column) -> Column:
 def intersects(g, h) -> Column:
     """Shares at least one point; borders count."""
     g, h = col(g), col(h)
-    touch = F.exists(edges(g), lambda e: F.exists(edges(h), lambda f: segments_touch(e, f)))
+    touch = let(edges(h), lambda hs: F.exists(edges(g), lambda e: F.exists(hs, lambda f: segments_touch(e, f))))
     g0, h0 = vertices(g)[0], vertices(h)[0]
     inside = ((is_polygon(g) & covers_point(g, h0["x"], h0["y"]))
               | (is_polygon(h) & covers_point(h, g0["x"], g0["y"])))
@@ -409,40 +435,46 @@ def intersection_area(g, h) -> Column:
     area is the signed sum, over edge pairs, of the area under the lower edge.
     """
     g, h = col(g), col(h)
-    v0 = vertices(g)[0]
-    base = F.least(bbox(g)["ymin"], bbox(h)["ymin"])
 
-    def flat(geo):
+    def flat(geo, o, base):
         """Edges left to right with their sign, local coordinates; vertical ones drop out."""
-        loc = F.transform(edges(geo), lambda e: F.struct(
-            (e["a"]["x"] - v0["x"]).alias("ax"), (e["a"]["y"] - base).alias("ay"),
-            (e["b"]["x"] - v0["x"]).alias("bx"), (e["b"]["y"] - base).alias("by")))
-        loc = F.filter(loc, lambda e: e["ax"] != e["bx"])
-        fwd = lambda e: e["ax"] < e["bx"]
-        return F.transform(loc, lambda e: F.struct(
-            F.when(fwd(e), 1.0).otherwise(-1.0).alias("s"),
-            F.when(fwd(e), e["ax"]).otherwise(e["bx"]).alias("x0"),
-            F.when(fwd(e), e["ay"]).otherwise(e["by"]).alias("y0"),
-            F.when(fwd(e), e["bx"]).otherwise(e["ax"]).alias("x1"),
-            ((e["by"] - e["ay"]) / (e["bx"] - e["ax"])).alias("m")))
+        def one(e):
+            fwd = e["a"]["x"] < e["b"]["x"]
+            lo, hi = F.when(fwd, e["a"]).otherwise(e["b"]), F.when(fwd, e["b"]).otherwise(e["a"])
+            return F.struct(F.when(fwd, 1.0).otherwise(-1.0).alias("s"), (lo["x"] - o["x"]).alias("x0"),
+                            (lo["y"] - base).alias("y0"), (hi["x"] - o["x"]).alias("x1"),
+                            ((hi["y"] - lo["y"]) / (hi["x"] - lo["x"])).alias("m"))
+
+        return F.transform(F.filter(edges(geo), lambda e: e["a"]["x"] != e["b"]["x"]), one)
 
     def term(e, f):
-        a, b = F.greatest(e["x0"], f["x0"]), F.least(e["x1"], f["x1"])
         at = lambda s, x: s["y0"] + s["m"] * (x - s["x0"])
-        ea, eb, fa, fb = at(e, a), at(e, b), at(f, a), at(f, b)
-        da, db = ea - fa, eb - fb
-        la, lb = F.least(ea, fa), F.least(eb, fb)
-        straight = (b - a) * (la + lb) / 2
-        t = da / (da - db)
-        yc = ea + t * (eb - ea)
-        broken = (b - a) * (t * (la + yc) + (1 - t) * (yc + lb)) / 2
-        return F.when(a >= b, 0.0).otherwise(
-            e["s"] * f["s"] * F.when(da * db >= 0, straight).otherwise(broken))
-
-    fh = flat(h)
-    summed = F.aggregate(flat(g), F.lit(0.0), lambda s, e: s + F.aggregate(
-        fh, F.lit(0.0), lambda t, f: t + term(e, f)))
-    return F.when(is_polygon(g) & is_polygon(h), F.greatest(F.abs(summed), F.lit(0.0)))
+
+        def piece(r):
+            ea, eb, fa, fb = at(e, r["a"]), at(e, r["b"]), at(f, r["a"]), at(f, r["b"])
+            return let(F.struct(ea.alias("ea"), eb.alias("eb"), fa.alias("fa"), fb.alias("fb"), (r["b"] - r["a"]).alias("w")), under)
+
+        def under(q):
+            da, db = q["ea"] - q["fa"], q["eb"] - q["fb"]
+            la, lb = F.least(q["ea"], q["fa"]), F.least(q["eb"], q["fb"])
+            t = da / (da - db)
+            yc = q["ea"] + t * (q["eb"] - q["ea"])
+            return F.when(da * db >= 0, q["w"] * (la + lb) / 2).otherwise(
+                q["w"] * (t * (la + yc) + (1 - t) * (yc + lb)) / 2)
+
+        span = F.struct(F.greatest(e["x0"], f["x0"]).alias("a"), F.least(e["x1"], f["x1"]).alias("b"))
+        apart = (e["x0"] >= f["x1"]) | (f["x0"] >= e["x1"])
+        return F.when(apart, 0.0).otherwise(e["s"] * f["s"] * let(span, piece))
+
+    def summed(b):
+        o, base = F.struct(b["g"]["xmin"].alias("x")), F.least(b["g"]["ymin"], b["h"]["ymin"])
+        # only edges over the x range of the first polygon count
+        near = lambda fh: F.filter(fh, lambda e: (e["x0"] < b["g"]["xmax"] - o["x"]) & (e["x1"] > 0))
+        return let(near(flat(h, o, base)), lambda fh: F.aggregate(
+            flat(g, o, base), F.lit(0.0), lambda s, e: s + F.aggregate(fh, F.lit(0.0), lambda t, f: t + term(e, f))))
+
+    boxes = F.struct(bbox(g).alias("g"), bbox(h).alias("h"))
+    return F.when(is_polygon(g) & is_polygon(h), F.abs(let(boxes, summed)))
 
 
 def interiors_overlap(g, h, eps: float = 1e-6) -> Column:
@@ -456,22 +488,26 @@ def ring_problem(ring: Column) -> Column:
     """Reason why a ring is not valid, null when it is."""
     n = F.size(ring)
     first, last = start_vertex(ring), end_vertex(ring)
-    es = segments(drop_repeated(ring))
-    m = F.size(es)
-    crossing = F.exists(
-        F.transform(es, lambda e, i: F.struct(e.alias("e"), i.alias("i"))),
-        lambda p: F.exists(F.transform(es, lambda f, j: F.struct(f.alias("f"), j.alias("j"))),
-                           lambda q: (q["j"] > p["i"] + 1) & ~((p["i"] == 0) & (q["j"] == m - 1))
-                           & segments_touch(p["e"], q["f"])))
-    spike = F.exists(
-        F.transform(es, lambda e, i: F.struct(e.alias("e"), F.get(es, (i + 1) % m).alias("f"))),
-        lambda p: (on_segment(p["e"], p["f"]["b"]["x"], p["f"]["b"]["y"])
-                   | on_segment(p["f"], p["e"]["a"]["x"], p["e"]["a"]["y"])))
+
+    def crossing(es):
+        m = F.size(es)
+        tagged = F.transform(es, lambda e, i: F.struct(e.alias("e"), i.alias("i")))
+        return let(tagged, lambda ts: F.exists(ts, lambda p: F.exists(ts, lambda q: (
+            (q["i"] > p["i"] + 1) & ~((p["i"] == 0) & (q["i"] == m - 1)) & segments_touch(p["e"], q["e"])))))
+
+    def spike(es):
+        turns = F.transform(es, lambda e, i: F.struct(e.alias("e"), F.get(es, (i + 1) % F.size(es)).alias("f")))
+        return F.exists(turns, lambda p: (on_segment(p["e"], p["f"]["b"]["x"], p["f"]["b"]["y"])
+                                          | on_segment(p["f"], p["e"]["a"]["x"], p["e"]["a"]["y"])))
+
+    def verdict(es):
+        flat = F.abs(ring_area2(ring)) < 1e-9
+        return (F.when(flat, F.when(crossing(es), "self crossing").otherwise("no area"))
+                .when(spike(es), "spike").when(crossing(es), "self crossing"))
+
     return (F.when(n < 4, "too few points")
             .when((first["x"] != last["x"]) | (first["y"] != last["y"]), "open ring")
-            .when(F.abs(ring_area2(ring)) < 1e-9, F.when(crossing, "self crossing").otherwise("no area"))
-            .when(spike, "spike")
-            .when(crossing, "self crossing"))
+            .otherwise(let(segments(drop_repeated(ring)), verdict)))
 
 
 def problem(g) -> Column:
@@ -482,35 +518,39 @@ def problem(g) -> Column:
 
 
 def _drop_spikes(ring: Column) -> Column:
-    body = F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0)))
-    m = F.size(body)
+    def clean(body):
+        m = F.size(body)
 
-    def keep(p, i):
-        a, b = F.get(body, (i + m - 1) % m), F.get(body, (i + 1) % m)
-        cross = (p["x"] - a["x"]) * (b["y"] - p["y"]) - (p["y"] - a["y"]) * (b["x"] - p["x"])
-        back = (p["x"] - a["x"]) * (b["x"] - p["x"]) + (p["y"] - a["y"]) * (b["y"] - p["y"])
-        return ~((F.abs(cross) < 1e-9) & (back < 0))
+        def keep(p, i):
+            a, b = F.get(body, (i + m - 1) % m), F.get(body, (i + 1) % m)
+            cross = (p["x"] - a["x"]) * (b["y"] - p["y"]) - (p["y"] - a["y"]) * (b["x"] - p["x"])
+            back = (p["x"] - a["x"]) * (b["x"] - p["x"]) + (p["y"] - a["y"]) * (b["y"] - p["y"])
+            return ~((F.abs(cross) < 1e-9) & (back < 0))
 
-    kept = F.filter(body, keep)
-    return F.when(m > 0, F.concat(kept, F.slice(kept, 1, 1))).otherwise(ring)
+        return let(F.filter(body, keep), lambda kept: F.concat(kept, F.slice(kept, 1, 1)))
+
+    return F.when(F.size(ring) > 1, let(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), clean)).otherwise(ring)
 
 
 def repaired(g, passes: int = 2) -> Column:
     """Close rings, drop repeated vertices and spikes, orient; rings without area go."""
     g = col(g)
 
-    def fix(ring, i):
+    def shut(ring):
         first, last = start_vertex(ring), end_vertex(ring)
-        shut = F.when((first["x"] != last["x"]) | (first["y"] != last["y"]),
+        return F.when((first["x"] != last["x"]) | (first["y"] != last["y"]),
                       F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
-        out = drop_repeated(shut)
+
+    def fix(ring, i):
+        out = let(shut(ring), drop_repeated)
         for _ in range(passes):
-            out = drop_repeated(_drop_spikes(out))
-        return F.when(i == 0, oriented(out)).otherwise(out)
+            out = let(let(out, _drop_spikes), drop_repeated)
+        return let(out, lambda r: F.when(i == 0, oriented(r)).otherwise(r))
 
-    parts = F.filter(F.transform(g["parts"], fix), lambda r: (F.size(r) >= 4) & (F.abs(ring_area2(r)) > 1e-9))
-    fixed = F.struct(g["kind"].alias("kind"), g["srid"].alias("srid"), parts.alias("parts"))
-    return F.when(is_polygon(g), F.when(F.size(parts) > 0, fixed)).otherwise(g)
+    rings = F.filter(F.transform(g["parts"], fix), lambda r: (F.size(r) >= 4) & (F.abs(ring_area2(r)) > 1e-9))
+    fixed = let(rings, lambda parts: F.when(F.size(parts) > 0, F.struct(
+        g["kind"].alias("kind"), g["srid"].alias("srid"), parts.alias("parts"))))
+    return F.when(is_polygon(g), fixed).otherwise(g)
 
 
 # -- text and WKB ---------------------------------------------------------
