@@ -13,7 +13,8 @@ import math
 import struct as _struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 from .text import col
@@ -643,24 +644,51 @@ def _write_wkb(kind_: str, rings: list[np.ndarray]) -> bytes:
     return head(_CODES[kind_]) + _struct.pack("<I", len(body)) + b"".join(body)
 
 
-@F.pandas_udf(GEOM_TYPE)
-def from_wkb(buf: pd.Series) -> pd.DataFrame:
-    rows = []
-    for b in buf:
+def unpack(g: pa.Array):
+    """Per row: kind, srid, list of (n, 2) vertex arrays; None for a missing geometry."""
+    parts = pc.struct_field(g, "parts")
+    kinds, srids = pc.struct_field(g, "kind").to_pylist(), pc.struct_field(g, "srid").to_pylist()
+    valid = parts.is_valid().to_pylist()
+    outer, rings = parts.offsets.to_numpy(), parts.values
+    inner, verts = rings.offsets.to_numpy(), rings.values
+    xy = np.column_stack([verts.field("x").to_numpy(zero_copy_only=False), verts.field("y").to_numpy(zero_copy_only=False)])
+    for i, ok in enumerate(valid):
+        if not ok or kinds[i] is None:
+            yield None
+        else:
+            yield kinds[i], srids[i], [xy[inner[j]:inner[j + 1]] for j in range(outer[i], outer[i + 1])]
+
+
+def pack(rows: list) -> pa.Array:
+    """Geometry array from rows as ``unpack`` gives them."""
+    flat = [p for r in rows if r is not None for p in r[2]]
+    xy = np.concatenate(flat) if flat else np.zeros((0, 2))
+    verts = pa.StructArray.from_arrays([pa.array(xy[:, 0], pa.float64()), pa.array(xy[:, 1], pa.float64())], ["x", "y"])
+    inner = np.concatenate([[0], np.cumsum([len(p) for p in flat], dtype=np.int64)]) if flat else np.zeros(1)
+    rings = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), verts)
+    outer, at = [], 0
+    for r in rows:
+        outer.append(None if r is None else at)
+        at += 0 if r is None else len(r[2])
+    parts = pa.ListArray.from_arrays(pa.array([*outer, at], pa.int32()), rings)
+    kinds = pa.array([None if r is None else r[0] for r in rows], pa.string())
+    srids = pa.array([None if r is None else r[1] for r in rows], pa.int32())
+    return pa.StructArray.from_arrays([kinds, srids, parts], ["kind", "srid", "parts"],
+                                      mask=pa.array([r is None for r in rows], pa.bool_()))
+
+
+@F.arrow_udf(GEOM_TYPE)
+def from_wkb(buf: pa.Array) -> pa.Array:
+    out = []
+    for b in buf.to_pylist():
         if b is None:
-            rows.append((None, None, None))
-            continue
-        k, parts = _read_wkb(bytes(b))
-        rows.append((k, 25832, [[{"x": float(x), "y": float(y)} for x, y in p] for p in parts]))
-    return pd.DataFrame(rows, columns=["kind", "srid", "parts"])
+            out.append(None)
+        else:
+            k, parts = _read_wkb(b)
+            out.append((k, 25832, parts))
+    return pack(out)
 
 
-@F.pandas_udf(T.BinaryType())
-def to_wkb(g: pd.DataFrame) -> pd.Series:
-    out = []
-    for k, parts in zip(g["kind"], g["parts"]):
-        if k is None or parts is None:
-            out.append(None)
-            continue
-        out.append(_write_wkb(k, [np.array([(v["x"], v["y"]) for v in p]) for p in parts]))
-    return pd.Series(out)
+@F.arrow_udf(T.BinaryType())
+def to_wkb(g: pa.Array) -> pa.Array:
+    return pa.array([None if r is None else _write_wkb(r[0], r[2]) for r in unpack(g)], pa.binary())

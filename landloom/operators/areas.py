@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geometry as G
@@ -159,19 +159,15 @@ def _douglas_peucker(pts: np.ndarray, tol: float) -> np.ndarray:
 
 def simplify(geom: str | Column, tolerance: float) -> Column:
     """Douglas-Peucker per part; rings that collapse go."""
-    @F.pandas_udf(G.GEOM_TYPE)
-    def run(g: pd.DataFrame) -> pd.DataFrame:
+    @F.arrow_udf(G.GEOM_TYPE)
+    def run(g: pa.Array) -> pa.Array:
         out = []
-        for k, s, parts in zip(g["kind"], g["srid"], g["parts"]):
-            if parts is None:
-                out.append((None, None, None))
-                continue
-            small = [_douglas_peucker(np.array([(v["x"], v["y"]) for v in p]), tolerance) if len(p) > 2
-                     else np.array([(v["x"], v["y"]) for v in p]) for p in parts]
-            if "POLYGON" in k:
-                small = [p for p in small if len(p) >= 4]
-            out.append((k, s, [[{"x": float(x), "y": float(y)} for x, y in p] for p in small]))
-        return pd.DataFrame(out, columns=["kind", "srid", "parts"])
+        for row in G.unpack(g):
+            if row is not None:
+                small = [_douglas_peucker(p, tolerance) if len(p) > 2 else p for p in row[2]]
+                row = (row[0], row[1], [p for p in small if "POLYGON" not in row[0] or len(p) >= 4])
+            out.append(row)
+        return G.pack(out)
 
     return run(G.col(geom))
 

@@ -18,6 +18,8 @@ def local_session(app: str = "landloom", cores: str = "*", shuffle: int = 8) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # call-site capture costs several JVM round trips per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
