@@ -227,11 +227,11 @@ for _lvl, _cols in {"flur": "CAST(psize % 4 AS STRING) || CAST(pid % 3 AS STRING
 
 
 @query("f11_county_polygons_and_names", """
-SELECT '14' || '5' || CAST(psize % 2 AS STRING) AS k, CASE psize % 2 WHEN 0 THEN 'Kreis 0' ELSE '(Kreis 1451)' END AS txt, CAST(100 * count(*) AS DOUBLE) AS area
-FROM parcel GROUP BY psize % 2""", ("parcel",))
+SELECT '145' || CASE WHEN pid % 100 < 50 THEN '0' ELSE '1' END AS k, CASE WHEN pid % 100 < 50 THEN 'Kreis 0' ELSE '(Kreis 1451)' END AS txt,
+  CAST(100 * count(*) AS DOUBLE) AS area FROM parcel GROUP BY 1, 2""", ("parcel",))
 def _(d):
-    # whole columns of cells go to one county, so outlines stay short
-    p = flurstuecke(d)
+    # two counties side by side, so simplifying keeps their corners
+    p = flurstuecke(d).withColumn("gemeindezugehoerigkeit_kreis", F.when(F.col("ogc_fid") % 100 < 50, "0").otherwise("1"))
     poly = hierarchy.polygons(p, "kreis")
     dim = d.spark.createDataFrame([("14", "5", "0", "Kreis 0")], "land string, bezirk string, kreis string, bezeichnung string")
     lab = hierarchy.names(poly, dim, ["land", "bezirk", "kreis"], "bezeichnung", "Kreis")
