@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .fixtures import Data, with_fixtures
 
-MODULES = ("q_history", "q_relational", "q_geometry", "q_rules", "q_register")
+MODULES = ("q_history", "q_relational", "q_geometry", "q_rules", "q_register", "q_ingest")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
