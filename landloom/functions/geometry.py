@@ -188,10 +188,9 @@ def centroid(g) -> Column:
         at = lambda s: point(s["x"] / s["w"] + o["x"], s["y"] / s["w"] + o["y"], g["srid"])
         mean = point(total(v, lambda p: p["x"] - o["x"]) / F.size(v) + o["x"],
                      total(v, lambda p: p["y"] - o["y"]) / F.size(v) + o["y"], g["srid"])
-        on_line = lambda: let(weighted(o, edges(g), seg_length, 2), lambda s: F.when(s["w"] > 0, at(s)).otherwise(mean))
         by_area = let(weighted(o, edges(g), cross, 3), lambda s: F.when(F.abs(s["w"]) > 1e-9, at(s)))
-        return (F.when(is_polygon(g), F.coalesce(by_area, on_line()))
-                .when(is_line(g), on_line()).otherwise(mean))
+        by_line = let(weighted(o, edges(g), seg_length, 2), lambda s: F.when(s["w"] > 0, at(s)))
+        return F.coalesce(F.when(is_polygon(g), by_area), F.when(~is_point(g), by_line), mean)
 
     return F.when(F.size(v) > 0, let(start_vertex(v), place))
 
@@ -217,7 +216,7 @@ def point_on_surface(g) -> Column:
 
     heights = F.array_distinct(F.transform(vertices(g), lambda p: p["y"]))
     inside = let(let(heights, scan_height), widest)
-    return F.when(is_polygon(g), F.coalesce(inside, centroid(g))).otherwise(centroid(g))
+    return F.coalesce(F.when(is_polygon(g), inside), centroid(g))
 
 
 # -- transforms -----------------------------------------------------------

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fractions import NUM
 from ..session import cut_lineage
-from .skew import HOT_ROWS, salted_join
+from .skew import HOT_ROWS, hot_keys, repeated_side, salted_side
 
 
 def walk(roots: DataFrame, bookings: DataFrame, booking: str = "booking", refers: str = "refers",
-         num: str = "num", den: str = "den", cut_every: int = 4,
+         num: str = "num", den: str = "den",
          hot_rows: int = HOT_ROWS) -> DataFrame:
     """All bookings reachable from the roots with the product of the fractions.
 
     ``roots`` has the columns root.., booking, num, den; ``bookings`` says which
     booking refers to which.  One join per level; hot bookings are salted, a
-    booking already on the path is not visited again, and the frontier is
-    checkpointed every few levels.
+    booking already on the path is not visited again, and every level is
+    checkpointed, so no level is computed twice.
     """
     keep = [c for c in roots.columns if c not in (booking, num, den)]
     one = lambda c: F.coalesce(F.col(c).cast(NUM), F.lit(1).cast(NUM))
@@ -26,21 +26,20 @@ def walk(roots: DataFrame, bookings: DataFrame, booking: str = "booking", refers
     extra = [c for c in bookings.columns if c not in (booking, refers, num, den)]
     step = bookings.select(F.col(refers).alias("_at"), F.col(booking).alias("_next"), one(num).alias("_n"),
                            one(den).alias("_d"), *[F.col(c).alias(f"_x_{c}") for c in extra])
-    out, depth = None, 0
-    while True:  # ends because no path holds a booking twice
+    # the hot bookings are the same on every level: counted once, at most TOP_KEYS rows
+    hot = cut_lineage(hot_keys(step, ["_at"], hot_rows))
+    spread = salted_side(step, hot, ["_at"])
+    carried = [c for c in keep if c not in extra]
+    out = None
+    while not frontier.isEmpty():  # ends because no path holds a booking twice
         out = frontier if out is None else out.unionByName(frontier, allowMissingColumns=True)
-        nxt = salted_join(step, frontier.withColumnRenamed(booking, "_at"), ["_at"], "inner", hot_rows)
-        nxt = nxt.filter(~F.array_contains("path", F.col("_next")))
-        carried = [c for c in keep if c not in extra]
-        frontier = nxt.select(
+        at = repeated_side(frontier.withColumnRenamed(booking, "_at").drop(*extra), hot, ["_at"])
+        nxt = spread.join(at, ["_at", "_salt"]).filter(~F.array_contains("path", F.col("_next")))
+        frontier = cut_lineage(nxt.select(
             *carried, *[F.col(f"_x_{c}").alias(c) for c in extra], F.col("_next").alias(booking),
             F.try_multiply(num, "_n").cast(NUM).alias(num), F.try_multiply(den, "_d").cast(NUM).alias(den),
-            (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("_next")).alias("path"))
-        depth += 1
-        if depth % cut_every == 0:
-            frontier = cut_lineage(frontier)
-        if frontier.isEmpty():
-            break
+            (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("_next")).alias("path")))
+    out = frontier if out is None else out
     return out.drop("path")
 
 

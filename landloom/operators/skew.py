@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 TOP_KEYS = 1000
 MAX_SALTS = 256
@@ -27,34 +27,35 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
             .select(*keys, n.alias("_salts")))
 
 
-def salted(big: DataFrame, other: DataFrame, keys: list[str],
-           hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a ``_salt`` column to join on besides ``keys``."""
-    hot = F.broadcast(hot_keys(big, keys, hot_rows))
-    width = F.coalesce(F.col("_salts"), F.lit(1))
-    # the salt is a function of the row, so a recomputed task repeats it
+def salted_side(big: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``big`` with a ``_salt`` column: a function of the row, so a recomputed task repeats it."""
     spread = F.xxhash64(*big.columns)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     pick = (F.when(no_key, F.pmod(spread, F.lit(MAX_SALTS)))
             .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts"))).otherwise(0).cast("int"))
-    left = big.join(hot, keys, "left").withColumn("_salt", pick).drop("_salts")
-    right = (other.join(hot, keys, "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), width - 1))).drop("_salts"))
-    return left, right
+    return big.join(F.broadcast(hot), keys, "left").withColumn("_salt", pick).drop("_salts")
+
+
+def repeated_side(other: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``other`` once per salt of its key."""
+    width = F.coalesce(F.col("_salts"), F.lit(1))
+    return (other.join(F.broadcast(hot), keys, "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), width - 1))).drop("_salts"))
+
+
+def salted(big: DataFrame, other: DataFrame, keys: list[str],
+           hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt`` column to join on besides ``keys``."""
+    hot = hot_keys(big, keys, hot_rows)
+    return salted_side(big, hot, keys), repeated_side(other, hot, keys)
 
 
 def salted_join(big: DataFrame, other: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS, extra: Column | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join ``big`` with ``other`` on ``keys``; hot keys of ``big`` are spread.
 
     ``how`` may be inner, left, left_semi or left_anti: every row of ``big``
     still meets every matching row of ``other`` exactly once.
     """
     left, right = salted(big, other, keys, hot_rows)
-    if extra is None:
-        return left.join(right, [*keys, "_salt"], how).drop("_salt")
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in (*keys, "_salt") else F.col(c) for c in right.columns])
-    cond = extra
-    for k in (*keys, "_salt"):
-        cond = (left[k] == renamed[f"_r_{k}"]) & cond
-    return left.join(renamed, cond, how).drop("_salt", *[f"_r_{k}" for k in (*keys, "_salt")])
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -123,13 +123,13 @@ def shared_borders(df: DataFrame, geom: str, fid: str, grid: float = 0.001, cell
     l, r = salted(a, b, EDGE)
     equal = l.join(r, [*EDGE, "_salt"]).filter("a < b").select("a", "b", *EDGE)
 
-    as_line = lambda d, name: d.withColumn(name, G.line(F.array(G.vertex("ax", "ay"), G.vertex("bx", "by"))))
-    left = as_line(a, "_gl").select("a", "_gl", *[F.col(c).alias(f"l{c}") for c in EDGE])
-    right = as_line(b, "_gr").select("b", "_gr", *[F.col(c).alias(f"r{c}") for c in EDGE])
-    near = grid_join(left, right, "_gl", "_gr", cell).filter("a < b")
-    same = F.lit(True)
-    for c in EDGE:
-        same = same & (F.col(f"l{c}") == F.col(f"r{c}"))
+    # the other edges are compared once per distinct edge, not once per polygon
+    line = G.line(F.array(G.vertex("ax", "ay"), G.vertex("bx", "by")))
+    once = edges.select(*EDGE).distinct().withColumn("_g", line)
+    left = once.select(F.col("_g").alias("_gl"), *[F.col(c).alias(f"l{c}") for c in EDGE])
+    right = once.select(F.col("_g").alias("_gr"), *[F.col(c).alias(f"r{c}") for c in EDGE])
+    near = grid_join(left, right, "_gl", "_gr", cell).drop("_gl", "_gr")
+    near = near.filter(F.struct(*[f"l{c}" for c in EDGE]) < F.struct(*[f"r{c}" for c in EDGE]))
     dx, dy = F.col("lbx") - F.col("lax"), F.col("lby") - F.col("lay")
     ln = F.sqrt(dx * dx + dy * dy)
     off = lambda x, y: (dx * (F.col(y) - F.col("lay")) - dy * (F.col(x) - F.col("lax"))) / ln
@@ -138,10 +138,13 @@ def shared_borders(df: DataFrame, geom: str, fid: str, grid: float = 0.001, cell
     lo, hi = F.greatest(F.least(t0, t1), F.lit(0.0)), F.least(F.greatest(t0, t1), F.lit(1.0))
     inv = float(round(1 / grid))
     at = lambda base, d, t: F.rint((F.col(base) + d * t) * inv) / inv
-    touching = near.filter(~same & (F.abs(off("rax", "ray")) <= grid / 2) & (F.abs(off("rbx", "rby")) <= grid / 2)
+    touching = near.filter((F.abs(off("rax", "ray")) <= grid / 2) & (F.abs(off("rbx", "rby")) <= grid / 2)
                            & ((hi - lo) * ln > grid))
-    part = touching.select("a", "b", at("lax", dx, lo).alias("ax"), at("lay", dy, lo).alias("ay"),
-                           at("lax", dx, hi).alias("bx"), at("lay", dy, hi).alias("by"))
+    cut = touching.select(*[f"{s}{c}" for s in "lr" for c in EDGE], at("lax", dx, lo).alias("ax"), at("lay", dy, lo).alias("ay"),
+                          at("lax", dx, hi).alias("bx"), at("lay", dy, hi).alias("by"))
+    of = lambda side, name: edges.select(F.col(fid).alias(name), *[F.col(c).alias(f"{side}{c}") for c in EDGE])
+    owned = cut.join(of("l", "_a"), [f"l{c}" for c in EDGE]).join(of("r", "_b"), [f"r{c}" for c in EDGE]).filter("_a <> _b")
+    part = owned.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), *EDGE)
     return equal.unionByName(part)
 
 

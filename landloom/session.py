@@ -16,6 +16,8 @@ def local_session(app: str = "landloom", cores: str = "*", shuffle: int = 8) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local data would otherwise end in one task after every shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         # call-site capture costs several JVM round trips per column expression
