@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..operators import areas, lines, spatial
+from ..operators import areas, lines, placement, spatial
 from .registry import query
 
 
@@ -395,3 +395,43 @@ def _(d):
 def _(d):
     p = d.parcels().withColumn("wkb", G.to_wkb("geom")).withColumn("back", G.from_wkb("wkb"))
     return p.select("pid", (G.wkt("geom") == G.wkt("back")).alias("same"), r6(G.area("back")).alias("area"))
+
+
+@query("g17_slope_teeth", """
+WITH s AS (SELECT oid, CAST(10 * max(k) AS DOUBLE) AS ol, CAST(max(y) AS DOUBLE) AS h FROM steps GROUP BY oid),
+t AS (SELECT *, CAST(ceil((ol - 3 - greatest((ol % 6) / 2, 0.01)) / 6) AS BIGINT) AS n FROM s)
+SELECT oid, 2 * n - 1 AS teeth, round(n * h + (n - 1) * h / 2, 4) AS total FROM t""", ("steps",))
+def _(d):
+    # straight slopes: the upper edge on the axis, the lower one parallel below it
+    s = d.sql("SELECT oid, CAST(10 * max(k) AS DOUBLE) AS ol, CAST(max(y) AS DOUBLE) AS h FROM steps GROUP BY oid")
+    up = F.struct(F.lit(1220).alias("art"), F.array(G.vertex(0, 0), G.vertex(F.col("ol"), F.lit(0))).alias("part"))
+    low = F.struct(F.lit(1230).alias("art"), F.array(G.vertex(F.lit(0), -F.col("h")), G.vertex(F.col("ol"), -F.col("h"))).alias("part"))
+    e = d.split(s).select(F.col("oid").alias("slope"), F.inline(F.array(up, low)))
+    return placement.slope_teeth(e).groupBy(F.col("slope").alias("oid")).agg(F.count(F.lit(1)).alias("teeth"), F.round(F.sum("len"), 4).alias("total"))
+
+
+@query("g19_house_number_places", """
+SELECT uid, CASE uid % 3 WHEN 1 THEN x1 - 1.9 ELSE (x0 + x1) / 2 END AS x, CASE uid % 3 WHEN 0 THEN y1 - 1.9 WHEN 1 THEN (y0 + y1) / 2 ELSE y0 + 1.9 END AS y,
+ CAST(CASE uid % 3 WHEN 1 THEN 90 ELSE 0 END AS BIGINT) AS deg FROM usearea""", ("usearea",))
+def _(d):
+    # the street lies above, to the right of or below the building
+    u = d.useareas().withColumn("key", F.col("uid").cast("string"))
+    k = F.col("uid") % 3
+    street = F.when(k == 0, G.rectangle(F.col("x0"), F.col("y1") + 40, F.col("x1"), F.col("y1") + 50)).when(
+        k == 1, G.rectangle(F.col("x1") + 70, F.col("y0"), F.col("x1") + 80, F.col("y1"))).otherwise(
+        G.rectangle(F.col("x0"), F.col("y0") - 9, F.col("x1"), F.col("y0") - 5))
+    s = u.select(F.col("uid").alias("sid"), F.col("key").alias("skey"), street.alias("sgeom"))
+    out = placement.house_number_places(u.select("uid", "key", "geom"), s, "uid", "geom", "key", "sgeom", "skey", "sid")
+    # standing text: 90 and 270 degrees are the same line
+    deg = F.pmod(F.rint(F.degrees("drehwinkel")), F.lit(180)).cast("long")
+    return out.select("uid", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), deg.alias("deg"))
+
+
+@query("j20_nearest", """
+SELECT p_partkey, (SELECT s_suppkey FROM supplier WHERE s_nationkey = p_size % 25
+   ORDER BY abs(s_acctbal - p_retailprice), s_suppkey LIMIT 1) AS nearest FROM part WHERE p_size % 25 IN (SELECT s_nationkey FROM supplier)""")
+def _(d):
+    left = d["part"].select("p_partkey", (F.col("p_size") % 25).alias("k"), G.point(F.col("p_retailprice"), F.lit(0.0)).alias("pg"))
+    right = d["supplier"].select("s_suppkey", F.col("s_nationkey").alias("nk"), G.point(F.col("s_acctbal"), F.lit(0.0)).alias("sg"))
+    near = placement.nearest(d.split(left), right, "p_partkey", "pg", "sg", [("k", "nk")], ["s_suppkey"], start=512.0)
+    return near.select("p_partkey", F.col("s_suppkey").alias("nearest"))

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A, fractions as FR, text as T
 from ..operators import links, lookups, shares
-from ..operators.skew import salted_join
 from .registry import query
 
 def n_rows():
@@ -203,17 +202,6 @@ def _(d):
     return FR.sum_fractions(chain(d), ["root"], "num", "den", reduce=True)
 
 
-@query("j20_nearest", """
-SELECT p_partkey, (SELECT s_suppkey FROM supplier WHERE s_nationkey = p_size % 25
-   ORDER BY abs(s_acctbal - p_retailprice), s_suppkey LIMIT 1) AS nearest FROM part""")
-def _(d):
-    pairs = salted_join(
-        d["part"].select("p_partkey", "p_retailprice", (F.col("p_size") % 25).alias("k")),
-        d["supplier"].select(F.col("s_nationkey").alias("k"), "s_suppkey", "s_acctbal"), ["k"], "left")
-    return pairs.groupBy("p_partkey").agg(F.min_by("s_suppkey", F.struct(
-        F.abs(F.col("s_acctbal") - F.col("p_retailprice")), "s_suppkey")).alias("nearest"))
-
-
 # -- projections, predicates, set operations ------------------------------
 
 @query("q01_rule_table_style", """

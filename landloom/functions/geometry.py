@@ -401,6 +401,40 @@ def distance_to_point(g, x, y) -> Column:
     return F.when(is_polygon(g) & covers_point(g, x, y), F.lit(0.0)).otherwise(near)
 
 
+def distance(g, h) -> Column:
+    """Smallest distance of two geometries, zero when they meet."""
+    g, h = col(g), col(h)
+    near = lambda a, b: F.array_min(F.transform(vertices(a), lambda v: F.array_min(
+        F.transform(edges(b), lambda e: segment_distance(e, v["x"], v["y"])))))
+    return F.when(intersects(g, h), F.lit(0.0)).otherwise(F.least(near(g, h), near(h, g)))
+
+
+def inset(ring: Column, d: float) -> Column:
+    """Counter-clockwise closed ring moved inwards with sharp corners; null when an edge turns round."""
+    def moved(body):
+        m = F.size(body)
+        at = lambda i: F.get(body, (i + m) % m)
+
+        def normal(a, b):
+            return let(dist(a["x"], a["y"], b["x"], b["y"]), lambda ln: vertex(-(b["y"] - a["y"]) / ln, (b["x"] - a["x"]) / ln))
+
+        def corner(p, i):
+            both = F.struct(normal(at(i - 1), p).alias("u"), normal(p, at(i + 1)).alias("w"))
+            return let(both, lambda n: vertex(
+                p["x"] + d * (n["u"]["x"] + n["w"]["x"]) / (1 + n["u"]["x"] * n["w"]["x"] + n["u"]["y"] * n["w"]["y"]),
+                p["y"] + d * (n["u"]["y"] + n["w"]["y"]) / (1 + n["u"]["x"] * n["w"]["x"] + n["u"]["y"] * n["w"]["y"])))
+
+        def checked(out):
+            pairs = F.transform(out, lambda q, i: (F.get(out, (i + 1) % m)["x"] - q["x"]) * (at(i + 1)["x"] - at(i)["x"])
+                                + (F.get(out, (i + 1) % m)["y"] - q["y"]) * (at(i + 1)["y"] - at(i)["y"]))
+            return F.when(F.forall(pairs, lambda v: v > 0), F.concat(out, F.slice(out, 1, 1)))
+
+        return let(F.transform(body, corner), checked)
+
+    clean = drop_repeated(ring)
+    return let(clean, lambda r: F.when(F.size(r) >= 4, let(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(1))), moved)))
+
+
 def segments_touch(e: Column, f: Column) -> Column:
     def side(p, q, r):
         return F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
