@@ -119,7 +119,9 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     info = ends.groupBy(slope, "upper").agg(
         F.min(G.distance(probe(-0.001), "_lg")).alias("_dr"), F.min(G.distance(probe(0.001), "_lg")).alias("_dl"),
         F.min(closest(first)).alias("_c0"), F.min(closest(last)).alias("_c1"))
-    top = top.join(info, [slope, "upper"], "left").withColumn("_side", F.when(F.col("_dr") > F.col("_dl"), -1.0).otherwise(1.0))
+    side = F.when(F.col("_dr") > F.col("_dl"), -1.0).otherwise(1.0)
+    # used four times below: one row per upper edge
+    top = cut_lineage(top.join(info, [slope, "upper"], "left").withColumn("_side", side).drop("_dr", "_dl"))
 
     seg = lambda v, c: F.struct(v.alias("a"), G.vertex(c["x"], c["y"]).alias("b"))
     join_up = top.filter("_c0 IS NOT NULL").select(slope, F.explode(F.array(seg(first, F.col("_c0")), seg(last, F.col("_c1")))).alias("_e"))
@@ -143,7 +145,7 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     count = F.ceil((F.col("_ol") - TOOTH_END - begin) / TOOTH_STEP)
     rays = (top.join(far, slope).filter(count > 0).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
             .withColumn("o", begin + F.col("_i") * TOOTH_STEP))
-    rays = stand(rays, F.col("o")).drop("_dr", "_dl", "_c0", "_c1")
+    rays = stand(rays, F.col("o")).drop("_c0", "_c1")
     rays = cut_lineage(rays.withColumn("_ray", G.line(F.array(
         G.vertex("x", "y"), G.vertex(F.col("x") + F.col("nx") * F.col("_far"), F.col("y") + F.col("ny") * F.col("_far"))))))
 
