@@ -311,7 +311,7 @@ def _(d):
 SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders""")
 def _(d):
     return lookups.numbered(d["orders"].select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"],
-                            ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", F.col("rn").cast("long").alias("rn"))
+                            ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "rn")
 
 
 @query("w02_number_after_count", """
@@ -327,7 +327,7 @@ def _(d):
 @query("w03_global_number", "SELECT p_partkey, row_number() OVER (ORDER BY p_name, p_partkey) AS rn FROM part")
 def _(d):
     return lookups.global_number(d["part"].select("p_partkey", "p_name"), ["p_name", "p_partkey"]).select(
-        "p_partkey", F.col("rn").cast("long").alias("rn"))
+        "p_partkey", "rn")
 
 
 @query("w04_lag_drop_repeats", """

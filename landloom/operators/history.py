@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arrays import arr_cat
 from ..functions.text import version_begin
 from .links import open_rows
+from .lookups import running
 from .skew import salted_join
 
 ID, BEGIN, END, REASONS = "gml_id", "beginnt", "endet", "anlass"
@@ -138,30 +139,47 @@ def plan_changes(changes: DataFrame, versions: DataFrame, delivery_time: str | C
             .withColumn("add_reasons", add))
 
 
-def apply_changes(changes: DataFrame, versions: DataFrame, delivery_time: str | Column,
-                  keep_history: bool = True) -> DataFrame:
-    """Versions after a batch of changes; kill mode removes rows instead of closing them."""
+def closes(changes: DataFrame, versions: DataFrame, delivery_time: str | Column,
+           keep_history: bool = True) -> DataFrame:
+    """What a batch does to the version table: one row per closed or removed version."""
     planned = plan_changes(changes, versions, delivery_time, keep_history)
+    none = F.array().cast("array<string>")
     if not keep_history:
-        gone = planned.filter("removes").select(ID, F.col("target_begin").alias(BEGIN)).distinct()
-        return versions.join(gone, [ID, BEGIN], "left_anti")
-    closes = (planned.filter(F.col("status") == "applied")
-              .groupBy(ID, F.col("close_begin").alias(BEGIN))
-              .agg(F.max_by("new_end", "seq").alias("_end"),
-                   F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.coalesce(
-                       "add_reasons", F.array().cast("array<string>")).alias("r")))), lambda p: p["r"])).alias("_add")))
-    out = versions.join(closes, [ID, BEGIN], "left")
+        return planned.filter("removes").select(
+            ID, F.col("target_begin").alias(BEGIN), F.lit(None).cast("string").alias("new_end"), none.alias("added"),
+            F.lit(True).alias("removed")).distinct()
+    return merged_closes(planned.filter(F.col("status") == "applied").select(
+        ID, F.col("close_begin").alias(BEGIN), "new_end", F.coalesce("add_reasons", none).alias("added"),
+        F.lit(False).alias("removed"), F.col("seq").alias("step")), "step")
+
+
+def merged_closes(rows: DataFrame, step: str) -> DataFrame:
+    """Closes of one version in the order of ``step``: last end, all reasons."""
+    reasons = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(step).alias("s"), "added"))), lambda p: p["added"]))
+    return rows.groupBy(ID, BEGIN).agg(F.max_by("new_end", step).alias("new_end"), reasons.alias("added"),
+                                       F.bool_or("removed").alias("removed"))
+
+
+def apply_closes(versions: DataFrame, closed: DataFrame) -> DataFrame:
+    """Version table with closes applied."""
+    out = versions.join(closed, [ID, BEGIN], "left").filter(~F.coalesce("removed", F.lit(False)))
     cols = []
     for c in versions.columns:
         if c == END:
-            cols.append(F.coalesce("_end", END).alias(END))
+            cols.append(F.coalesce("new_end", END).alias(END))
         elif c == REASONS:
-            cols.append(F.when(F.size("_add") > 0, arr_cat(REASONS, "_add")).otherwise(F.col(REASONS)).alias(REASONS))
+            cols.append(F.when(F.size("added") > 0, arr_cat(REASONS, "added")).otherwise(F.col(REASONS)).alias(REASONS))
         else:
             cols.append(F.col(c))
     return out.select(*cols)
 
 
+def apply_changes(changes: DataFrame, versions: DataFrame, delivery_time: str | Column,
+                  keep_history: bool = True) -> DataFrame:
+    """Versions after a batch of changes; kill mode removes rows instead of closing them."""
+    return apply_closes(versions, closes(changes, versions, delivery_time, keep_history))
+
+
 def purge_ended(versions: DataFrame) -> DataFrame:
     """Only open versions stay."""
     return open_rows(versions)
@@ -193,9 +211,9 @@ def overlapping(versions: DataFrame) -> DataFrame:
               .otherwise(F.array(bound("b", 1, 0, 0))))
     merged = (ended.select(ID, F.explode(events).alias("ev")).select(ID, "ev.*")
               .groupBy(ID, "t", "o").agg(F.sum("d").alias("d"), F.sum("p").alias("p")))
-    w = Window.partitionBy(ID).orderBy("t", "o").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("d").over(w), F.lit(0))
-    walked = merged.select(ID, "p", "o", before.alias("running"))
+    # a running sum over ranges, so an id with many versions is no single task
+    summed = running(merged, [ID], ["t", "o"], F.col("d"), "upto")
+    walked = summed.select(ID, "p", "o", (F.col("upto") - F.col("d")).alias("running"))
     own = F.when(F.col("o") == 2, F.col("p") * (F.col("p") - 1) / 2).otherwise(0)
     counted = walked.select(ID, (F.col("p") * F.col("running") + own).cast("long").alias("pairs"))
     # lifetimes that end before they begin lie inside the versions that span both bounds

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def latest(df: DataFrame, keys: list[str], value: str, order: str, out: str | None = None) -> DataFrame:
     """Value of the row with the greatest ``order`` per key (ties: greatest value)."""
@@ -51,27 +53,38 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
+def running(df: DataFrame, keys: list[str], order: list, value: Column, out: str) -> DataFrame:
+    """Running sum of ``value`` per key in ``order``, the own row included.
+
+    Rows are range partitioned by key and order, so a key with many rows spans
+    several tasks; each piece is summed on its own and shifted by the totals of
+    the pieces of that key before it.  The ranges are checkpointed because both
+    uses must see the same pieces.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.withColumn("_v", value).repartitionByRange(parts, *keys, *order)
+                         .withColumn("_p", F.spark_partition_id()))
+    local = F.sum("_v").over(Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    pieces = ranged.groupBy(*keys, "_p").agg(F.sum("_v").alias("_t"))
+    before = F.sum("_t").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    shift = pieces.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("_p").alias("_q"), F.coalesce(before, F.lit(0)).alias("_off"))
+    cond = F.col("_p") == F.col("_q")
+    for k, n in names.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(n))
+    return (ranged.withColumn("_l", local).join(shift, cond).withColumn(out, F.col("_l") + F.col("_off"))
+            .select(*df.columns, out))
+
+
 def numbered(df: DataFrame, keys: list[str], order: list, out: str = "rn", start: Column | None = None) -> DataFrame:
-    """Running number per key."""
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(out, rn + start if start is not None else rn)
+    """Running number per key, after ``start``; ``order`` should leave no ties."""
+    rows = running(df, keys, order, F.lit(1).cast("long"), out)
+    return rows if start is None else rows.withColumn(out, F.col(out) + start)
 
 
 def global_number(df: DataFrame, order: list[str], out: str = "rn") -> DataFrame:
-    """1..n over the whole table in ``order`` without a single-task sort.
-
-    Rows are range partitioned, numbered inside their range, and shifted by the
-    row counts of the ranges before; only one count per range is broadcast.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p")
-    local = ranged.withColumn("_i", F.row_number().over(w.orderBy(*order)))
-    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_off")
-    return local.join(F.broadcast(before), "_p").withColumn(out, F.col("_i") + F.col("_off")).drop("_p", "_i", "_off")
+    """1..n over the whole table in ``order`` without a single-task sort."""
+    return numbered(df, [], order, out)
 
 
 def priority_union(sources: list[DataFrame], keys: list[str]) -> DataFrame:

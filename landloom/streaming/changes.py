@@ -13,38 +13,47 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def committed(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the finished snapshots under ``root``."""
-    fs, p = _fs(spark, root)
+def finished(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches whose closes are completely written."""
+    fs, p = _fs(spark, f"{root}/closes")
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
-    done = [int(n.split("-")[1]) for n in names if n.startswith("snapshot-")]
-    return sorted(n for n in done if fs.exists(_fs(spark, f"{root}/snapshot-{n}/_SUCCESS")[1]))
+    done = [int(n.split("=")[1]) for n in names if n.startswith("batch=")]
+    return sorted(n for n in done if fs.exists(_fs(spark, f"{root}/closes/batch={n}/_SUCCESS")[1]))
 
 
 def snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Latest finished snapshot, or the latest one before a batch."""
-    done = [n for n in committed(spark, root) if before is None or n < before]
-    return spark.read.parquet(f"{root}/snapshot-{done[-1]}")
+    """Version table under ``root`` after all finished batches, or those before a batch."""
+    base = spark.read.parquet(f"{root}/base")
+    done = [n for n in finished(spark, root) if before is None or n < before]
+    if not done:
+        return base
+    rows = spark.read.option("basePath", f"{root}/closes").parquet(*[f"{root}/closes/batch={n}" for n in done])
+    return H.apply_closes(base, H.merged_closes(rows, "batch"))
 
 
 def start_snapshot(versions: DataFrame, root: str) -> None:
-    versions.write.mode("overwrite").parquet(f"{root}/snapshot-0")
+    versions.write.mode("overwrite").parquet(f"{root}/base")
+
+
+def compact(spark: SparkSession, root: str, new_root: str) -> None:
+    """Writes the table with all closes as the base of a new folder."""
+    start_snapshot(snapshot(spark, root), new_root)
 
 
 def apply_stream(changes: DataFrame, root: str, delivery_time: str, keep_history: bool = True, checkpoint: str | None = None):
     """Applies every micro batch of change records to the version table under ``root``.
 
-    Batch n reads the snapshot before it and writes its own, so a batch that is
-    run again after a failure gives the same result.  Returns the running query.
+    The base table is not rewritten: batch n adds a small table of closed
+    versions and works on the state before it, so a batch that is run again
+    after a failure gives the same result.  Returns the running query.
     """
     spark = changes.sparkSession
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        number = batch_id + 1  # 0 is the start snapshot
-        base = snapshot(spark, root, before=number)
-        H.apply_changes(batch, base, delivery_time, keep_history).write.mode("overwrite").parquet(f"{root}/snapshot-{number}")
+        done = H.closes(batch, snapshot(spark, root, before=batch_id), delivery_time, keep_history)
+        done.write.mode("overwrite").parquet(f"{root}/closes/batch={batch_id}")
 
     return (changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint or f"{root}/_checkpoint")
             .trigger(availableNow=True).start())

@@ -174,3 +174,31 @@ def test_gzip_members_keep_zeros_and_broken_ones(spark, tmp_path):
     schema = PT.StructType([PT.StructField("id", PT.StringType()), PT.StructField("_corrupt_record", PT.StringType())])
     got = deliveries.read_members(spark, [str(tmp_path)], "m", schema)
     assert sorted(r.id for r in got.collect()) == ["007", "8"]
+
+
+def test_running_sum_over_a_hot_key(spark):
+    rows = [("hot" if i % 10 else f"k{i % 30}", i, i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    got = {(r.k, r.o): r.s for r in lookups.running(df, ["k"], ["o"], F.col("v"), "s").collect()}
+    sums = {}
+    for k, o, v in rows:
+        sums[k] = sums.get(k, 0) + v
+        assert got[(k, o)] == sums[k]
+
+
+def test_stream_batches_follow_each_other(spark, tmp_path):
+    from landloom.streaming import changes as S
+    root = str(tmp_path / "table")
+    versions = spark.createDataFrame([("DESN000000000001", "2020-01-01T00:00:00Z", None, ["A"]), ("DESN000000000001", "2021-01-01T00:00:00Z", None, ["A"])],
+                                     "gml_id string, beginnt string, endet string, anlass array<string>")
+    S.start_snapshot(versions, root)
+    schema = "seq long, typename string, featureid string, context string, safetoignore string, replacedby string, anlass array<string>, endet string"
+    for i in (1, 2):
+        # each batch closes the oldest version still open
+        spark.createDataFrame([(i, "t", "DESN000000000001", "update", None, None, [f"R{i}"], f"202{i + 4}-01-01T00:00:00Z")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        S.apply_stream(stream, root, "2030-01-01T00:00:00Z").awaitTermination()
+    got = sorted(map(tuple, S.snapshot(spark, root).select("beginnt", "endet", F.array_join("anlass", ",")).collect()))
+    assert got == [("2020-01-01T00:00:00Z", "2025-01-01T00:00:00Z", "A,R1"), ("2021-01-01T00:00:00Z", "2026-01-01T00:00:00Z", "A,R2")]
+    S.compact(spark, root, str(tmp_path / "new"))
+    assert S.snapshot(spark, str(tmp_path / "new")).count() == 2
