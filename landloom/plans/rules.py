@@ -17,7 +17,7 @@ from . import ruleset as R
 COND = "struct<attr:string,negated:boolean,nul:boolean,ranges:array<struct<lo:int,hi:int>>>"
 CHOICE = f"array<struct<conds:array<{COND}>,value:string>>"
 PLACED = ["art", "signaturnummer", "drehwinkel", "horizontaleausrichtung", "vertikaleausrichtung", "skalierung",
-          "fontsperrung", "schriftinhalt"]
+          "fontsperrung", "schriftinhalt", "positionierungsregel"]
 TEXT_LOOK = ["drehwinkel", "horizontaleausrichtung", "vertikaleausrichtung", "skalierung", "fontsperrung"]
 
 
@@ -71,7 +71,9 @@ def unified(tables: dict[str, DataFrame], names: list[str] | None = None) -> Dat
         have = [c for c in df.columns if c in wanted]
         as_text = lambda c: F.when(F.col(c) == "true", "1").otherwise(F.col(c).cast("string")) if c == "hochhaus" else F.col(c).cast("string")
         pairs = [x for c in have for x in (F.lit(c), as_text(c))]
-        attrs = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+        dim = F.when(G.is_point("wkb_geometry"), "1").when(G.is_line("wkb_geometry"), "2").when(G.is_polygon("wkb_geometry"), "3") \
+            if "wkb_geometry" in df.columns else F.lit(None).cast("string")
+        attrs = F.create_map(F.lit("_dim"), dim, *pairs)
         parts = ("land", "regierungsbezirk", "kreis", "gemeinde", "lage")
         key = T.catalogue_key(*parts) if all(p in df.columns for p in parts) else F.lit(None).cast("string")
         geom = F.col("wkb_geometry") if "wkb_geometry" in df.columns else F.lit(None).cast(G.GEOM)
@@ -122,14 +124,14 @@ def line_layer(objects: DataFrame) -> DataFrame:
 
 def symbols(objects: DataFrame, placed: DataFrame, overrides: DataFrame) -> DataFrame:
     """Symbol rules: placed symbol, else area fill by placing rule, else centroid."""
-    rows = [(s, tag, R.theme_of(s), _choices(c)) for (s, tag), c in R.SYMBOLS.items()]
-    rules = rule_table(objects.sparkSession, rows, f"source string, art string, thema string, choices {CHOICE}")
+    rows = [(s, tag, R.theme_of(s), (s, tag) in R.PLACED_SYMBOLS, _choices(c)) for (s, tag), c in R.SYMBOLS.items()]
+    rules = rule_table(objects.sparkSession, rows, f"source string, art string, thema string, needs_placed boolean, choices {CHOICE}")
     base = objects.join(rules, "source").withColumn("rule_style", chosen("choices", "attrs")).drop("choices")
     ov = overrides.select("gml_id", "art", "signaturnummer", "positionierungsregel", "modell")
     out = (base.join(_prefixed(placed.select("gml_id", "art", "geom", "drehwinkel", "signaturnummer", "modell"), "p_"), ["gml_id", "art"], "left")
            .join(_prefixed(ov, "d_"), ["gml_id", "art"], "left"))
     style = links.style_priority("d_signaturnummer", "p_signaturnummer", "rule_style")
-    out = out.withColumn("signaturnummer", style).filter("signaturnummer IS NOT NULL")
+    out = out.withColumn("signaturnummer", style).filter("signaturnummer IS NOT NULL AND (NOT needs_placed OR p_geom IS NOT NULL)")
     look = ["gml_id", "thema", F.col("source").alias("layer"), F.coalesce("p_drehwinkel", F.lit(0.0)).alias("drehwinkel"),
             "signaturnummer", F.coalesce(A.arr_cat("p_modell", "d_modell"), F.col("modell")).alias("modell")]
     fills_ = F.col("p_geom").isNull() & F.col("d_positionierungsregel").isNotNull() & (G.kind("geom") == "POLYGON")
@@ -318,4 +320,4 @@ def derive(tables: dict[str, DataFrame], enums: DataFrame, catalogue: DataFrame)
     if "ax_besondereflurstuecksgrenze" in tables:
         drawn = drawn.unionByName(border_layer(tables["ax_besondereflurstuecksgrenze"]))
     return {"po_polygons": fills(objects), "po_lines": drawn, "po_points": points,
-            "po_labels": labels(objects, symbols_ if texts is None else texts, overrides, enums, catalogue)}
+            "po_labels": labels(objects, texts, overrides, enums, catalogue)}

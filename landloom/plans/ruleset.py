@@ -15,12 +15,15 @@ ANY: dict[str, str] = {}
 THEMES = {
     "Wohnbauflächen": ["ax_wohnbauflaeche"],
     "Industrie und Gewerbe": ["ax_industrieundgewerbeflaeche", "ax_halde", "ax_bergbaubetrieb", "ax_tagebaugrubesteinbruch",
-                              "ax_flaechegemischternutzung", "ax_flaechebesondererfunktionalerpraegung"],
+                              "ax_flaechegemischternutzung", "ax_flaechebesondererfunktionalerpraegung",
+                              "ax_vorratsbehaelterspeicherbauwerk", "ax_leitung"],
     "Sport und Freizeit": ["ax_sportfreizeitunderholungsflaeche"],
     "Friedhöfe": ["ax_friedhof"],
-    "Verkehr": ["ax_strassenverkehr", "ax_weg", "ax_platz", "ax_bahnverkehr", "ax_flugverkehr", "ax_schiffsverkehr", "ax_gleis"],
-    "Vegetation": ["ax_landwirtschaft", "ax_wald", "ax_gehoelz", "ax_heide", "ax_moor", "ax_sumpf"],
-    "Gebäude": ["ax_gebaeude"],
+    "Verkehr": ["ax_strassenverkehr", "ax_weg", "ax_platz", "ax_bahnverkehr", "ax_flugverkehr", "ax_schiffsverkehr", "ax_gleis",
+                "ax_bahnverkehrsanlage", "ax_flugverkehrsanlage", "ax_einrichtungenfuerdenschiffsverkehr"],
+    "Vegetation": ["ax_landwirtschaft", "ax_wald", "ax_gehoelz", "ax_heide", "ax_moor", "ax_sumpf", "ax_unlandvegetationsloseflaeche"],
+    "Gewässer": ["ax_fliessgewaesser", "ax_hafenbecken", "ax_stehendesgewaesser", "ax_meer", "ax_wasserspiegelhoehe"],
+    "Gebäude": ["ax_gebaeude", "ax_turm"],
     "Flurstücke": ["ax_flurstueck"],
 }
 
@@ -49,6 +52,19 @@ FILLS: dict[str, list[tuple[dict, int]]] = {
     "ax_heide": [(ANY, 25171404)],
     "ax_moor": [(ANY, 25171404)],
     "ax_sumpf": [(ANY, 25171404)],
+    "ax_unlandvegetationsloseflaeche": [({"funktion": "null 1000", "oberflaechenmaterial": "null 0 1010 1020 1030 1040"}, 2515),
+                                        ({"funktion": "null 1000", "oberflaechenmaterial": "1110 1120"}, 2518),
+                                        ({"funktion": "!null 1000"}, 25151406)],
+    "ax_fliessgewaesser": [({"zustand": "4000"}, 2519), (ANY, 25181410)],
+    "ax_hafenbecken": [(ANY, 25181410)],
+    "ax_stehendesgewaesser": [({"hydrologischesmerkmal": "null"}, 25181410), ({"hydrologischesmerkmal": "2000"}, 25201410)],
+    "ax_meer": [(ANY, 25181410)],
+    "ax_vorratsbehaelterspeicherbauwerk": [({"lagezurerdoberflaeche": "null"}, 1305), ({"lagezurerdoberflaeche": "1200"}, 1321),
+                                           ({"lagezurerdoberflaeche": "1400"}, 20311304)],
+    "ax_bahnverkehrsanlage": [(ANY, 1541)],
+    "ax_flugverkehrsanlage": [({"art": "1310 1320 1330 5531"}, 1808)],
+    "ax_einrichtungenfuerdenschiffsverkehr": [(ANY, 1544)],
+    "ax_turm": [({"zustand": "2200"}, 1502), (ANY, 1501)],
 }
 
 # Symbol style per object type, placed-object tag and code.
@@ -75,6 +91,20 @@ SYMBOLS: dict[tuple[str, str], list[tuple[dict, str]]] = {
     ("ax_heide", "Heide"): [(ANY, "3474")],
     ("ax_moor", "Moor"): [(ANY, "3476")],
     ("ax_sumpf", "Sumpf"): [(ANY, "3478")],
+    ("ax_unlandvegetationsloseflaeche", "OFM"): [
+        ({"funktion": "null 1000", "oberflaechenmaterial": c}, s) for c, s in (
+            ("null", "3480"), ("1010", "3481"), ("1020", "3482"), ("1030", "3483"), ("1040", "3484"), ("1110 1120", "3486"))],
+    ("ax_fliessgewaesser", "Fließpfeil"): [(ANY, "3488")],
+    ("ax_fliessgewaesser", "FKT"): [(ANY, "3490")],
+    ("ax_hafenbecken", "FKT"): [(ANY, "3490")],
+    ("ax_stehendesgewaesser", "FKT"): [(ANY, "3490")],
+    ("ax_meer", "FKT"): [(ANY, "3490")],
+    ("ax_vorratsbehaelterspeicherbauwerk", "Vorratsbehaelter"): [({"_dim": "1 3"}, "3522")],
+    ("ax_flugverkehrsanlage", "ART"): [({"_dim": "1", "art": "1410"}, "3589"), ({"_dim": "1", "art": "1420"}, "3590"),
+                                       ({"_dim": "1", "art": "1430"}, "3556")],
+    ("ax_einrichtungenfuerdenschiffsverkehr", "ART"): [
+        ({"_dim": "1", "art": c}, s) for c, s in (("1420", "3590"), ("1430", "3556"), ("1440", "3583"), ("1450", "3584"), ("9999", "3640"))],
+    ("ax_wasserspiegelhoehe", "SYMBOL"): [(ANY, "3623")],
     ("ax_gebaeude", "GFK"): [
         ({"gebaeudefunktion": c}, s) for c, s in (
             ("2030", "3300"), ("2056", "3338"), ("2071", "3302"), ("2072", "3303"), ("2081", "3305"), ("2092", "3306"),
@@ -84,6 +114,9 @@ SYMBOLS: dict[tuple[str, str], list[tuple[dict, str]]] = {
             ("3095", "3330"), ("3097", "3332"), ("3221", "3334"), ("3290", "3340"))],
 }
 
+# Symbols drawn only where a placed symbol exists.
+PLACED_SYMBOLS = [("ax_fliessgewaesser", "Fließpfeil"), ("ax_flugverkehrsanlage", "ART")]
+
 # Label tag, default style, and where the text comes from.
 # text: attribute; enum: (domain, attribute, text before, text after); catalogue: street catalogue name;
 # constant: texts by code; missing: text when the catalogue has no entry; placed: only with a placed text.
@@ -115,6 +148,16 @@ LABELS: dict[tuple[str, str], dict] = {
     ("ax_moor", "NAM"): {"style": "4209", "text": "name"},
     ("ax_sumpf", "NAM"): {"style": "4209", "text": "name"},
     ("ax_gleis", "NAM"): {"style": "4107", "text": "name"},
+    ("ax_unlandvegetationsloseflaeche", "NAM"): {"style": "4150", "text": "name"},
+    ("ax_hafenbecken", "NAM"): {"style": "4211", "text": "unverschluesselt", "catalogue": True},
+    ("ax_meer", "NAM"): {"style": "4286", "text": "unverschluesselt", "catalogue": True},
+    ("ax_vorratsbehaelterspeicherbauwerk", "NAM"): {"style": "4107", "text": "name"},
+    ("ax_leitung", "BWF"): {"style": "4070", "constant": [({"bauwerksfunktion": "1111"}, "Erdkabel")]},
+    ("ax_flugverkehrsanlage", "NAM"): {"style": "4107", "text": "name"},
+    ("ax_einrichtungenfuerdenschiffsverkehr", "KMA"): {"style": "4101", "text": "kilometerangabe"},
+    ("ax_einrichtungenfuerdenschiffsverkehr", "NAM"): {"style": "4081", "text": "name"},
+    ("ax_turm", "NAM"): {"style": "4074", "text": "name"},
+    ("ax_wasserspiegelhoehe", "HWS"): {"style": "4102", "text": "hoehedeswasserspiegels"},
 }
 # Place names shown where a placed text of the tag exists.
 PLACE_LABELS = {"Gewanne": "4206"}
@@ -126,6 +169,7 @@ for _tag, _style in PLACE_LABELS.items():
 # Line style per object type and code.
 LINES: dict[str, list[tuple[dict, int]]] = {
     "ax_gleis": [({"lagezuroberflaeche": "null"}, 2525), ({"lagezuroberflaeche": "1200"}, 2300), ({"lagezuroberflaeche": "1400"}, 2301)],
+    "ax_leitung": [({"bauwerksfunktion": "1110"}, 2524), ({"bauwerksfunktion": "1111"}, 2523)],
 }
 
 # Symbol spacing along tracks in millimetres and symbol, by track category.

@@ -202,3 +202,46 @@ def test_stream_batches_follow_each_other(spark, tmp_path):
     assert got == [("2020-01-01T00:00:00Z", "2025-01-01T00:00:00Z", "A,R1"), ("2021-01-01T00:00:00Z", "2026-01-01T00:00:00Z", "A,R2")]
     S.compact(spark, root, str(tmp_path / "new"))
     assert S.snapshot(spark, str(tmp_path / "new")).count() == 2
+
+
+def test_layers_of_mixed_objects(spark):
+    from landloom.plans import rules
+    none = lambda t: F.lit(None).cast(t)
+    base = lambda geom, **kw: spark.range(1).select(
+        F.lit("DESN1").alias("gml_id"), none("string").alias("endet"), geom.alias("wkb_geometry"), F.array(F.lit("M")).alias("advstandardmodell"),
+        none("array<string>").alias("sonstigesmodell"), *[v.alias(k) for k, v in kw.items()])
+    square = G.rectangle(F.lit(0), F.lit(0), F.lit(10), F.lit(10))
+    tables = {
+        "ax_gebaeude": base(square, gebaeudefunktion=F.lit(2030), hochhaus=F.lit("true"), zustand=none("int"), lagezurerdoberflaeche=none("int"), bauweise=none("int")),
+        "ax_fliessgewaesser": base(square, zustand=F.lit(4000)),
+        "ax_leitung": base(G.line(F.array(G.vertex(0, 0), G.vertex(4, 0))), bauwerksfunktion=F.lit(1111)),
+        "ax_einrichtungenfuerdenschiffsverkehr": base(G.point(F.lit(3.0), F.lit(4.0)), art=F.lit(1440), kilometerangabe=F.lit("12,5"), name=none("string")),
+    }
+    look = dict(art=none("string"), signaturnummer=none("string"), drehwinkel=none("double"), horizontaleausrichtung=none("string"), vertikaleausrichtung=none("string"),
+                skalierung=none("double"), fontsperrung=none("int"), schriftinhalt=none("string"), positionierungsregel=none("string"),
+                dientzurdarstellungvon=none("array<string>"))
+    empty = base(square, **look).limit(0)
+    tables |= {"ap_ppo": empty, "ap_pto": empty, "ap_darstellung": empty}
+    enums = spark.createDataFrame([], "domain string, code string, label string")
+    catalogue = spark.createDataFrame([], "katalogschluessel string, bezeichnung string, beginnt string")
+    out = rules.derive(tables, enums, catalogue)
+    styles = lambda layer: sorted((r.layer, r.signaturnummer) for r in out[layer].collect())
+    assert styles("po_polygons") == [("ax_fliessgewaesser", "2519"), ("ax_gebaeude", "26231304")]
+    assert styles("po_lines") == [("ax_leitung", "2523")]
+    assert styles("po_points") == [("ax_einrichtungenfuerdenschiffsverkehr", "3583"), ("ax_fliessgewaesser", "3490"), ("ax_gebaeude", "3300")]
+    assert sorted(r.text for r in out["po_labels"].collect()) == ["12,5", "Erdkabel"]
+
+
+def test_symbols_fill_an_area_by_placing_rule(spark):
+    from landloom.plans import rules
+    none = lambda t: F.lit(None).cast(t)
+    wood = spark.range(1).select(F.lit("DESN1").alias("gml_id"), none("string").alias("endet"), none("int").alias("vegetationsmerkmal"),
+                                 G.rectangle(F.lit(0), F.lit(0), F.lit(30), F.lit(30)).alias("wkb_geometry"), F.array(F.lit("M")).alias("advstandardmodell"))
+    rule = spark.range(1).select(F.array(F.lit("DESN1")).alias("dientzurdarstellungvon"), F.lit("VEG").alias("art"), none("string").alias("signaturnummer"),
+                                 F.lit("1100").alias("positionierungsregel"), none("string").alias("endet"), none("double").alias("drehwinkel"),
+                                 none(G.GEOM).alias("wkb_geometry"))
+    out = rules.symbols(rules.unified({"ax_wald": wood}), rules.placed_links(rule.limit(0)), rules.placed_links(rule))
+    got = [(r.signaturnummer, r.x, r.y) for r in out.select("signaturnummer", F.col("point")["parts"][0][0]["x"].alias("x"), F.col("point")["parts"][0][0]["y"].alias("y")).collect()]
+    want = {(7.0 * c + (3.5 if r % 2 else 0.0), 3.5 * r) for r in range(9) for c in range(5)}
+    want = {(x, y) for x, y in want if 0.5 <= x <= 29.5 and 0.5 <= y <= 29.5}
+    assert {s for s, _, _ in got} == {"3456"} and {(x, y) for _, x, y in got} == want
