@@ -70,7 +70,7 @@ FIXTURES: dict[str, str] = {
         FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey""",
     "override": """
         SELECT CAST(l_partkey AS STRING) AS target, CAST(max(l_linenumber) + 4200 AS STRING) AS style
-        FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey % 3 = 0 GROUP BY l_partkey""",
+        FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_partkey""",
     # height per line number, kept per order; vertices (10k, y_{k-1}) and (10k, y_k)
     "steps": """
         SELECT l_orderkey AS oid, l_linenumber AS k, CAST(floor(min(l_quantity)) AS BIGINT) AS y

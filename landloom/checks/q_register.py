@@ -14,7 +14,7 @@ BASE = {
     "fl": """SELECT pid AS ogc_fid, 'DESN' || lpad(CAST(pid AS STRING), 12, '0') AS gml_id, lpad(CAST(pid % 7 AS STRING), 4, '2') AS beginnt,
         '14' AS land, lpad(CAST(psize % 9 AS STRING), 4, '0') AS gemarkungsnummer, CAST(pid % 12 AS INT) AS flurnummer, CAST(idiv(pid, 2) AS STRING) AS zaehler,
         CAST(psize AS STRING) AS nenner, official AS amtlicheflaeche, '5' AS rb, CAST(psize % 2 AS STRING) AS kr, CAST(psize % 4 AS STRING) AS gem,
-        psize, x0, y0, x1, y1, 'DESN' || lpad(CAST(pid % 150 AS STRING), 12, '0') AS za, 'K' || CAST(pid % 500 AS STRING) AS istgebucht FROM parcel""",
+        psize, x0, y0, x1, y1, 'DESN' || lpad(CAST(pid AS STRING), 12, '0') AS za, 'K' || CAST(pid % 5000 AS STRING) AS istgebucht FROM parcel""",
     "flk": """SELECT *, '14' || gemarkungsnummer AS gemashl, '145' || lpad(kr, 2, '0') || lpad(gem, 3, '0') AS gemshl,
         '14' || gemarkungsnummer || '-' || lpad(CAST(flurnummer AS STRING), 3, '0') || '-' || lpad(zaehler, 5, '0') || '/K' || lpad(CAST(psize AS STRING), 3, '0') AS flsnr FROM fl""",
 }
@@ -39,7 +39,7 @@ def opened(df):
 
 
 def places(d):
-    return opened(d.sql("SELECT 'DESN' || lpad(CAST(c_custkey AS STRING), 12, '0') AS gml_id, c_mktsegment AS unverschluesselt FROM customer WHERE c_custkey < 100"))
+    return opened(d.sql("SELECT 'DESN' || lpad(CAST(c_custkey AS STRING), 12, '0') AS gml_id, c_mktsegment AS unverschluesselt FROM customer"))
 
 
 FIRST = "k AS (SELECT *, min(beginnt) OVER (PARTITION BY flsnr) AS first FROM flk)"
@@ -48,7 +48,7 @@ FIRST = "k AS (SELECT *, min(beginnt) OVER (PARTITION BY flsnr) AS first FROM fl
 @query("m01_parcels", fixture_sql("", "flk").rstrip() + ", " + FIRST + """
 SELECT flsnr, gemashl, gemshl, CAST(official AS DOUBLE) AS amtlflsfl, CAST(100 AS DOUBLE) AS gemflsfl, CAST(1990 + psize AS STRING) || '/     -  ' AS entst,
   lpad(CAST(CAST((x0 + 5) * 10 AS BIGINT) AS STRING), 8, '0') || ' ' || lpad(CAST(CAST((y0 + 5) * 10 AS BIGINT) AS STRING), 8, '0') AS flskoord, c_mktsegment AS lagebez
-FROM (SELECT k.*, amtlicheflaeche AS official FROM k WHERE beginnt = first) f LEFT JOIN customer ON c_custkey = f.ogc_fid % 150 AND c_custkey < 100""", ("parcel",))
+FROM (SELECT k.*, amtlicheflaeche AS official FROM k WHERE beginnt = first) f LEFT JOIN customer ON c_custkey = f.ogc_fid""", ("parcel",))
 def _(d):
     return R.flurst(parcels(d), places(d)).select("flsnr", "gemashl", "gemshl", "amtlflsfl", "gemflsfl", "entst", "flskoord", "lagebez")
 
@@ -89,7 +89,7 @@ def _(d):
 ADDR = """SELECT 'DESN' || lpad(CAST(c_custkey AS STRING), 12, '0') AS gml_id, CASE WHEN c_custkey % 2 = 0 THEN lpad(CAST(c_nationkey AS STRING), 5, '0') END AS lage,
  CASE WHEN c_custkey % 2 = 1 THEN CASE WHEN c_custkey % 3 = 0 THEN 'Supplier#000000001' ELSE 'Str. ' || c_mktsegment END END AS unverschluesselt,
  '14' AS land, '5' AS regierungsbezirk, CAST(c_nationkey % 2 AS STRING) AS kreis, CAST(c_nationkey % 4 AS STRING) AS gemeinde, CAST(c_custkey % 30 AS STRING) AS hausnummer
- FROM customer WHERE c_custkey < 150"""
+ FROM customer"""
 SYN_SQL = f"""adr AS ({ADDR}), unc AS (SELECT f.flsnr, f.gemshl, a.unverschluesselt AS strname, a.hausnummer FROM adr a JOIN flk f ON f.za = a.gml_id WHERE a.lage IS NULL),
 syn AS (SELECT gemshl || '   -' || CAST(row_number() OVER (PARTITION BY gemshl ORDER BY strname) + (SELECT count(*) FROM str s WHERE s.gemshl = n.gemshl) AS STRING) AS strshl, strname, gemshl
  FROM (SELECT DISTINCT gemshl, strname FROM unc) n WHERE NOT EXISTS (SELECT 1 FROM str s WHERE s.gemshl = n.gemshl AND s.strname = n.strname))"""
@@ -126,10 +126,10 @@ def _(d):
     return R.used_streets(all_streets(d), assignments(d))
 
 
-# bookings: 500 first-level bookings, each referred to by orders, those by further orders
-BOOK = """SELECT 'K' || CAST(o_orderkey AS STRING) AS gml_id, 'S' || CAST(o_custkey % 40 AS STRING) AS istbestandteilvon, CASE WHEN o_orderkey >= 500 THEN 'K' || CAST(idiv(o_orderkey, 3) AS STRING) END AS an1,
+# bookings: 5000 first-level bookings, each referred to by orders, those by further orders
+BOOK = """SELECT 'K' || CAST(o_orderkey AS STRING) AS gml_id, 'S' || CAST(o_custkey % 40 AS STRING) AS istbestandteilvon, CASE WHEN o_orderkey >= 5000 THEN 'K' || CAST(idiv(o_orderkey, 3) AS STRING) END AS an1,
  1 AS zaehler, 1 + o_orderkey % 4 AS nenner, CAST(1000 + o_orderkey % 3 AS INT) AS buchungsart, CAST(o_orderkey % 10 AS STRING) AS laufendenummer,
- CASE WHEN o_orderkey % 6 = 0 THEN o_orderpriority END AS beschreibungdessondereigentums FROM orders WHERE o_orderkey < 1500"""
+ CASE WHEN o_orderkey % 6 = 0 THEN o_orderpriority END AS beschreibungdessondereigentums FROM orders"""
 SHEET = """SELECT DISTINCT 'S' || CAST(o_custkey % 40 AS STRING) AS gml_id, '14' AS land, CAST(10 + (o_custkey % 40) % 4 AS STRING) AS bezirk,
  CASE WHEN o_custkey % 2 = 0 THEN CAST((o_custkey % 40) % 36 AS STRING) ELSE CAST((o_custkey % 40) % 36 AS STRING) || ' ' END AS buchungsblattnummermitbuchstabenerweiterung,
  CASE WHEN (o_custkey % 40) % 7 = 0 THEN '5000' ELSE '1000' END AS blattart, lpad(CAST(o_custkey % 40 AS STRING), 4, '0') AS beginnt FROM orders"""
@@ -147,8 +147,8 @@ def sheets(d):
 OWN_SQL = f"""bk AS ({BOOK}), {SHEETK},
 walk AS (SELECT b.gml_id, f.flsnr, s.bestdnr, b.buchungsart, b.laufendenummer, CAST(b.nenner AS BIGINT) AS den, s.blattart FROM flk f JOIN bk b ON b.gml_id = f.istgebucht JOIN shk s ON s.gml_id = b.istbestandteilvon
  UNION ALL SELECT b.gml_id, w.flsnr, s.bestdnr, b.buchungsart, b.laufendenummer, w.den * b.nenner, s.blattart FROM walk w JOIN bk b ON b.an1 = w.gml_id JOIN shk s ON s.gml_id = b.istbestandteilvon),
-summed AS (SELECT flsnr, bestdnr, buchungsart, laufendenummer, CAST(sum(20736 // den) AS BIGINT) AS s FROM walk WHERE blattart <> '5000' GROUP BY ALL),
-own AS (SELECT flsnr, bestdnr, CAST(buchungsart AS INT) AS b, laufendenummer AS auftlnr, CAST(s // gcd(s, 20736) AS STRING) || '/' || CAST(20736 // gcd(s, 20736) AS STRING) AS anteil,
+summed AS (SELECT flsnr, bestdnr, buchungsart, laufendenummer, CAST(sum(429981696 // den) AS BIGINT) AS s FROM walk WHERE blattart <> '5000' GROUP BY ALL),
+own AS (SELECT flsnr, bestdnr, CAST(buchungsart AS INT) AS b, laufendenummer AS auftlnr, CAST(s // gcd(s, 429981696) AS STRING) || '/' || CAST(429981696 // gcd(s, 429981696) AS STRING) AS anteil,
   row_number() OVER (PARTITION BY bestdnr ORDER BY laufendenummer, flsnr, buchungsart) AS rn FROM summed)"""
 
 

@@ -432,11 +432,11 @@ def _(d):
 
 @query("u04_insert_or_skip", """
 SELECT k, src FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY prio) AS rn FROM (
- SELECT s_nationkey AS k, 'tower' AS src, 0 AS prio FROM supplier WHERE s_suppkey % 3 = 0
- UNION ALL SELECT c_nationkey, 'building', 1 FROM customer WHERE c_custkey % 11 = 0 UNION ALL SELECT n_nationkey, 'parcel', 2 FROM nation) u) t WHERE rn = 1""")
+ SELECT s_nationkey AS k, 'tower' AS src, 0 AS prio FROM supplier WHERE s_acctbal > 8500
+ UNION ALL SELECT c_nationkey, 'building', 1 FROM customer WHERE c_acctbal > 9900 UNION ALL SELECT n_nationkey, 'parcel', 2 FROM nation) u) t WHERE rn = 1""")
 def _(d):
-    s = d["supplier"].filter("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("k"), F.lit("tower").alias("src"))
-    c = d["customer"].filter("c_custkey % 11 = 0").select(F.col("c_nationkey").alias("k"), F.lit("building").alias("src"))
+    s = d["supplier"].filter("s_acctbal > 8500").select(F.col("s_nationkey").alias("k"), F.lit("tower").alias("src"))
+    c = d["customer"].filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("k"), F.lit("building").alias("src"))
     n = d["nation"].select(F.col("n_nationkey").alias("k"), F.lit("parcel").alias("src"))
     return lookups.priority_union([s, c, n], ["k"])
 
@@ -520,13 +520,13 @@ def _(d):
 
 @query("x12_parcel_key", """
 SELECT p_partkey, '14' || lpad(CAST(p_size AS VARCHAR), 4, '0') || '-' || lpad(CAST(p_partkey % 12 AS VARCHAR), 3, '0') || '-' ||
-  CASE p_partkey % 4 WHEN 0 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') || '/' || lpad(CAST(p_size AS VARCHAR), 4, '0')
+  CASE p_partkey % 4 WHEN 0 THEN CASE WHEN p_partkey > 9999 THEN '####' ELSE lpad(CAST(p_partkey AS VARCHAR), 4, '0') END || '/' || lpad(CAST(p_size AS VARCHAR), 4, '0')
     WHEN 1 THEN lpad(CAST(p_partkey AS VARCHAR), 5, '0') || '/' || lpad(CAST(p_size AS VARCHAR), 4, '0')
     WHEN 2 THEN lpad(CAST(p_partkey AS VARCHAR), 5, '0') || '/' || 'ABCD'
-    ELSE lpad(CAST(p_partkey AS VARCHAR), 5, '0') || '/' || lpad(CAST(p_size AS VARCHAR), 3, '0') END AS k FROM part WHERE p_partkey < 10000""")
+    ELSE lpad(CAST(p_partkey AS VARCHAR), 5, '0') || '/' || lpad(CAST(p_size AS VARCHAR), 3, '0') END AS k FROM part""")
 def _(d):
     state = F.element_at(F.array(*[F.lit(s) for s in ("DESL", "DETH", "DESN", "DENW")]), (F.col("p_partkey") % 4 + 1).cast("int"))
-    df = d["part"].filter("p_partkey < 10000").select(
+    df = d["part"].select(
         "p_partkey", F.concat(state, F.lit("000000000001")).alias("gml_id"), F.lit("14").alias("land"), F.col("p_size").cast("string").alias("gemarkungsnummer"),
         (F.col("p_partkey") % 12).alias("flurnummer"), F.col("p_partkey").cast("string").alias("zaehler"), F.col("p_size").cast("string").alias("nenner"),
         F.lit("12345678901234ABCD__").alias("flurstueckskennzeichen"))

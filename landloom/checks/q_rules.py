@@ -30,9 +30,9 @@ def tables(d):
 
 PTO = """SELECT CAST(l_partkey AS BIGINT) AS pk, CASE l_linenumber WHEN 1 THEN 'NAM' WHEN 2 THEN 'Halde_LGT' WHEN 3 THEN 'VEG' WHEN 4 THEN 'FKT' ELSE 'ART' END AS art,
  min(l_linestatus) AS txt, CASE WHEN min(l_quantity) > 2 THEN CAST(3000 + min(l_linenumber) * 100 AS STRING) END AS style
- FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 10 = 0 GROUP BY 1, 2"""
+ FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2"""
 OVR = """SELECT CAST(l_partkey AS BIGINT) AS pk, CASE l_linenumber WHEN 1 THEN 'NAM' WHEN 2 THEN 'Halde_LGT' WHEN 3 THEN 'VEG' WHEN 4 THEN 'FKT' ELSE 'ART' END AS art,
- CAST(5000 + min(l_linenumber) * 100 AS STRING) AS style FROM lineitem WHERE l_returnflag = 'A' AND l_suppkey % 10 = 1 GROUP BY 1, 2"""
+ CAST(5000 + min(l_linenumber) * 100 AS STRING) AS style FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2"""
 
 
 def placed(d):
