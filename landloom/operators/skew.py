@@ -29,7 +29,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
 
 def salted_side(big: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """``big`` with a ``_salt`` column: a function of the row, so a recomputed task repeats it."""
-    spread = F.xxhash64(*big.columns)
+    spread = F.xxhash64(*[c for c, t in big.dtypes if "map<" not in t])  # maps cannot be hashed
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     pick = (F.when(no_key, F.pmod(spread, F.lit(MAX_SALTS)))
             .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts"))).otherwise(0).cast("int"))
