@@ -26,6 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file; every executor has it at the same place."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op1_sentencepiece")
+def op1(spark, sf_dir):
+    from . import sentencepiece as codec
+    path = tokenizer_file("piece_bpe_32k.model")
+    done = codec.decode(codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    ids = F.sha2(F.array_join("ids", ",").cast("binary"), 256)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(codec.BLANK), F.lit(" "))).alias("round_trip"))
+
+
 @query("op2_minhash_near_dedup", f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{BLANKS}') AS w FROM documents),
@@ -46,6 +63,53 @@ def op2(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+OVER_LIMIT = 2048
+
+
+@query("op3_token_counts")
+def op3(spark, sf_dir):
+    from .token_counts import count_tokens
+    out = count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > OVER_LIMIT)
+
+
+@query("op4_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 400) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 199, 0))) AS i FROM d)),
+r AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+m AS (SELECT doc_id, i FROM s SEMI JOIN r USING (g)),
+b AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, TRUE) AS new FROM m),
+n AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b),
+p AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM n GROUP BY doc_id, k),
+q AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM p),
+k AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans, max(z) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS x
+      FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(x, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
+def op4(spark, sf_dir):
+    from .suffix import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query("op5_lm_scoring")
+def op5(spark, sf_dir):
+    from .ppm import pretrained
+    return pretrained(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_classifier")
+def op6(spark, sf_dir):
+    from . import ranker
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = ranker.held_out(F.col("doc_id"))
+    model = ranker.fit(docs, labels.filter(~held).select("doc_id", F.col("quality").alias("label")))
+    return ranker.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @query("op7_quality_rules")
 def op7(spark, sf_dir):
     from .quality_rules import quality_rules
