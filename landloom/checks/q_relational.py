@@ -192,14 +192,14 @@ def chain(d):
 @query("j19_recursive_bookings", CHAIN + """
 SELECT root, depth, count(*) AS n, CAST(sum(den) AS BIGINT) AS dens FROM walk GROUP BY root, depth""")
 def _(d):
-    return chain(d).groupBy("root", "depth").agg(n_rows(), F.sum("den").cast("long").alias("dens"))
+    return chain(d).groupBy("root", "depth").agg(n_rows(), F.sum(F.col("den").cast("decimal(38,0)")).cast("long").alias("dens"))
 
 
 @query("a05_fraction_sum", CHAIN + """,
 tot AS (SELECT root, CAST(sum(num * (216000 // den)) AS BIGINT) AS s FROM walk WHERE 216000 % den = 0 GROUP BY root)
 SELECT root, CAST(s // gcd(s, 216000) AS VARCHAR) || '/' || CAST(216000 // gcd(s, 216000) AS VARCHAR) AS anteil FROM tot""")
 def _(d):
-    return FR.sum_fractions(chain(d), ["root"], "num", "den", reduce=True)
+    return FR.sum_fractions(chain(d), ["root"], "num", "den", reduce=True).select("root", "anteil")
 
 
 # -- projections, predicates, set operations ------------------------------
@@ -382,12 +382,13 @@ def _(d):
 
 @query("a07_share_weighted_area", """
 SELECT o_custkey, round(sum(floor(o_totalprice) * CASE WHEN d = 0 THEN 1.0 ELSE CAST(1 AS DOUBLE) / d END), 3) AS area
-FROM (SELECT *, o_orderkey % 7 AS d FROM orders) t WHERE o_orderkey % 11 <> 0 GROUP BY o_custkey""")
+FROM (SELECT *, o_orderkey % 7 AS d FROM orders) t GROUP BY o_custkey""")
 def _(d):
-    share = F.when(F.col("o_orderkey") % 11 == 0, F.lit("1/123456789...")).otherwise(
-        F.concat(F.lit("1/"), (F.col("o_orderkey") % 7).cast("string")))
-    whole = d["orders"].withColumn("anteil", share).withColumn("flaeche", F.floor("o_totalprice").cast("double"))
-    return shares.weighted_area(whole, ["o_custkey"], "flaeche", "anteil").select(
+    # both sides with 24 more digits: only the columns hold them, no cut text does
+    long_ = lambda c: F.concat(c.cast("string"), F.lit("0" * 24))
+    whole = (d["orders"].withColumns({"n": long_(F.lit(1)), "d": F.when(F.col("o_orderkey") % 7 != 0, long_(F.col("o_orderkey") % 7)).otherwise("0")})
+             .withColumn("flaeche", F.floor("o_totalprice").cast("double")))
+    return shares.weighted_area(whole, ["o_custkey"], "flaeche", "n", "d").select(
         "o_custkey", F.round("area", 3).alias("area"))
 
 

@@ -1,68 +1,96 @@
-"""Sums of ownership fractions."""
+"""Ownership fractions of any length, held as decimal texts.
+
+Numerators and denominators have no limit of digits.  Sums split a numerator
+into limbs of ``LIMB`` digits that are added up with map-side combine; products
+and common denominators are whole numbers of Python in Arrow batches, one per
+group or per row that outgrows a decimal.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+import sys
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 NUM = "decimal(38,0)"
-FRAC = f"struct<n:{NUM},d:{NUM}>"
-EUCLID_STEPS = 190  # enough for any two 38-digit numbers
-SALTS = 8
+LIMB = 18
+#: Denominators folded by one row of the first step.
+FOLD = 500
 
 
-def _frac(n: Column, d: Column) -> Column:
-    return F.struct(n.cast(NUM).alias("n"), d.cast(NUM).alias("d"))
+def _whole(text) -> int:
+    if sys.get_int_max_str_digits():
+        sys.set_int_max_str_digits(0)
+    return int(text)
 
 
-def gcd(a: Column, b: Column) -> Column:
-    """Greatest common divisor by Euclid's steps."""
-    start = F.struct(F.abs(a).cast(NUM).alias("a"), F.abs(b).cast(NUM).alias("b"))
-    step = lambda s, _: F.when(s["b"] == 0, s).otherwise(
-        F.struct(s["b"].alias("a"), F.try_mod(s["a"], s["b"]).cast(NUM).alias("b")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(EUCLID_STEPS)), start, step)["a"]
+def digits(value: Column, kind: str) -> Column:
+    """A whole number of type ``kind`` as text; texts stay as they are."""
+    return value if kind == "string" else value.cast(NUM).cast("string")
 
 
-def reduced(f: Column) -> Column:
-    g = F.greatest(gcd(f["n"], f["d"]), F.lit(1).cast(NUM))
-    return _frac(f["n"] / g, f["d"] / g)
+@F.pandas_udf(T.StringType())
+def times(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else str(_whole(x) * _whole(y)) for x, y in zip(a, b)], dtype=object)
 
 
-def add(a: Column, b: Column) -> Column:
-    """Equal denominators add, others cross-multiply; null past 38 digits."""
-    cross = _frac(F.try_add(F.try_multiply(a["n"], b["d"]), F.try_multiply(b["n"], a["d"])),
-                  F.try_multiply(a["d"], b["d"]))
-    return F.when(a["d"] == b["d"], _frac(F.try_add(a["n"], b["n"]), a["d"])).otherwise(cross)
+@F.pandas_udf(T.StructType([T.StructField("n", T.StringType()), T.StructField("d", T.StringType())]))
+def _folded(parts: pd.Series, reduce: pd.Series) -> pd.DataFrame:
+    """Sum of fractions (d, limbs of n): equal denominators add, others cross-multiply, smallest first."""
+    out = []
+    for group, lowest in zip(parts, reduce):
+        n, d = 0, 1
+        for q, p in sorted((_whole(f["d"]), sum(_whole(x["s"]) * 10 ** (LIMB * x["i"]) for x in f["limbs"])) for f in group):
+            n, d = (n + p, d) if q == d else (n * q + p * d, d * q)
+        if lowest:
+            g = math.gcd(n, d) or 1
+            n, d = n // g, d // g
+        out.append((str(n), str(d)))
+    return pd.DataFrame(out, columns=["n", "d"])
 
 
-def _fold(parts: Column) -> Column:
-    """Plain sum; where 38 digits do not hold it, the sum reduced at every step."""
-    zero = _frac(F.lit(0), F.lit(1))
-    plain = F.aggregate(parts, zero, add)
-    careful = F.aggregate(parts, zero, lambda s, f: reduced(add(s, f)))
-    return F.when(plain["n"].isNotNull() & plain["d"].isNotNull(), plain).otherwise(careful)
+def _limbs(n: Column) -> Column:
+    """Limbs of a decimal text, lowest first, each with its sign."""
+    sign = F.when(n.startswith("-"), F.lit(-1)).otherwise(1)
+    bare = F.ltrim(n, F.lit("-"))
+    count = F.ceil(F.char_length(bare) / LIMB).cast("int")
+    padded = F.lpad(bare, count * LIMB, F.lit("0"))
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda i: sign * F.substring(padded, (count - 1 - i) * LIMB + 1, F.lit(LIMB)).cast("long"))
 
 
 def as_text(f: Column) -> Column:
-    return F.concat_ws("/", f["n"].cast("string"), f["d"].cast("string"))
+    return F.concat_ws("/", f["n"], f["d"])
 
 
 def sum_fractions(df: DataFrame, keys: list[str], num: str, den: str,
                   out: str = "anteil", reduce: bool = False) -> DataFrame:
-    """Sum ``num/den`` per key as text.
+    """Sum ``num/den`` per key: the text ``out`` and the struct ``out``_parts (n, d texts).
 
-    Equal denominators are summed first (with map-side combine), the distinct
-    denominators of a group are folded in salted parts and the parts joined, so
-    no group is held as a whole.  ``reduce=False`` keeps unreduced fractions and
-    reduces only where 38 digits do not hold the product.
+    A missing numerator or denominator counts as 1.  Equal denominators are
+    summed first (with map-side combine); the distinct denominators of a key are
+    folded in parts of about ``FOLD``, then the parts.  The size of the last step
+    is that of the result itself, which holds the product of all denominators.
     """
-    n = F.coalesce(F.col(num), F.lit(1)).cast(NUM)
-    d = F.coalesce(F.col(den), F.lit(1)).cast(NUM)
-    by_den = (df.select(*keys, n.alias("_n"), d.alias("_d"))
-              .groupBy(*keys, "_d").agg(F.sum("_n").cast(NUM).alias("_n")))
-    salt = F.pmod(F.xxhash64("_d"), F.lit(SALTS))
-    lists = by_den.groupBy(*keys, salt.alias("_s")).agg(
-        F.array_sort(F.collect_list(F.struct("_d", "_n"))).alias("_l"))  # by denominator
-    parts = lists.select(*keys, "_s", _fold(F.transform("_l", lambda p: _frac(p["_n"], p["_d"]))).alias("_f"))
-    total = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_s", "_f"))).alias("_l"))
-    whole = total.select(*keys, _fold(F.transform("_l", lambda p: p["_f"])).alias("_f"))
-    return whole.select(*keys, as_text(reduced(F.col("_f")) if reduce else F.col("_f")).alias(out))
+    kind = dict(df.dtypes)
+    text = lambda c: F.coalesce(digits(F.col(c), kind[c]), F.lit("1"))
+    each = df.select(*keys, text(den).alias("_d"), F.posexplode(_limbs(text(num))).alias("_i", "_p"))
+    limbs = each.groupBy(*keys, "_d", "_i").agg(F.sum(F.col("_p").cast("decimal(20,0)")).cast("string").alias("_p"))
+    by_den = limbs.groupBy(*keys, "_d").agg(F.collect_list(F.struct(F.col("_i").alias("i"), F.col("_p").alias("s"))).alias("_l"))
+    many = by_den.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.ceil(F.count(F.lit(1)) / FOLD).alias("_parts"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    parted = by_den.join(many, same).select(*keys, F.pmod(F.xxhash64("_d"), F.col("_parts")).alias("_s"),
+                                            F.struct(F.col("_d").alias("d"), F.col("_l").alias("limbs")).alias("_f"))
+    first = parted.groupBy(*keys, "_s").agg(F.collect_list("_f").alias("_f")).select(*keys, _folded("_f", F.lit(False)).alias("_f"))
+    again = F.struct(F.col("_f.d").alias("d"), F.transform(_limbs(F.col("_f.n")), lambda s, i: F.struct(i.alias("i"), s.cast("string").alias("s"))).alias("limbs"))
+    whole = first.groupBy(*keys).agg(F.collect_list(again).alias("_f")).select(*keys, _folded("_f", F.lit(reduce)).alias("_f"))
+    return whole.select(*keys, as_text(F.col("_f")).alias(out), F.col("_f").alias(f"{out}_parts"))
+
+
+def ratio(n: Column, d: Column) -> Column:
+    """n / d of two decimal texts as a double, however long they are."""
+    head = lambda x: F.substring(F.ltrim(x, F.lit("-")), 1, 17).cast("double")
+    rest = lambda x: F.greatest(F.char_length(F.ltrim(x, F.lit("-"))) - 17, F.lit(0))
+    sign = F.when(n.startswith("-") != d.startswith("-"), F.lit(-1.0)).otherwise(1.0)
+    return sign * head(n) / head(d) * F.pow(F.lit(10.0), rest(n) - rest(d))

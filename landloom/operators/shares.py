@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import fractions as FR
 from ..functions.fractions import NUM
 from ..session import cut_lineage
 from .skew import HOT_ROWS, hot_keys, repeated_side, salted_side
@@ -17,15 +18,17 @@ def walk(roots: DataFrame, bookings: DataFrame, booking: str = "booking", refers
     ``roots`` has the columns root.., booking, num, den; ``bookings`` says which
     booking refers to which.  One join per level; hot bookings are salted, a
     booking already on the path is not visited again, and every level is
-    checkpointed, so no level is computed twice.
+    checkpointed, so no level is computed twice.  Numerators and denominators
+    come back as texts without a limit of digits.
     """
     keep = [c for c in roots.columns if c not in (booking, num, den)]
-    one = lambda c: F.coalesce(F.col(c).cast(NUM), F.lit(1).cast(NUM))
-    frontier = roots.select(*keep, booking, one(num).alias(num), one(den).alias(den), F.lit(0).alias("depth"),
+    one = lambda df, c: F.coalesce(FR.digits(F.col(c), dict(df.dtypes)[c]), F.lit("1"))
+    fits = lambda a, b: F.try_multiply(F.col(a).try_cast(NUM), F.col(b).try_cast(NUM)).cast("string")
+    frontier = roots.select(*keep, booking, one(roots, num).alias(num), one(roots, den).alias(den), F.lit(0).alias("depth"),
                             F.array(booking).alias("path"))
     extra = [c for c in bookings.columns if c not in (booking, refers, num, den)]
-    step = bookings.select(F.col(refers).alias("_at"), F.col(booking).alias("_next"), one(num).alias("_n"),
-                           one(den).alias("_d"), *[F.col(c).alias(f"_x_{c}") for c in extra])
+    step = bookings.select(F.col(refers).alias("_at"), F.col(booking).alias("_next"), one(bookings, num).alias("_n"),
+                           one(bookings, den).alias("_d"), *[F.col(c).alias(f"_x_{c}") for c in extra])
     # the hot bookings are the same on every level: counted once, at most TOP_KEYS rows
     hot = cut_lineage(hot_keys(step, ["_at"], hot_rows))
     spread = salted_side(step, hot, ["_at"])
@@ -35,18 +38,21 @@ def walk(roots: DataFrame, bookings: DataFrame, booking: str = "booking", refers
         out = frontier if out is None else out.unionByName(frontier, allowMissingColumns=True)
         at = repeated_side(frontier.withColumnRenamed(booking, "_at").drop(*extra), hot, ["_at"])
         nxt = spread.join(at, ["_at", "_salt"]).filter(~F.array_contains("path", F.col("_next")))
-        frontier = cut_lineage(nxt.select(
+        level = cut_lineage(nxt.select(
             *carried, *[F.col(f"_x_{c}").alias(c) for c in extra], F.col("_next").alias(booking),
-            F.try_multiply(num, "_n").cast(NUM).alias(num), F.try_multiply(den, "_d").cast(NUM).alias(den),
+            fits(num, "_n").alias("_num"), fits(den, "_d").alias("_den"), num, den, "_n", "_d",
             (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("_next")).alias("path")))
+        long_ = F.col("_num").isNull() | F.col("_den").isNull()
+        done = level.filter(~long_).withColumns({num: F.col("_num"), den: F.col("_den")})
+        more = level.filter(long_).withColumns({num: FR.times(num, "_n"), den: FR.times(den, "_d")})  # past 38 digits
+        frontier = done.unionByName(more).drop("_num", "_den", "_n", "_d")
     out = frontier if out is None else out
     return out.drop("path")
 
 
-def weighted_area(df: DataFrame, keys: list[str], area: str, share: str, out: str = "area") -> DataFrame:
-    """Sum of area times share; no share or a zero denominator counts whole, cut texts are left out."""
-    top = F.split_part(share, F.lit("/"), F.lit(1)).try_cast("double")
-    below = F.split_part(share, F.lit("/"), F.lit(2)).try_cast("double")
-    factor = F.when(F.col(share).isNull() | (below == 0), F.lit(1.0)).otherwise(top / below)
-    whole = df.filter(F.col(share).isNull() | ~F.col(share).endswith("..."))
-    return whole.groupBy(*keys).agg(F.sum(F.col(area) * factor).alias(out))
+def weighted_area(df: DataFrame, keys: list[str], area: str, num: str, den: str, out: str = "area") -> DataFrame:
+    """Sum of area times num/den; no share or a zero denominator counts whole."""
+    kind = dict(df.dtypes)
+    n, d = FR.digits(F.col(num), kind[num]), FR.digits(F.col(den), kind[den])
+    factor = F.when(n.isNull() | d.isNull() | (d == "0"), F.lit(1.0)).otherwise(FR.ratio(n, d))
+    return df.groupBy(*keys).agg(F.sum(F.col(area) * factor).alias(out))

@@ -165,6 +165,7 @@ def ownership(parcels: DataFrame, bookings: DataFrame, sheets: DataFrame, reduce
 
     Bookings on fictitious sheets pass their shares on but are not listed.
     Bookings reached by a reference take part even when they have ended.
+    ``anteil`` is cut for display; ``zaehler`` and ``nenner`` hold all digits.
     """
     blatt = open_sheets(sheets)
     at_sheet = bookings.join(blatt, "istbestandteilvon")
@@ -178,7 +179,8 @@ def ownership(parcels: DataFrame, bookings: DataFrame, sheets: DataFrame, reduce
     summed = FR.sum_fractions(listed, keys, "zaehler", "nenner", "anteil", reduce)
     out = lookups.numbered(summed, ["bestdnr"], ["laufendenummer", "flsnr", "buchungsart"], "_no")
     return out.select("flsnr", "bestdnr", T.pad_number("_no", 4).alias("bvnr"), F.col("buchungsart").alias("b"),
-                      T.truncate_dots("anteil", 24).alias("anteil"), F.col("laufendenummer").alias("auftlnr"))
+                      T.truncate_dots("anteil", 24).alias("anteil"), F.col("laufendenummer").alias("auftlnr"),
+                      F.col("anteil_parts.n").alias("zaehler"), F.col("anteil_parts.d").alias("nenner"))
 
 
 def sheet_remarks(bookings: DataFrame, sheets: DataFrame) -> DataFrame:
@@ -233,8 +235,8 @@ def owners(name_numbers: DataFrame, sheets: DataFrame, persons: DataFrame, addre
 
 def sheet_areas(sheets_mart: DataFrame, parcels_mart: DataFrame, ownership_mart: DataFrame) -> DataFrame:
     """Sheet area from the shares in official parcel areas; the integer only within its range."""
-    held = ownership_mart.select("flsnr", "bestdnr", "anteil").join(parcels_mart.select("flsnr", "amtlflsfl"), "flsnr")
-    sums = shares.weighted_area(held.filter("anteil IS NOT NULL"), ["bestdnr"], "amtlflsfl", "anteil", "amtlbestfl")
+    held = ownership_mart.select("flsnr", "bestdnr", "zaehler", "nenner").join(parcels_mart.select("flsnr", "amtlflsfl"), "flsnr")
+    sums = shares.weighted_area(held, ["bestdnr"], "amtlflsfl", "zaehler", "nenner", "amtlbestfl")
     return sheets_mart.join(sums, "bestdnr", "left").withColumn(
         "bestfl", F.when(F.col("amtlbestfl") <= 2147483647, T.half_even_int("amtlbestfl")))
 

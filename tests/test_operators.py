@@ -41,9 +41,28 @@ def test_fraction_sums(spark):
     assert plain == {k: Fraction(v) for k, v in got.items()}
 
 
-def test_fraction_past_38_digits_is_reduced(spark):
-    df = spark.createDataFrame([(1, 1, p) for p in (1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117) for _ in range(1)], "k int, n int, d int")
-    assert FR.sum_fractions(df.filter("d < 1000081"), ["k"], "n", "d").count() == 1
+def test_fractions_past_38_digits(spark):
+    from fractions import Fraction
+    primes = [p for p in range(1000003, 1002000, 2) if all(p % q for q in range(3, 1002, 2))]
+    rows = [(1, 10 ** 37 + p, p) for p in primes] + [(1, None, 7), (2, -5, 3), (2, 10 ** 38 - 1, 3), (2, 10 ** 38 - 1, 3), (None, 1, 2), (None, 1, 2)]
+    df = spark.createDataFrame([(k, None if n is None else str(n), str(d)) for k, n, d in rows], "k int, n string, d string")
+    for reduce in (False, True):
+        got = {r.k: r for r in FR.sum_fractions(df, ["k"], "n", "d", reduce=reduce).collect()}
+        for k in (1, 2, None):
+            want = sum(Fraction(1 if n is None else n, d) for kk, n, d in rows if kk == k)
+            n, d = int(got[k].anteil_parts.n), int(got[k].anteil_parts.d)
+            assert Fraction(n, d) == want and got[k].anteil == f"{n}/{d}"
+            assert not reduce or (n, d) == (want.numerator, want.denominator)
+
+
+def test_walk_past_38_digits(spark):
+    steps = [(f"b{i + 1}", f"b{i}", 99999998, 99999999) for i in range(8)]
+    links = spark.createDataFrame(steps, "booking string, refers string, num int, den int")
+    roots = spark.createDataFrame([("r", "b0", 99999998, 99999999)], "root string, booking string, num int, den int")
+    got = {r.depth: (int(r.num), int(r.den)) for r in shares.walk(roots, links).collect()}
+    assert got == {i: (99999998 ** (i + 1), 99999999 ** (i + 1)) for i in range(9)}
+    held = spark.createDataFrame([(1, 1000.0, str(99999998 ** 60), str(99999999 ** 60)), (1, 10.0, None, "2"), (1, 5.0, "1", "0")], "k int, a double, n string, d string")
+    assert abs(shares.weighted_area(held, ["k"], "a", "n", "d").first().area - (1000 * (99999998 / 99999999) ** 60 + 15)) < 1e-9
 
 
 def test_salted_join_keeps_every_row(spark):
