@@ -35,9 +35,10 @@ def _choices(pairs) -> list:
 
 
 def _holds(cond: Column, attrs: Column) -> Column:
-    value = F.try_element_at(attrs, cond["attr"]).try_cast("int")
-    inside = lambda v: F.exists(cond["ranges"], lambda r: v.between(r["lo"], r["hi"])) != cond["negated"]
-    return G.let(value, lambda v: F.when(v.isNull(), cond["nul"]).otherwise(inside(v)))
+    # a value that is no whole number is there, but in no range
+    among = lambda v: F.coalesce(F.exists(cond["ranges"], lambda r: v.try_cast("int").between(r["lo"], r["hi"])), F.lit(False))
+    return G.let(F.try_element_at(attrs, cond["attr"]),
+                 lambda v: F.when(v.isNull(), cond["nul"]).otherwise(among(v) != cond["negated"]))
 
 
 def chosen(choices: Column | str, attrs: Column | str) -> Column:
@@ -50,7 +51,8 @@ def chosen(choices: Column | str, attrs: Column | str) -> Column:
 def used_attributes() -> set[str]:
     names = {a for rules in [*R.FILLS.values(), *R.SYMBOLS.values(), *R.LINES.values()] for conds, _ in rules for a in conds}
     for spec in R.LABELS.values():
-        names |= {a for conds, _ in spec.get("constant", []) for a in conds}
+        names |= {a for conds, _ in [*spec.get("constant", []), *spec.get("styles", [])] for a in conds}
+        names |= {*spec.get("when", {}), *spec.get("enum_when", {})}
         names |= {spec["text"]} if "text" in spec else set()
         names |= {spec["enum"][1]} if "enum" in spec else set()
     return names
@@ -155,19 +157,26 @@ def labels(objects: DataFrame, placed: DataFrame, overrides: DataFrame, enums: D
         domain, attr, before, after = spec.get("enum", (None, None, None, None))
         m0, m1 = spec.get("missing", (None, None))
         rows.append((s, tag, spec.get("theme") or R.theme_of(s), spec["style"], spec.get("placed", False), spec.get("text"),
-                     domain, attr, before, after, spec.get("catalogue", False), m0, m1, _choices(spec.get("constant", []))))
+                     domain, attr, before, after, spec.get("catalogue", False), m0, m1, _choices(spec.get("constant", [])),
+                     _choices([(spec.get("when", R.ANY), 1)]), _choices([(spec.get("enum_when", R.ANY), 1)]), _choices(spec.get("styles", [])),
+                     spec.get("unless")))
     rules = rule_table(objects.sparkSession, rows, (
         "source string, art string, thema string, rule_style string, needs_placed boolean, text_attr string, domain string, "
-        f"enum_attr string, before string, after string, from_catalogue boolean, m0 string, m1 string, choices {CHOICE}"))
+        f"enum_attr string, before string, after string, from_catalogue boolean, m0 string, m1 string, choices {CHOICE}, "
+        f"whens {CHOICE}, enum_whens {CHOICE}, styles {CHOICE}, unless string"))
     attr = lambda name: F.when(F.col(name).isNotNull(), F.try_element_at("attrs", F.col(name)))
-    base = objects.join(rules, "source").select(
-        "gml_id", "source", "art", "thema", "rule_style", "needs_placed", "geom", "modell", "before", "after", "domain", "m0", "m1",
-        attr("text_attr").alias("own_text"), attr("enum_attr").alias("code"),
+    base = objects.join(rules, "source").filter(chosen("whens", "attrs").isNotNull()).select(
+        "gml_id", "source", "art", "thema", F.coalesce(chosen("styles", "attrs"), "rule_style").alias("rule_style"), "needs_placed", "geom",
+        "modell", "before", "after", "domain", "m0", "m1", "unless",
+        attr("text_attr").alias("own_text"), F.when(chosen("enum_whens", "attrs").isNotNull(), attr("enum_attr")).alias("code"),
         F.when(F.col("from_catalogue"), F.col("katalogschluessel")).alias("katalogschluessel"),
         chosen("choices", "attrs").alias("constant"))
     dim = enums.groupBy("domain", "code").agg(F.min("label").alias("label"))
     names = lookups.latest(catalogue, ["katalogschluessel"], "bezeichnung", "beginnt", "kat_name")
     texts = _prefixed(placed.select("gml_id", "art", "geom", "schriftinhalt", "signaturnummer", "modell", *TEXT_LOOK), "t_")
+    # only labels that give way to another tag look for its texts
+    others = placed.filter("schriftinhalt IS NOT NULL").select("gml_id", F.col("art").alias("unless"))
+    base = base.filter("unless IS NULL").unionByName(base.filter("unless IS NOT NULL").join(others, ["gml_id", "unless"], "left_anti")).drop("unless")
     out = (base.join(texts, ["gml_id", "art"], "left")
            .join(_prefixed(overrides.select("gml_id", "art", "signaturnummer"), "d_"), ["gml_id", "art"], "left")
            .join(dim, ["domain", "code"], "left").join(names, "katalogschluessel", "left"))

@@ -38,10 +38,11 @@ FILLS: dict[str, list[tuple[dict, int]]] = {
     "ax_flaechebesondererfunktionalerpraegung": [(ANY, 25151401)],
     "ax_sportfreizeitunderholungsflaeche": [(ANY, 25151405)],
     "ax_friedhof": [(ANY, 25151405)],
-    "ax_strassenverkehr": [({"zustand": "!4000", "funktion": "2312 2313"}, 25151406), ({"zustand": "!4000", "funktion": "5130"}, 25151414)],
+    "ax_strassenverkehr": [({"zustand": "4000"}, 25160000), ({"funktion": "2312 2313"}, 25151406), ({"funktion": "5130"}, 25151414),
+                           (ANY, 25150000)],
     "ax_weg": [(ANY, 2515)],
     "ax_platz": [({"funktion": "5130"}, 25151414), (ANY, 2515)],
-    "ax_bahnverkehr": [({"zustand": "!4000", "funktion": "2322"}, 25151406)],
+    "ax_bahnverkehr": [({"zustand": "4000"}, 25160000), ({"funktion": "2322"}, 25151406), (ANY, 25150000)],
     "ax_flugverkehr": [({"zustand": "4000"}, 2516), (ANY, 25151406)],
     "ax_schiffsverkehr": [({"zustand": "4000"}, 2516), (ANY, 2515)],
     "ax_landwirtschaft": [({"vegetationsmerkmal": "null 0 1010 1011 1012 1013"}, 25151409),
@@ -54,7 +55,7 @@ FILLS: dict[str, list[tuple[dict, int]]] = {
     "ax_sumpf": [(ANY, 25171404)],
     "ax_unlandvegetationsloseflaeche": [({"funktion": "null 1000", "oberflaechenmaterial": "null 0 1010 1020 1030 1040"}, 2515),
                                         ({"funktion": "null 1000", "oberflaechenmaterial": "1110 1120"}, 2518),
-                                        ({"funktion": "!null 1000"}, 25151406)],
+                                        ({"funktion": "1100 1110 1120 1200"}, 25151406)],
     "ax_fliessgewaesser": [({"zustand": "4000"}, 2519), (ANY, 25181410)],
     "ax_hafenbecken": [(ANY, 25181410)],
     "ax_stehendesgewaesser": [({"hydrologischesmerkmal": "null"}, 25181410), ({"hydrologischesmerkmal": "2000"}, 25201410)],
@@ -94,17 +95,17 @@ SYMBOLS: dict[tuple[str, str], list[tuple[dict, str]]] = {
     ("ax_unlandvegetationsloseflaeche", "OFM"): [
         ({"funktion": "null 1000", "oberflaechenmaterial": c}, s) for c, s in (
             ("null", "3480"), ("1010", "3481"), ("1020", "3482"), ("1030", "3483"), ("1040", "3484"), ("1110 1120", "3486"))],
-    ("ax_fliessgewaesser", "Fließpfeil"): [(ANY, "3488")],
-    ("ax_fliessgewaesser", "FKT"): [(ANY, "3490")],
+    ("ax_fliessgewaesser", "Fließpfeil"): [({"zustand": "!4000"}, "3488")],
+    ("ax_fliessgewaesser", "FKT"): [({"funktion": "8300", "zustand": "4000"}, "3490")],
     ("ax_hafenbecken", "FKT"): [(ANY, "3490")],
     ("ax_stehendesgewaesser", "FKT"): [(ANY, "3490")],
     ("ax_meer", "FKT"): [(ANY, "3490")],
     ("ax_vorratsbehaelterspeicherbauwerk", "Vorratsbehaelter"): [({"_dim": "1 3"}, "3522")],
     ("ax_flugverkehrsanlage", "ART"): [({"_dim": "1", "art": "1410"}, "3589"), ({"_dim": "1", "art": "1420"}, "3590"),
-                                       ({"_dim": "1", "art": "1430"}, "3556")],
+                                       ({"_dim": "1", "art": "1430"}, "3556"), ({"art": "5531"}, "3588")],
     ("ax_einrichtungenfuerdenschiffsverkehr", "ART"): [
         ({"_dim": "1", "art": c}, s) for c, s in (("1420", "3590"), ("1430", "3556"), ("1440", "3583"), ("1450", "3584"), ("9999", "3640"))],
-    ("ax_wasserspiegelhoehe", "SYMBOL"): [(ANY, "3623")],
+    ("ax_wasserspiegelhoehe", "SYMBOL"): [({"hoehedeswasserspiegels": "!null"}, "3623")],
     ("ax_gebaeude", "GFK"): [
         ({"gebaeudefunktion": c}, s) for c, s in (
             ("2030", "3300"), ("2056", "3338"), ("2071", "3302"), ("2072", "3303"), ("2081", "3305"), ("2092", "3306"),
@@ -119,7 +120,9 @@ PLACED_SYMBOLS = [("ax_fliessgewaesser", "Fließpfeil"), ("ax_flugverkehrsanlage
 
 # Label tag, default style, and where the text comes from.
 # text: attribute; enum: (domain, attribute, text before, text after); catalogue: street catalogue name;
-# constant: texts by code; missing: text when the catalogue has no entry; placed: only with a placed text.
+# constant: texts by code; missing: text when the catalogue has no entry; placed: only with a placed text;
+# when: objects the label is for; unless: not beside a placed text of this tag; enum_when: objects whose
+# text comes from the enumeration; styles: default styles by code, before ``style``.
 LABELS: dict[tuple[str, str], dict] = {
     ("ax_wohnbauflaeche", "NAM"): {"style": "4141", "text": "name"},
     ("ax_industrieundgewerbeflaeche", "NAM"): {"style": "4141", "text": "name"},
@@ -127,18 +130,23 @@ LABELS: dict[tuple[str, str], dict] = {
     ("ax_halde", "NAM"): {"style": "4141", "text": "name"},
     ("ax_bergbaubetrieb", "AGT"): {"style": "4141", "enum": ("ax_abbaugut_bergbaubetrieb", "abbaugut", "(", ")")},
     ("ax_bergbaubetrieb", "NAM"): {"style": "4141", "text": "name"},
-    ("ax_tagebaugrubesteinbruch", "AGT"): {"style": "4141", "constant": [({"abbaugut": "4100"}, "(Torfstich)")]},
+    ("ax_tagebaugrubesteinbruch", "AGT"): {
+        "style": "4141", "when": {"abbaugut": "!null"}, "enum": ("ax_abbaugut_tagebaugrubesteinbruch", "abbaugut", "(", ")"),
+        "constant": [({"abbaugut": "4100"}, "(Torfstich)")]},
     ("ax_tagebaugrubesteinbruch", "NAM"): {"style": "4141", "text": "name"},
     ("ax_flaechegemischternutzung", "NAM"): {"style": "4141", "text": "name"},
     ("ax_flaechebesondererfunktionalerpraegung", "NAM"): {"style": "4141", "text": "name"},
     ("ax_flaechebesondererfunktionalerpraegung", "FKT"): {
         "style": "4070", "placed": True, "enum": ("ax_funktion_flaechebesondererfunktionalerpraegung", "funktion", "", "")},
-    ("ax_sportfreizeitunderholungsflaeche", "FKT"): {"style": "4140", "constant": [
-        ({"funktion": "4100 4101"}, "Sportanlage"), ({"funktion": "4300 4301"}, "Erholungsfläche"), ({"funktion": "4320 4321"}, "Bad")]},
+    ("ax_sportfreizeitunderholungsflaeche", "FKT"): {
+        "style": "4140", "when": {"name": "null"}, "unless": "NAM",
+        "enum": ("ax_funktion_sportfreizeitunderholungsflaeche", "funktion", "", ""),
+        "enum_when": {"funktion": "4110 4200 4230 4240 4250 4260 4270 4280 4290 4310 4450"},
+        "constant": [({"funktion": "4100 4101"}, "Sportanlage"), ({"funktion": "4300 4301"}, "Erholungsfläche"), ({"funktion": "4320 4321"}, "Bad")]},
     ("ax_sportfreizeitunderholungsflaeche", "NAM"): {"style": "4141", "text": "name"},
     ("ax_friedhof", "NAM"): {"style": "4141", "text": "name"},
     ("ax_strassenverkehr", "ZNM"): {"style": "4141", "text": "zweitname"},
-    ("ax_strassenverkehr", "FKT"): {"style": "4100", "enum": ("ax_funktion_strasse", "funktion", "", "")},
+    ("ax_strassenverkehr", "FKT"): {"style": "4100", "when": {"funktion": "4130"}, "enum": ("ax_funktion_strasse", "funktion", "", "")},
     ("ax_bahnverkehr", "ZNM"): {"style": "4141", "text": "zweitname"},
     ("ax_flugverkehr", "NAM"): {"style": "4200", "text": "unverschluesselt", "catalogue": True},
     ("ax_landwirtschaft", "NAM"): {"style": "4208", "text": "name"},
@@ -148,7 +156,7 @@ LABELS: dict[tuple[str, str], dict] = {
     ("ax_moor", "NAM"): {"style": "4209", "text": "name"},
     ("ax_sumpf", "NAM"): {"style": "4209", "text": "name"},
     ("ax_gleis", "NAM"): {"style": "4107", "text": "name"},
-    ("ax_unlandvegetationsloseflaeche", "NAM"): {"style": "4150", "text": "name"},
+    ("ax_unlandvegetationsloseflaeche", "NAM"): {"style": "4150", "styles": [({"oberflaechenmaterial": "1110 1120"}, "4151")], "text": "name"},
     ("ax_hafenbecken", "NAM"): {"style": "4211", "text": "unverschluesselt", "catalogue": True},
     ("ax_meer", "NAM"): {"style": "4286", "text": "unverschluesselt", "catalogue": True},
     ("ax_vorratsbehaelterspeicherbauwerk", "NAM"): {"style": "4107", "text": "name"},

@@ -264,3 +264,20 @@ def test_symbols_fill_an_area_by_placing_rule(spark):
     want = {(7.0 * c + (3.5 if r % 2 else 0.0), 3.5 * r) for r in range(9) for c in range(5)}
     want = {(x, y) for x, y in want if 0.5 <= x <= 29.5 and 0.5 <= y <= 29.5}
     assert {s for s, _, _ in got} == {"3456"} and {(x, y) for _, x, y in got} == want
+
+
+def test_rule_data_by_code(spark):
+    """Styles for all states and functions of a type, not only the special ones."""
+    from landloom.plans import rules, ruleset
+    cases = [("ax_strassenverkehr", {"funktion": "5220"}, "25150000"), ("ax_strassenverkehr", {"zustand": "4000", "funktion": "5130"}, "25160000"),
+             ("ax_strassenverkehr", {"funktion": "2313"}, "25151406"), ("ax_strassenverkehr", {}, "25150000"),
+             ("ax_bahnverkehr", {"zustand": "4000"}, "25160000"), ("ax_bahnverkehr", {"funktion": "2322"}, "25151406"), ("ax_bahnverkehr", {}, "25150000"),
+             ("ax_unlandvegetationsloseflaeche", {"funktion": "1300"}, None), ("ax_unlandvegetationsloseflaeche", {"funktion": "1110"}, "25151406"),
+             ("ax_unlandvegetationsloseflaeche", {}, "2515")]
+    symbols = [("ax_fliessgewaesser", "FKT", {"funktion": "8300"}, None), ("ax_fliessgewaesser", "FKT", {"funktion": "8300", "zustand": "4000"}, "3490"),
+               ("ax_fliessgewaesser", "Fließpfeil", {"zustand": "4000"}, None), ("ax_fliessgewaesser", "Fließpfeil", {}, "3488"),
+               ("ax_wasserspiegelhoehe", "SYMBOL", {}, None), ("ax_wasserspiegelhoehe", "SYMBOL", {"hoehedeswasserspiegels": "12.5"}, "3623")]
+    rows = [(rules._choices(ruleset.FILLS[s]), a, w) for s, a, w in cases] + [(rules._choices(ruleset.SYMBOLS[s, t]), a, w) for s, t, a, w in symbols]
+    df = spark.createDataFrame(rows, f"choices {rules.CHOICE}, attrs map<string,string>, want string")
+    for r in df.withColumn("got", rules.chosen("choices", "attrs")).collect():
+        assert r.got == r.want, r
