@@ -222,7 +222,7 @@ for _lvl, _cols in {"flur": "CAST(psize % 4 AS STRING) || CAST(pid % 3 AS STRING
     def _(d, level=_lvl):
         from ..operators import areas
         keys = hierarchy.LEVELS[level][0]
-        e = hierarchy.outlines(flurstuecke(d), level, node=False)
+        e = hierarchy.outlines(flurstuecke(d), level)
         return areas.edge_sums(e, keys).select(F.concat(*keys).alias("k"), "edges", "area")
 
 

@@ -129,9 +129,13 @@ def straightened(ring: Column) -> Column:
     return F.concat(kept, F.slice(kept, 1, 1))
 
 
-def dissolve(df: DataFrame, keys: list[str], geom: str, out: str = "polygon", srid: int = 25832, **kw) -> DataFrame:
-    """Union of polygons per key as one multi polygon."""
-    r = rings(boundary_edges(df, keys, geom, **kw), keys)
+def dissolve(df: DataFrame, keys: list[str], geom: str, out: str = "polygon", srid: int = 25832, node: bool = True, **kw) -> DataFrame:
+    """Union of polygons per key as one multi polygon.
+
+    Edges are split where a neighbour has a vertex inside them; ``node=False``
+    saves that step where all neighbours share their vertices.
+    """
+    r = rings(boundary_edges(df, keys, geom, node=node, **kw), keys)
     parts = F.transform(F.array_sort(F.collect_list(F.struct(
         (-G.ring_area2(F.col("vertices"))).alias("o"), F.col("vertices").alias("v")))), lambda p: p["v"])
     return r.groupBy(*keys).agg(G.geom("MULTIPOLYGON", parts, srid).alias(out))

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import geometry as G
+from ..functions import geometry as G, text as T
 from ..session import cut_lineage
 from .spatial import grid_join
 
@@ -25,7 +25,10 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, lgeom: str, rgeom: str,
     Looks around each left geometry in a window that doubles until something is
     found, so the rows of a key are never paired with each other as a whole.
     Adds the right columns and ``distance``; ties go to the smallest ``order``.
+    Rows without a geometry are no neighbours and have none: every row that is
+    searched for has a partner at a finite distance, so the doubling ends.
     """
+    left, right = left.filter(T.col(lgeom).isNotNull()), right.filter(T.col(rgeom).isNotNull())
     have = right.select(*[F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(on)]).distinct()
     todo = left.join(have, [F.col(a) == F.col(f"_k{i}") for i, (a, _) in enumerate(on)], "left_semi")
     todo = cut_lineage(todo)

@@ -281,3 +281,28 @@ def test_rule_data_by_code(spark):
     df = spark.createDataFrame(rows, f"choices {rules.CHOICE}, attrs map<string,string>, want string")
     for r in df.withColumn("got", rules.chosen("choices", "attrs")).collect():
         assert r.got == r.want, r
+
+
+def square(x0, y0, x1, y1):
+    return G.rectangle(*[F.lit(float(v)) for v in (x0, y0, x1, y1)])
+
+
+def test_dissolve_splits_at_unmatched_vertices(spark):
+    """A square beside two halves is one part, though the square has no vertex where the halves meet."""
+    from landloom.operators import areas
+    base = spark.range(1)
+    df = (base.select(F.lit("k").alias("k"), square(0, 0, 10, 10).alias("g")).union(base.select(F.lit("k"), square(10, 0, 20, 5)))
+          .union(base.select(F.lit("k"), square(10, 5, 20, 10))))
+    r = areas.dissolve(df, ["k"], "g", "p").select(F.size(F.col("p")["parts"]).alias("n"), G.area("p").alias("a")).first()
+    assert (r.n, round(r.a, 6)) == (1, 200.0)
+
+
+def test_nearest_ends_on_missing_geometries(spark):
+    from landloom.operators import placement
+    base = spark.range(1)
+    left = (base.select(F.lit(1).alias("id"), F.lit("a").alias("k"), square(0, 0, 1, 1).alias("g")).union(base.select(F.lit(2), F.lit("a"), F.lit(None)))
+            .union(base.select(F.lit(3), F.lit("b"), square(0, 0, 1, 1))))
+    right = (base.select(F.lit("a").alias("rk"), F.lit(7).alias("rid"), square(500, 0, 501, 1).alias("rg")).union(base.select(F.lit("a"), F.lit(8), F.lit(None)))
+             .union(base.select(F.lit("b"), F.lit(9), F.lit(None))))
+    got = placement.nearest(left, right, "id", "g", "rg", [("k", "rk")], ["rid"]).select("id", "rid", "distance").collect()
+    assert [(r.id, r.rid, round(r.distance, 6)) for r in got] == [(1, 7, 499.0)]
