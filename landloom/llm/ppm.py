@@ -4,7 +4,7 @@ The model is a trie of byte contexts of up to ``ORDER`` bytes.  A symbol is code
 in the longest known context; where the context has not seen it, an escape goes
 to the next shorter one, which leaves out all symbols the longer one knows
 (symbol exclusion).  Escapes are estimated by the number of different symbols of
-a context (method C).  Below the empty context all symbols left are equal.
+a context, each of which gives half an occurrence to it (method D).  Below the empty context all symbols left are equal.
 
 ``pretrained`` counts all training text in one distributed sum and scores each
 document with the same trie.  ``adaptive`` starts each document with an empty
@@ -13,7 +13,7 @@ trie and learns as it reads.
 An n-gram enters the trie if it makes up at least one part in ``SHARE`` of the
 training text, whatever its size: so a level has at most ``SHARE`` entries and
 the trie sent to the tasks has a fixed bound, while its counts come from all the
-text.  Likewise at most ``WORD_SHARE`` word counts are sent to the tasks; rarer
+text.  What is left out still counts: it is escape from its context.  Likewise at most ``WORD_SHARE`` word counts are sent to the tasks; rarer
 words are joined with their counts.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import textblocks as tb
 from .minhash import stored
 
-ORDER = 4
+ORDER = 5
 SHARE = 1_000_000
 WORD_SHARE = 4_000_000
 #: Bytes that no UTF-8 text has: before the first byte, and behind the last.
@@ -122,32 +122,39 @@ def _count(order: int):
 class Trie:
     """Contexts of each length with their escapes, and the symbols they know."""
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        """``levels[o]``: n-grams of o context bytes and a symbol, and their counts."""
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+        """``levels[o]``: n-grams of o context bytes and a symbol, their counts, the contexts, and how often each comes.
+
+        A context may come more often than its n-grams together; the rest
+        escapes, as symbols seldom seen.
+        """
         self.order = len(levels) - 1
         self.grams, self.logs, self.nodes = [], [], []
         parent = None
-        for o, (key, count) in enumerate(levels):
+        for o, (key, count, every, often) in enumerate(levels):
             turn = np.argsort(key)
             key, count = key[turn], count[turn].astype(np.float64)
             context, first = np.unique(key >> 8, return_index=True)
-            total = np.add.reduceat(count, first) if len(key) else np.zeros(0)
+            order = np.argsort(every)
+            total = often[order][np.searchsorted(every[order], context)].astype(np.float64)
+            lost = total - np.add.reduceat(count, first) if len(key) else np.zeros(0)
             kinds = np.diff(np.concatenate([first, [len(key)]])).astype(np.float64)
-            node = {"context": context, "total": total, "kinds": kinds, "escape": np.log(kinds / (total + kinds)), "all": np.log(total + kinds)}
+            node = {"context": context, "total": total, "kinds": kinds, "lost": lost,
+                    "escape": np.log((lost + kinds / 2) / total), "all": np.log(total)}
             if parent is not None:
                 up = np.searchsorted(parent["context"], context & ((1 << 8 * (o - 1)) - 1))
                 low = np.searchsorted(self.grams[-1], key & ((1 << 8 * o) - 1))
                 known = np.add.reduceat(self.counts[low], first) if len(key) else np.zeros(0)
                 total, kinds = parent["total"][up] - known, parent["kinds"][up] - kinds  # what the shorter context adds
-                both = np.maximum(total + kinds, 1.0)
-                node["down"] = np.where(kinds > 0, np.log(np.maximum(kinds, 1.0) / both), 0.0)
+                both, out = np.maximum(total, 0.5), parent["lost"][up] + kinds / 2
+                node["down"] = np.where(out > 0, np.log(np.maximum(out, 0.5) / both), 0.0)
                 node["rest"] = np.log(both)
                 node["sum"] = node["down"] + parent["sum"][up]
             else:
                 node |= {"down": np.zeros(len(context)), "rest": np.zeros(len(context)), "sum": np.zeros(len(context))}
             self.counts = count
             self.grams.append(key)
-            self.logs.append(np.log(count))
+            self.logs.append(np.log(count - 0.5))
             self.nodes.append(node)
             parent = node
         known = len(self.grams[0])
@@ -201,8 +208,12 @@ def train(docs: DataFrame, order: int = ORDER, share: int = SHARE) -> tuple[Trie
     total = full.agg(F.sum("n")).first()[0] or 0
     for o in range(order + 1):
         cut = full.select(F.col("key").bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-        kept = cut.filter(F.col("n") * share >= total).toPandas()  # at most ``share`` rows
-        levels.append((kept["key"].to_numpy(np.int64), kept["n"].to_numpy(np.int64)))
+        cut = stored(cut, "ppm-level")
+        kept = cut.filter(F.col("n") * share >= total)
+        context = F.shiftright("key", 8).alias("context")
+        often = cut.groupBy(context).agg(F.sum("n").alias("n")).join(kept.select(context).distinct(), "context", "left_semi")
+        kept, often = kept.toPandas(), often.toPandas()  # at most ``share`` rows each
+        levels.append(tuple(x.to_numpy(np.int64) for x in (kept["key"], kept["n"], often["context"], often["n"])))
     counted = sums.filter("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     words = counted.agg(F.sum("c")).first()[0] or 0
     texts = sums.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
@@ -286,11 +297,11 @@ def adaptive_log10(text: bytes, order: int = ORDER) -> float:
             left = {s: c for s, c in counts.items() if s not in excluded} if counts else {}
             if not left:
                 continue
-            weight = sum(left.values()) + len(left)
+            weight = sum(left.values())
             if symbol in left:
-                total += log10(left[symbol] / weight)
+                total += log10((left[symbol] - 0.5) / weight)
                 break
-            total += log10(len(left) / weight)
+            total += log10(len(left) / 2 / weight)
             excluded |= left.keys()
         else:
             total -= log10(max(SYMBOLS - len(excluded), 1))
