@@ -9,9 +9,11 @@ but for a chance below 1e-8, so they share one of the ``COORDINATES - MATCHES +
 prefix is posted and joined, the longer lists are skipped and probed by the
 signature itself.  Pairs that agree often enough are confirmed on full sets.
 
-The join runs in two rounds so that a large group never meets itself pair by
-pair.  First every posting meets the smallest document of its list.  Then lists
-that still hold several components join, only across components.
+The join runs in three rounds so that a large group never meets itself pair by
+pair.  First every posting meets the document of its list that shares most with
+the others, its pivot.  Then documents of one pivot meet where they differ from
+it in the same shingles.  Last, lists that still hold several components join
+across pivots and components.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ COORDINATES = 48
 #: Coordinates that a pair must share.  Binomial(48, 0.8) falls below 21 with a chance of about 2e-8.
 MATCHES = 21
 PERCENT = 80
-#: Sizes of similar sets differ at most by this factor.
-SIZE_STEP = 100 / PERCENT
+#: Two bits of each coordinate of a pair differ in more than 35 of 96 places with a chance of about 1e-8.
+DIFFERENT = 35
 
 
 def shingle_sets(block: pa.RecordBatch, text: str, width: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -73,10 +75,16 @@ def _signatures(width: int, coordinates: int):
                 for k in range(coordinates):
                     low = np.minimum.reduceat(value * factor[k] + shift[k] ^ (value >> tb.U(29)), first)
                     sig[filled, k] = (tb.mix(low) >> tb.U(32)).astype(np.uint32).view(np.int32)
+            # two bits of each coordinate, for a first look at a pair
+            pairs = (sig & 3).astype(tb.U)
+            short = np.zeros((n, 2), tb.U)
+            for k in range(min(coordinates, 64)):
+                short[:, k // 32] |= pairs[:, k] << tb.U(2 * (k % 32))
             yield pa.RecordBatch.from_arrays(
                 [block.column(0), pa.array(count, pa.int64()), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)),
+                 pa.array(short[:, 0].view(np.int64)), pa.array(short[:, 1].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * coordinates, pa.int32()), pa.array(sig.ravel()))],
-                ["doc_id", "n_shingles", "lo", "hi", "signature"])
+                ["doc_id", "n_shingles", "lo", "hi", "s0", "s1", "signature"])
     return run
 
 
@@ -84,7 +92,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> D
     """doc_id, n_shingles, two sums that name the set, and the signature."""
     return docs.select("doc_id", "text").mapInArrow(
         _signatures(width, coordinates),
-        "doc_id long, n_shingles long, lo long, hi long, signature array<int>")
+        "doc_id long, n_shingles long, lo long, hi long, s0 long, s1 long, signature array<int>")
 
 
 def _sets(width: int):
@@ -109,44 +117,107 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _postings(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """The rarest coordinates of each document, without those no other document has."""
-    every = reps.select("doc_id", "n_shingles", F.posexplode("signature").alias("coordinate", "value")) \
-        .select("doc_id", "n_shingles", F.xxhash64("coordinate", "value").alias("post"))
+    """The rarest coordinates of each document, without those no other document has.
+
+    ``weight`` is the length of all lists of a document together: among near
+    copies it is largest for the text that the others were made from.
+    """
+    every = reps.select("doc_id", F.posexplode("signature").alias("coordinate", "value")) \
+        .select("doc_id", F.xxhash64("coordinate", "value").alias("post"))
     often = every.groupBy("post").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = every.join(often, "post")
     # coordinates of its own come first in a document's order and meet nobody
-    ranked = shared.groupBy("doc_id", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
+    ranked = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
     free = F.lit(coordinates) - F.size("lists")
     take = F.greatest(F.lit(coordinates - matches + 1) - free, F.lit(0))
+    weight = F.aggregate("lists", F.lit(0).cast("long"), lambda s, x: s + x["n"])
     return (ranked.filter(F.size("lists") >= matches)  # fewer shared coordinates cannot reach the threshold
-            .select("doc_id", "n_shingles", F.explode(F.slice("lists", F.lit(1), take)).alias("l"))
-            .select("doc_id", "n_shingles", F.col("l.post").alias("post")))
+            .select("doc_id", weight.alias("weight"), F.transform(F.slice("lists", F.lit(1), take), lambda x: x["post"]).alias("posts"))
+            .join(reps.select("doc_id", "n_shingles", "s0", "s1"), "doc_id")
+            .select("doc_id", "weight", "n_shingles", "s0", "s1", F.explode("posts").alias("post")))
+
+
+def _alike(a: str, b: str):
+    """A first look at two documents: sizes, and two bits of each coordinate."""
+    n, m = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+    away = F.bit_count(F.col(f"{a}s0").bitwiseXOR(F.col(f"{b}s0"))) + F.bit_count(F.col(f"{a}s1").bitwiseXOR(F.col(f"{b}s1")))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (away <= DIFFERENT)
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, matches: int) -> DataFrame:
-    """Pairs (a, b) whose signatures agree often enough and whose sets are similar."""
+def _likely(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
+    """``pairs`` (a, b, ..) whose signatures agree in enough coordinates."""
     sig = reps.select("doc_id", "signature")
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    likely = (pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa")), "a")
-              .join(sig.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb")), "b")
-              .filter(agree >= matches).select("a", "b"))
-    likely = stored(likely, "minhash-likely")
-    named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(docs.select("doc_id", "text").join(named, "doc_id", "left_semi")
-                  .mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "minhash-sets")
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    return (likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    return stored(pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa")), "a")
+                  .join(sig.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb")), "b")
+                  .filter(agree >= matches).drop("sa", "sb"), "minhash-likely")
+
+
+def _full_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Stored shingle sets of all documents in ``pairs``."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return stored(docs.join(named, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "minhash-sets")
+
+
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the sizes na, nb of the full sets and of what they share."""
+    return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .filter(both * 100 >= (F.size("x") + F.size("y") - both) * PERCENT)
-            .select("a", "b").distinct())
+            .withColumns({"na": F.size("x").cast("long"), "nb": F.size("y").cast("long"), "both": F.size(F.array_intersect("x", "y")).cast("long")})
+            .drop("x", "y"))
+
+
+SIMILAR = f"both * 100 >= (na + nb - both) * {PERCENT}"
+
+
+def _links_beside(pivots: DataFrame) -> DataFrame:
+    """Links (a, b) between documents that were measured against the same pivot.
+
+    ``pivots``: doc_id, component, pivot, na (size of the pivot's set), lacks
+    (its shingles the document lacks) and adds (those the document adds).  A
+    document whose excess q = 5 |lacks| + 4 |adds| - na is at most 0 is similar to
+    the pivot itself.  Two documents are similar if and only if what they lack
+    and add has at least (q1 + q2 + na) / 9 shingles in common.  So if one of
+    them is not similar to the pivot, they must meet in these differences, which
+    are short and, sorted by how often they come, need only be posted for a
+    prefix.  The largest groups of near copies hold few such documents; no pair
+    of the others is looked at.
+    """
+    group = (pivots.groupBy("pivot").agg(F.count_if(F.col("q") > 0).alias("beside"), F.count(F.lit(1)).alias("n"))
+             .filter("beside > 0 and n > 1").select("pivot"))
+    size = F.col("r") + F.col("p")
+    own = 1 + 5 * F.col("r") + 4 * F.col("p")
+    # fewest common differences with any partner: ninths of q + .. for a partner beside, a fifth of q for one similar to the pivot
+    least = F.greatest(F.lit(1), F.when(F.col("q") > 0, F.least(F.ceil(own / 9), F.ceil(F.col("q") / 5))).otherwise(F.ceil(own / 9)))
+    # a document similar to the pivot needs nine of its differences to make up the least excess beside
+    few = pivots.filter("q > 0").groupBy("pivot").agg(F.min("q").alias("lowest"))
+    each = stored(pivots.join(group, "pivot", "left_semi").join(few, "pivot").filter((F.col("q") > 0) | (9 * size >= F.col("lowest") + F.col("q") + F.col("na")))
+                  .select("doc_id", "component", "pivot", "na", "r", "p", "q", least.cast("int").alias("least"), F.concat("lacks", "adds").alias("d")),
+                  "minhash-differences")
+    loose = each.select("doc_id", "pivot", F.explode("d").alias("e"))
+    often = loose.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ranked = loose.join(often, ["pivot", "e"]).groupBy("doc_id", "pivot").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("lists"))
+    # differences of its own come first and meet nobody
+    take = F.greatest(F.size("lists") - F.col("least") + 1, F.lit(0))
+    posts = stored(ranked.join(each.drop("d"), ["doc_id", "pivot"]).withColumn("l", F.explode(F.slice("lists", F.lit(1), take)))
+                   .select("doc_id", "component", "pivot", "na", "r", "p", "q", F.col("l.e").alias("e")), "minhash-beside")
+    l, r = posts.alias("l"), posts.alias("r")
+    meet = ((F.col("l.pivot") == F.col("r.pivot")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.component") < F.col("r.component"))
+            & ((F.col("l.q") > 0) | (F.col("r.q") > 0))
+            & (9 * (F.least("l.r", "r.r") + F.least("l.p", "r.p")) >= F.col("l.q") + F.col("r.q") + F.col("l.na")))
+    pairs = l.join(r, meet).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
+    x = each.select(F.col("doc_id").alias("a"), "q", "na", "d")
+    y = each.select(F.col("doc_id").alias("b"), F.col("q").alias("q2"), F.col("d").alias("d2"))
+    return (pairs.join(x, "a").join(y, "b").filter(9 * F.size(F.array_intersect("d", "d2")) >= F.col("q") + F.col("q2") + F.col("na"))
+            .select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable from each node of ``edges`` (a, b): node, component.
 
     Every round hangs each node's larger neighbours under its smallest
-    neighbour and then its smaller ones (large star and small star), until the
-    links no longer change.  A node with very many links is summed by minimum
+    neighbour and then its smaller ones (large star and small star), until all
+    links lead to the end of their component.  A node with very many links is summed by minimum
     before the shuffle and joined, never collected.
     """
     def hang(links: DataFrame, larger: bool) -> DataFrame:
@@ -157,15 +228,16 @@ def components(edges: DataFrame) -> DataFrame:
         return out.filter("u <> v").distinct()
 
     links = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
-    before = None
-    while True:
+    def settled() -> bool:
+        """All links lead straight to a node that leads nowhere."""
+        twice = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
+        onward = links.select("v").join(links.select(F.col("u").alias("v")), "v", "left_semi")
+        return twice.union(onward).isEmpty()
+
+    while not settled():
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         links = stored(hang(hang(both, True), False), "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    return links.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
@@ -184,35 +256,54 @@ def near_duplicates(docs: DataFrame, width: int = 5, coordinates: int = COORDINA
     classes = full.groupBy("n_shingles", "lo", "hi").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = stored(full.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "lo", "hi"),
                             ["doc_id", "n_shingles", "lo", "hi"], "left_semi")
-                  .dropDuplicates(["doc_id", "lo", "hi"]).select("doc_id", "n_shingles", "signature"), "minhash-classes")
-    posts = stored(_postings(reps, coordinates, matches), "minhash-postings")
-
-    # round 1: every posting against the smallest document of its list with a set of like size
-    grade = F.floor(F.log("n_shingles") / F.log(F.lit(SIZE_STEP)))
-    graded = posts.withColumn("grade", grade)
-    heads = graded.groupBy("post", "grade").agg(F.min(F.struct("doc_id", "n_shingles")).alias("head"))
-    star = (graded.join(heads, ["post", "grade"]).filter("doc_id <> head.doc_id")
-            .select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
-    edges = stored(_confirmed(star, reps, docs, width, matches), "minhash-star")
-
-    # round 2: lists that still hold several components, across components only
-    found = components(edges)
-    labelled = (posts.join(found, posts["doc_id"] == found["node"], "left")
-                .select("post", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
-    mixed = labelled.groupBy("post").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("post")
+                  .dropDuplicates(["doc_id", "lo", "hi"]).select("doc_id", "n_shingles", "s0", "s1", "signature"), "minhash-classes")
+    posts = _postings(reps, coordinates, matches)
+
+    # round 1: every posting against the weightiest document of its list
+    posts = stored(posts, "minhash-postings")
+    heads = posts.groupBy("post").agg(F.max(F.struct("weight", "doc_id", "n_shingles", "s0", "s1")).alias("head"), F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").drop("n")
+    lists = stored(posts.join(heads, "post").withColumn("near", (F.col("doc_id") != F.col("head.doc_id")) & _alike("", "head."))
+                   .withColumns({"a": F.when(F.col("near"), F.col("head.doc_id")), "wa": F.when(F.col("near"), F.col("head.weight"))})
+                   .drop("head", "near", "weight"), "minhash-lists")
+    star = lists.filter("a is not null").select("a", F.col("doc_id").alias("b"), "wa").distinct()
+    # the weightiest document that each one is like is its pivot; others are their own
+    pivot = _likely(star, reps, matches).groupBy("b").agg(F.max(F.struct("wa", "a")).alias("s")).select(F.col("b").alias("doc_id"), F.col("s.a").alias("pivot"))
+    pivot = stored(pivot, "minhash-pivots")
+    sets = _full_sets(docs, pivot.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), width)
+    measured = (sets.join(pivot, "doc_id").withColumnRenamed("shingles", "x")
+                .join(sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("y")), "pivot")
+                .select("doc_id", "pivot", F.size("y").alias("na"), F.array_except("y", "x").alias("lacks"), F.array_except("x", "y").alias("adds"))
+                .withColumns({"r": F.size("lacks"), "p": F.size("adds")}).withColumn("q", 5 * F.col("r") + 4 * F.col("p") - F.col("na")))
+    measured = stored(measured, "minhash-measured")
+    found = components(measured.filter("q <= 0").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")))
+    named = found.withColumnRenamed("node", "doc_id")
+    placed = stored(reps.select("doc_id").join(named, "doc_id", "left").join(pivot, "doc_id", "left")
+                    .select("doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("pivot", "doc_id").alias("pivot")), "minhash-placed")
+
+    # round 2: documents of the same pivot by their differences from it
+    beside = _links_beside(measured.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+
+    # round 3: lists that hold several pivots and components, across both only
+    labelled = lists.select("post", "doc_id", "n_shingles", "s0", "s1").join(placed, "doc_id")
+    mixed = (labelled.groupBy("post").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.min("pivot").alias("p"), F.max("pivot").alias("q"))
+             .filter("c <> d and p <> q").select("post"))
     open_ = stored(labelled.join(mixed, "post", "left_semi"), "minhash-open")
-    l, r = open_.alias("l"), open_.alias("r")
-    rest = (l.join(r, (F.col("l.post") == F.col("r.post")) & (F.col("l.component") < F.col("r.component"))
-                   & (F.least("l.n_shingles", "r.n_shingles") * 100 >= F.greatest("l.n_shingles", "r.n_shingles") * PERCENT))
-            .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct())
-    edges = edges.union(_confirmed(rest, reps, docs, width, matches))
+    kinds = open_.select("post", "pivot").distinct()
+    two = (kinds.withColumnRenamed("pivot", "p").join(kinds.withColumnRenamed("pivot", "q"), "post").filter("p < q"))
+    side = lambda x: open_.select("post", F.col("pivot").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "component", "n_shingles", "s0", "s1")])
+    rest = (two.join(side("p"), ["post", "p"]).join(side("q"), ["post", "q"]).filter((F.col("p_component") != F.col("q_component")) & _alike("p_", "q_"))
+            .select(F.least("p_doc_id", "q_doc_id").alias("a"), F.greatest("p_doc_id", "q_doc_id").alias("b")).distinct())
+    rest = _likely(rest, reps, matches)
+    more = _measured(rest, _full_sets(docs, rest, width)).filter(SIMILAR).select("a", "b").union(beside)
 
     # rows that share a doc_id tie their classes together
     same = (full.join(classes, ["n_shingles", "lo", "hi"]).filter("doc_id <> rep")
             .select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     twice = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     tied = same.join(twice.withColumnRenamed("doc_id", "b"), "b", "left_semi").select("a", "b")
-    found = stored(components(edges.union(tied)), "minhash-components")
+    stars = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    found = components(stars.union(more).union(tied))
     out = (signed.join(classes.select("n_shingles", "lo", "hi", "rep"), ["n_shingles", "lo", "hi"], "left")
            .withColumn("node", F.coalesce("rep", "doc_id")))
     found = found.withColumnRenamed("component", "least")
