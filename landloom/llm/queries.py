@@ -135,7 +135,10 @@ FROM t GROUP BY conv_id""")
 def op8(spark, sf_dir):
     from . import chat
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    own = spark.createDataFrame([(-1, 0, "user", OWN_TURNS), (-1, 1, "assistant", OWN_TURNS)], talks.schema)
+    # one more conversation, of control strings
+    turn = F.col("id")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), turn.alias("turn"),
+                                F.when(turn == 0, "user").otherwise("assistant").alias("role"), F.lit(OWN_TURNS).alias("text"))
     rows = talks.union(own).select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))
     out = chat.format_chat(rows).withColumns({"turns": chat.read_turns(F.col("formatted")), "loss": chat.loss_text(F.col("segments"))})
     return out.select(
