@@ -289,11 +289,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, coordinates: int = COORDINA
     mixed = (labelled.groupBy("post").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.min("pivot").alias("p"), F.max("pivot").alias("q"))
              .filter("c <> d and p <> q").select("post"))
     open_ = stored(labelled.join(mixed, "post", "left_semi"), "minhash-open")
-    kinds = open_.select("post", "pivot").distinct()
-    two = (kinds.withColumnRenamed("pivot", "p").join(kinds.withColumnRenamed("pivot", "q"), "post").filter("p < q"))
-    side = lambda x: open_.select("post", F.col("pivot").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "component", "n_shingles", "s0", "s1")])
-    rest = (two.join(side("p"), ["post", "p"]).join(side("q"), ["post", "q"]).filter((F.col("p_component") != F.col("q_component")) & _alike("p_", "q_"))
-            .select(F.least("p_doc_id", "q_doc_id").alias("a"), F.greatest("p_doc_id", "q_doc_id").alias("b")).distinct())
+    side = lambda x, df: df.select("post", F.col("pivot").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "component", "n_shingles", "s0", "s1")])
+    own, held = open_.filter("pivot = doc_id"), open_.filter("pivot <> doc_id")
+    across = (F.col("p") != F.col("q")) & (F.col("p_component") != F.col("q_component")) & _alike("p_", "q_")
+    pair = (F.least("p_doc_id", "q_doc_id").alias("a"), F.greatest("p_doc_id", "q_doc_id").alias("b"))
+    # documents that are their own pivots meet as such; those of one pivot meet others only, list by list
+    alone = side("p", own).join(side("q", own), "post").filter((F.col("p") < F.col("q")) & across).select(*pair)
+    mixed_ = side("p", held).join(side("q", own), "post").filter(across).select(*pair)
+    kinds = held.select("post", "pivot").distinct()
+    two = kinds.withColumnRenamed("pivot", "p").join(kinds.withColumnRenamed("pivot", "q"), "post").filter("p < q")
+    groups = two.join(side("p", held), ["post", "p"]).join(side("q", held), ["post", "q"]).filter(across).select(*pair)
+    rest = alone.union(mixed_).union(groups).distinct()
     rest = _likely(rest, reps, matches)
     more = _measured(rest, _full_sets(docs, rest, width)).filter(SIMILAR).select("a", "b").union(beside)
 
