@@ -191,20 +191,26 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     least = F.greatest(F.lit(1), F.when(F.col("q") > 0, F.least(F.ceil(own / 9), F.ceil(F.col("q") / 5))).otherwise(F.ceil(own / 9)))
     # a document similar to the pivot needs nine of its differences to make up the least excess beside
     few = pivots.filter("q > 0").groupBy("pivot").agg(F.min("q").alias("lowest"))
+    # 256 places for the differences: a place that only one side has is a difference they do not share
+    place = lambda k: F.aggregate(F.filter("d", lambda e: F.shiftright(e, 8).bitwiseAND(F.lit(3)) == k), F.lit(0).cast("long"),
+                                  lambda acc, e: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(F.lit(63)).cast("int"))))
     each = stored(pivots.join(group, "pivot", "left_semi").join(few, "pivot").filter((F.col("q") > 0) | (9 * size >= F.col("lowest") + F.col("q") + F.col("na")))
-                  .select("doc_id", "component", "pivot", "na", "r", "p", "q", least.cast("int").alias("least"), F.concat("lacks", "adds").alias("d")),
-                  "minhash-differences")
+                  .select("doc_id", "component", "pivot", "na", "r", "p", "q", least.cast("int").alias("least"), F.concat("lacks", "adds").alias("d"))
+                  .withColumns({f"b{k}": place(k) for k in range(4)}), "minhash-differences")
     loose = each.select("doc_id", "pivot", F.explode("d").alias("e"))
     often = loose.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     ranked = loose.join(often, ["pivot", "e"]).groupBy("doc_id", "pivot").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("lists"))
     # differences of its own come first and meet nobody
     take = F.greatest(F.size("lists") - F.col("least") + 1, F.lit(0))
     posts = stored(ranked.join(each.drop("d"), ["doc_id", "pivot"]).withColumn("l", F.explode(F.slice("lists", F.lit(1), take)))
-                   .select("doc_id", "component", "pivot", "na", "r", "p", "q", F.col("l.e").alias("e")), "minhash-beside")
+                   .select("doc_id", "component", "pivot", "na", "r", "p", "q", "b0", "b1", "b2", "b3", F.col("l.e").alias("e")), "minhash-beside")
     l, r = posts.alias("l"), posts.alias("r")
+    apart = lambda x, y: sum((F.bit_count(F.col(f"{x}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}.b{k}")))) for k in range(4)), F.lit(0))
+    shared = F.least(F.col("l.r") + F.col("l.p") - apart("l", "r"), F.col("r.r") + F.col("r.p") - apart("r", "l"))  # at most
     meet = ((F.col("l.pivot") == F.col("r.pivot")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.component") < F.col("r.component"))
             & ((F.col("l.q") > 0) | (F.col("r.q") > 0))
-            & (9 * (F.least("l.r", "r.r") + F.least("l.p", "r.p")) >= F.col("l.q") + F.col("r.q") + F.col("l.na")))
+            & (9 * (F.least("l.r", "r.r") + F.least("l.p", "r.p")) >= F.col("l.q") + F.col("r.q") + F.col("l.na"))
+            & (9 * shared >= F.col("l.q") + F.col("r.q") + F.col("l.na")))
     pairs = l.join(r, meet).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
     x = each.select(F.col("doc_id").alias("a"), "q", "na", "d")
     y = each.select(F.col("doc_id").alias("b"), F.col("q").alias("q2"), F.col("d").alias("d2"))
