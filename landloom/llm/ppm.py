@@ -6,15 +6,13 @@ to the next shorter one, which leaves out all symbols the longer one knows
 (symbol exclusion).  Escapes are estimated by the number of different symbols of
 a context, each of which gives half an occurrence to it (method D).  Below the empty context all symbols left are equal.
 
-``pretrained`` counts all training text in one distributed sum and scores each
-document with the same trie.  ``adaptive`` starts each document with an empty
-trie and learns as it reads.
-
-An n-gram enters the trie if it makes up at least one part in ``SHARE`` of the
-training text, whatever its size: so a level has at most ``SHARE`` entries and
-the trie sent to the tasks has a fixed bound, while its counts come from all the
-text.  What is left out still counts: it is escape from its context.  Likewise at most ``WORD_SHARE`` word counts are sent to the tasks; rarer
-words are joined with their counts.
+``pretrained`` counts all training text in one distributed sum.  Every n-gram
+stays in the stored levels; each different n-gram of any text gets its score by
+joins with them.  The scores of at most ``HOT`` n-grams, the commonest, are sent
+to the tasks; the other places of a text are joined with theirs.  Likewise at
+most ``WORD_SHARE`` word counts are sent; rarer words are joined with their
+counts.  ``Trie`` is the same model in memory, for small tables.  ``adaptive``
+starts each document with an empty trie and learns as it reads.
 """
 
 from __future__ import annotations
@@ -26,13 +24,13 @@ from math import log, log10
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textblocks as tb
 from .minhash import stored
 
 ORDER = 5
-SHARE = 1_000_000
+HOT = 1_000_000
 WORD_SHARE = 4_000_000
 #: Bytes that no UTF-8 text has: before the first byte, and behind the last.
 START, END = 0xFE, 0xFF
@@ -97,22 +95,27 @@ class Sums:
 
 
 def _count(order: int):
-    """Counts of byte n-grams (kind 0), of words (kind 1) and of texts (kind 2)."""
+    """Counts of byte n-grams (kind 0), of words (kind 1) and of texts (kind 2); of n-grams of texts held out (kind 3)."""
     def out(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)),
                                            pa.array(counts.astype(np.int64))], ["kind", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram_sums, word_sums, texts = Sums(), Sums(), 0
+        gram_sums, word_sums, held_sums, texts = Sums(), Sums(), Sums(), 0
         for block in tb.blocks(batches, "text"):
             data, offsets = _lower(block)
-            texts += block.num_rows
-            for pair in gram_sums.add(grams(data, offsets, order)[0]):
+            held = block.column(block.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False).astype(bool)
+            texts += int((~held).sum())
+            keys, cuts = grams(data, offsets, order)
+            outside = np.repeat(held, np.diff(cuts))
+            for pair in gram_sums.add(keys[~outside]):
                 yield out(0, *pair)
-            starts, ends, _ = tb.words(data, offsets)
-            for pair in word_sums.add(tb.word_hashes(data, starts, ends).view(np.int64)):
+            for pair in held_sums.add(keys[outside]):
+                yield out(3, *pair)
+            starts, ends, row = tb.words(data, offsets)
+            for pair in word_sums.add(tb.word_hashes(data, starts, ends).view(np.int64)[~held[row]]):
                 yield out(1, *pair)
-        for kind, sums in ((0, gram_sums), (1, word_sums)):
+        for kind, sums in ((0, gram_sums), (1, word_sums), (3, held_sums)):
             for pair in sums.rest():
                 yield out(kind, *pair)
         yield out(2, np.zeros(1, np.int64), np.array([texts]))
@@ -199,51 +202,132 @@ class Trie:
         return result
 
 
-def train(docs: DataFrame, order: int = ORDER, share: int = SHARE) -> tuple[Trie, DataFrame, int, int]:
-    """Trie of the texts of ``docs``; stored word counts (word, c); number of words; number of texts."""
-    sums = stored(docs.select("text").mapInArrow(_count(order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")),
+def _low(key: Column, size: int) -> Column:
+    """The last ``size`` bytes of a key."""
+    return key.bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+def _levels(full: DataFrame, order: int) -> list[DataFrame]:
+    """Stored levels: each context of o bytes with all its symbols (at most 256) and their counts."""
+    key, levels = F.col("key"), []
+    for o in range(order, -1, -1):
+        level = full.groupBy(F.shiftright(key, 8).alias("context")).agg(F.collect_list(F.struct(
+            key.bitwiseAND(F.lit(255)).cast("int").alias("symbol"), "n")).alias("all"))
+        levels.append(level := stored(level, "ppm-level"))
+        each = level.select("context", F.explode("all").alias("x"))
+        full = each.select(_low(F.shiftleft("context", 8).bitwiseOR(F.col("x.symbol").cast("long")), o).alias("key"), F.col("x.n").alias("n"))
+        full = full.groupBy("key").agg(F.sum("n").alias("n"))
+    return levels[::-1]
+
+
+def _nodes(level: DataFrame, share: int | None, total: int) -> DataFrame:
+    """context, total, lost, kinds and symbols (a map to counts) of the contexts that know a symbol."""
+    kept = F.col("all") if share is None else F.filter("all", lambda x: x["n"] * share >= total)
+    count = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return (level.select("context", count(F.col("all")).alias("total"), kept.alias("kept")).filter(F.size("kept") > 0)
+            .select("context", "total", (F.col("total") - count(F.col("kept"))).alias("lost"), F.size("kept").alias("kinds"),
+                    F.map_from_entries("kept").alias("symbols")))
+
+
+def _score_keys(want: DataFrame, nodes: list[DataFrame], o: int, floor: float) -> DataFrame:
+    """log_n, start and go_on of each different key of ``want`` (o context bytes and a symbol).
+
+    ``log_n``: of the count less a half, null if the context does not know the
+    symbol.  ``start``: log probability of the symbol from this context on.
+    ``go_on``: log probability after an escape from this context.  A context
+    has at most 256 keys, and a key ends at most 256 longer ones: no join is skewed.
+    """
+    node = nodes[o]
+    if o:
+        up = nodes[o - 1].select(F.col("context").alias("up"), *(F.col(c).alias(f"up_{c}") for c in ("total", "lost", "kinds", "symbols")))
+        known = F.aggregate(F.map_keys("symbols"), F.lit(0).cast("long"), lambda s, x: s + F.col("up_symbols")[x])
+        out = F.col("up_lost") + (F.col("up_kinds") - F.col("kinds")) / 2
+        both = F.greatest(F.col("up_total") - known, F.lit(0.5))  # what the shorter context adds
+        node = node.join(up, _low(F.col("context"), o - 1) == F.col("up")).select(
+            *node.columns, F.log(both).alias("rest"), F.when(out > 0, F.log(F.greatest(out, F.lit(0.5)) / both)).otherwise(0.0).alias("down"))
+    found = want.withColumn("context", F.shiftright("key", 8)).join(node, "context", "left").select(
+        "key", F.log(F.col("symbols")[F.col("key").bitwiseAND(F.lit(255)).cast("int")] - 0.5).alias("log_n"), F.log("total").alias("log_total"),
+        F.log((F.col("lost") + F.col("kinds") / 2) / F.col("total")).alias("escape"), *(["rest", "down"] if o else []))
+    start = F.col("log_n") - F.col("log_total")
+    if not o:
+        return found.select("key", "log_n", F.coalesce(start, F.col("escape") + floor, F.lit(-log(SYMBOLS))).alias("start"), F.lit(floor).alias("go_on"))
+    found = stored(found, "ppm-found")
+    missing = found.filter("log_n is null").withColumn("low", _low(F.col("key"), o))
+    below = _score_keys(missing.select(F.col("low").alias("key")).distinct(), nodes, o - 1, floor).select(
+        F.col("key").alias("low"), *(F.col(c).alias(f"low_{c}") for c in ("log_n", "start", "go_on")))
+    go_on = F.coalesce(F.col("low_log_n") - F.col("rest"), F.col("down") + F.col("low_go_on"))
+    missing = missing.join(below, "low").select("key", "log_n", F.coalesce(F.col("escape") + go_on, F.col("low_start")).alias("start"), go_on.alias("go_on"))
+    return found.filter("log_n is not null").select("key", "log_n", start.alias("start"), F.lit(None).cast("double").alias("go_on")).unionAll(missing)
+
+
+def train(rows: DataFrame, order: int = ORDER, share: int | None = None) -> tuple[DataFrame, DataFrame, int, int]:
+    """Stored scores (key, value, seen) of all n-grams of ``rows``; stored word counts (word, c); number of words; number of texts.
+
+    Nothing is learnt from rows held out; their n-grams are scored.  With
+    ``share``, n-grams below one part in ``share`` of the training text are left
+    out of their contexts and count as escape.
+    """
+    sums = stored(rows.select("held_out", "text").mapInArrow(_count(order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")),
                   "ppm-counts")
-    full = sums.filter("kind = 0")
-    levels = []
+    full = sums.filter("kind = 0").select("key", "n")
     total = full.agg(F.sum("n")).first()[0] or 0
-    for o in range(order + 1):
-        cut = full.select(F.col("key").bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-        cut = stored(cut, "ppm-level")
-        kept = cut.filter(F.col("n") * share >= total)
-        context = F.shiftright("key", 8).alias("context")
-        often = cut.groupBy(context).agg(F.sum("n").alias("n")).join(kept.select(context).distinct(), "context", "left_semi")
-        kept, often = kept.toPandas(), often.toPandas()  # at most ``share`` rows each
-        levels.append(tuple(x.to_numpy(np.int64) for x in (kept["key"], kept["n"], often["context"], often["n"])))
+    nodes = [_nodes(level, share, total) for level in _levels(full, order)]
+    first = nodes[0].select("kinds").first()
+    floor = -log(max(SYMBOLS - (first[0] if first else 0), 1))
+    seen = sums.filter("kind in (0, 3)").groupBy("key").agg(F.sum("n").alias("seen"))
+    scores = _score_keys(seen.select("key"), nodes, order, floor).select("key", (F.col("start") / log(10)).alias("value"))
+    scores = stored(scores.join(seen, "key"), "ppm-scores")
     counted = sums.filter("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     words = counted.agg(F.sum("c")).first()[0] or 0
     texts = sums.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
-    return Trie(levels), counted, words, texts
+    return scores, counted, words, texts
+
+
+def commonest(scores: DataFrame, hot: int) -> DataFrame:
+    """The commonest rows of ``scores``, at most ``hot``: whole classes of ``seen``, each a quarter of a power of two wide."""
+    kind = F.floor(F.log2("seen") * 4).alias("kind")
+    least = None
+    for k, n in sorted(scores.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):  # at most 256 classes
+        hot -= n
+        if hot < 0:
+            break
+        least = k
+    return scores.filter(F.lit(False) if least is None else kind >= least)
 
 
-def _score(trie: Trie, word: np.ndarray, count: np.ndarray, order: int):
-    """Score of each text; sums over the words of the table; the other words with their number."""
+def _sorted(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Both columns in the order of the first."""
+    table = pairs.toArrow()
+    key, value = (x.to_numpy() for x in table.columns)
+    turn = np.argsort(key)
+    return key[turn], value[turn]
+
+
+def _score(key: np.ndarray, value: np.ndarray, word: np.ndarray, count: np.ndarray, order: int):
+    """Sums over the n-grams and words of the tables; the other n-grams and words, and the number of the words."""
     logs = np.log10(count + SMOOTH)
 
+    def sums(table: np.ndarray, worth: np.ndarray, keys: np.ndarray, row: np.ndarray, n: int):
+        code, names = pd.factorize(keys)
+        at = Trie._find(table, names)
+        known = (at >= 0)[code]
+        total = np.bincount(row, weights=np.where(at >= 0, worth[at] if len(worth) else 0.0, 0.0)[code], minlength=n)
+        rare = np.flatnonzero(~known)
+        cut = np.searchsorted(row[rare], np.arange(n + 1))
+        return total, known, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(keys[rare], pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in tb.blocks(batches, "text"):
             data, offsets = _lower(block)
             n = block.num_rows
             keys, cuts = grams(data, offsets, order)
-            code, names = pd.factorize(keys)
-            score = np.add.reduceat(trie.log10s(names)[code], cuts[:-1])  # every text has its end at least
+            score, _, tail = sums(key, value, keys, np.repeat(np.arange(n), np.diff(cuts)), n)
             starts, ends, row = tb.words(data, offsets)
-            code, names = pd.factorize(tb.word_hashes(data, starts, ends).view(np.int64))
-            at = Trie._find(word, names)
-            value = np.where(at >= 0, logs[at] if len(logs) else 0.0, 0.0)
-            known = at >= 0
-            base = np.bincount(row, weights=value[code], minlength=n)
-            sure = np.bincount(row, weights=known[code], minlength=n).astype(np.int64)
-            rare = np.flatnonzero(~known[code])
-            cut = np.searchsorted(row[rare], np.arange(n + 1))
+            base, known, rare = sums(word, logs, tb.word_hashes(data, starts, ends).view(np.int64), row, n)
+            sure = np.bincount(row, weights=known, minlength=n).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*block.columns[:-1], pa.array(np.bincount(row, minlength=n).astype(np.int64)), pa.array(score), pa.array(base), pa.array(sure),
-                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(names[code[rare]]))],
-                ["rid", "doc_id", "held_out", "words", "score", "base", "sure", "rare"])
+                [*block.columns[:-1], pa.array(np.bincount(row, minlength=n).astype(np.int64)), pa.array(score), pa.array(base), pa.array(sure), rare, tail],
+                ["rid", "doc_id", "held_out", "words", "score", "base", "sure", "rare", "tail"])
     return run
 
 
@@ -252,38 +336,47 @@ def held_out(doc_id, parts: int = HELD):
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == 0, F.lit(False))
 
 
-def pretrained(docs: DataFrame, order: int = ORDER, share: int = SHARE, word_share: int = WORD_SHARE) -> DataFrame:
+def pretrained(docs: DataFrame, order: int = ORDER, share: int | None = None, word_share: int = WORD_SHARE,
+               hot: int = HOT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs`` (doc_id, text).
 
-    The trie and the word counts learn from rows that are not held out
+    The levels and the word counts learn from rows that are not held out
     (crc32 of the id as text, modulo 10, is not 0; a null id is learnt from).
     A-Z is lower-cased.  Tokens are the words and one end of text.  ``score`` is
     the log10 probability of all bytes of the text and its end, ``base_score``
     that of the tokens by smoothed counts.  A null or empty text is its end
     only.  Equal rows are learnt as often as they come; other columns are not
-    looked at.  Without training text all bytes are equally likely.
+    looked at.  Without training text all bytes are equally likely.  All n-grams
+    count; a caller who wants a smaller model gives ``share`` (see ``train``).
     """
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    trie, counted, words, texts = train(rows.filter("not held_out"), order, share)
+    scores, counted, words, texts = train(rows, order, share)
     total = words + texts
-    frequent = counted.filter(F.col("c") * word_share >= words).toPandas().sort_values("word")  # at most ``word_share`` rows
-    step = _score(trie, frequent["word"].to_numpy(np.int64), frequent["c"].to_numpy(np.float64), order)
+    frequent = _sorted(counted.filter(F.col("c") * word_share >= words))  # at most ``word_share`` rows
+    common = _sorted(commonest(scores, hot).select("key", "value"))  # at most ``hot`` rows
+    step = _score(*common, frequent[0], frequent[1].astype(np.float64), order)
     scored = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", "text").mapInArrow(
-        step, "rid long, doc_id long, held_out boolean, words long, score double, base double, sure long, rare array<long>")
+        step, "rid long, doc_id long, held_out boolean, words long, score double, base double, sure long, rare array<long>, tail array<long>")
     scored = stored(scored, "ppm-scored")  # the numbers of the rows hold because they are stored
     # rare words meet their counts; each is rarer than one in ``word_share``, so no key is hot
     rare = (scored.select("rid", F.explode("rare").alias("word")).groupBy("rid", "word").agg(F.count(F.lit(1)).alias("k"))
             .join(counted, "word", "left").withColumn("c", F.coalesce("c", F.lit(0))))
-    per = rare.groupBy("rid").agg(F.sum(F.col("k") * F.log10(F.col("c") + F.lit(SMOOTH))).alias("more"),
-                                  F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("found"))
+    # so are the n-grams that were not sent: a class of them that is too large to send has no common ones
+    tail = scored.select("rid", F.explode("tail").alias("key")).join(scores.select("key", "value"), "key")
+    none = F.lit(None).cast("double")
+    per = rare.select("rid", (F.col("k") * F.log10(F.col("c") + F.lit(SMOOTH))).alias("more"),
+                      F.when(F.col("c") > 0, F.col("k")).alias("found"), none.alias("far")).unionAll(
+        tail.select("rid", none.alias("more"), F.lit(None).cast("long").alias("found"), F.col("value").alias("far")))
+    per = per.groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("more", "found", "far")))
     kinds = counted.count() + (1 if texts else 0)
     below = log10(total + SMOOTH * (kinds + 1))
     end = log10(texts + SMOOTH)
     zero = F.lit(0)
-    return (scored.drop("rare").join(per, "rid", "left").select(
+    return (scored.drop("rare", "tail").join(per, "rid", "left").select(
         "doc_id", "held_out", (F.col("words") + 1).alias("n_tokens"),
         (F.col("sure") + F.coalesce("found", zero) + (1 if texts else 0)).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) + end - (F.col("words") + 1) * F.lit(below)).alias("base_score"), "score"))
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) + end - (F.col("words") + 1) * F.lit(below)).alias("base_score"),
+        (F.col("score") + F.coalesce("far", F.lit(0.0))).alias("score")))
 
 
 def adaptive_log10(text: bytes, order: int = ORDER) -> float:

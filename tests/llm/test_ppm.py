@@ -107,3 +107,24 @@ def test_adaptive_learns_while_reading(spark):
     rows = [(1, "abcabcabcabc" * 20), (2, "".join(chr(97 + (i * i * 7 + i) % 23) for i in range(240))), (3, None)]
     got = dict(tuple(r) for r in ppm.adaptive(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())
     assert got[1] > got[2] / 3 and got[3] == pytest.approx(-log10(255))
+
+
+def test_all_ngrams_count(spark):
+    """A megabyte of one text does not drive out n-grams that come once; sent and joined scores are the same."""
+    draw = random.Random(8)
+    texts = [prose(draw, draw.randint(0, 40)) for _ in range(30)] + ["ab " * 400_000, "", None, "held §§ out"]
+    rows = list(enumerate(texts, 100))
+    learnt = [t for i, t in rows if crc32(str(i).encode()) % 10]
+    assert len(learnt) < len(texts)
+    tables = [defaultdict(Counter) for _ in range(ORDER + 1)]
+    for k, c in Counter(k for t in learnt for k in gram_keys(t, ORDER)).items():
+        for o in range(ORDER + 1):
+            tables[o][(k & ((1 << 8 * (o + 1)) - 1)) >> 8][k & 255] += c
+    totals = [{c: sum(x.values()) for c, x in t.items()} for t in tables]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for settings in ({}, {"hot": 40}, {"hot": 0}):
+        got = {r["doc_id"]: r["score"] for r in ppm.pretrained(docs, ORDER, **settings).collect()}
+        assert len(got) == len(rows)
+        for i, t in rows:
+            if len(t or "") < 1000:
+                assert got[i] == pytest.approx(sum(plain_log10(tables, totals, gram_keys(t, ORDER), ORDER)), abs=1e-6)
