@@ -7,9 +7,7 @@ corpus), one over trusted documents.  A document's score is the sum of log
 ``LEAST_SCORE`` are rejected.  The rule has no chance in it: equal texts get
 equal verdicts.
 
-Trusted documents are at most ``TRUSTED_ROWS`` labelled ones, chosen by the hash
-of their id, so the list that marks them in the scan has a fixed bound and the
-texts need no shuffle.  Raw counts cover all documents.
+Both counts cover all their documents, however many are trusted.
 """
 
 from __future__ import annotations
@@ -19,7 +17,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .nativetext import split_words
 
 BUCKETS = 1 << 16
-TRUSTED_ROWS = 10_000
 LEAST_SCORE = -0.1
 #: Fixed values of the base rules.
 SYMBOLS = "[^#*$%&|<>]+"
@@ -65,17 +62,22 @@ def _bucket(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """One row with ``llr``: log (trusted / raw) of each bucket, with one added to each count."""
-    chosen = (trusted.filter("doc_id is not null").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("_t", F.lit(1)))
+def _grams(docs: DataFrame) -> DataFrame:
+    """``bucket`` of every word and word pair of ``text``."""
     words = split_words(F.col("text"))
     pairs = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))).alias("b"))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")  # at most trusted_rows ids
-            .select(F.coalesce("_t", F.lit(0)).alias("t"), F.explode(pairs).alias("p")))
+    rows = docs.select(F.explode(pairs).alias("p"))
     one = F.array(_bucket("p.a"), _bucket("p.a", "p.b"))
-    grams = rows.select("t", F.explode(F.when(F.col("p.b").isNull(), F.slice(one, 1, 1)).otherwise(one)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
+    return rows.select(F.explode(F.when(F.col("p.b").isNull(), F.slice(one, 1, 1)).otherwise(one)).alias("bucket"))
+
+
+def ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """One row with ``llr``: log (trusted / raw) of each bucket, with one added to each count."""
+    chosen = trusted.filter("doc_id is not null").select("doc_id").distinct()
+    # the ids are the small side of each part: texts are dealt out by id but not sorted
+    marked = docs.select("doc_id", "text").join(chosen.hint("shuffle_hash"), "doc_id", "left_semi")
+    count = lambda d, name: _grams(d).groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+    counts = count(docs, "raw").join(count(marked, "target"), "bucket", "left")
     all_ = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
     whole = all_.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"),  # BUCKETS entries
                      F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
@@ -83,8 +85,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS
                                     - F.log((x["raw"] + 1) / (F.col("raws") + BUCKETS))).alias("llr"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, least_score: float = LEAST_SCORE,
-                  trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, trusted: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr_score and kept.
 
     ``docs`` has doc_id and text; its other columns come through (those named
@@ -94,7 +95,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, least_score: float = LEAS
     in known buckets; then every document that passes the base rules is kept.
     Rows with a null doc_id are judged like all others.
     """
-    table = ratios(docs, trusted, trusted_rows)
+    table = ratios(docs, trusted)
     known = trusted.filter("doc_id is not null").limit(1).agg(F.count(F.lit(1)).alias("n"))
     words = F.col("_words")
     n = F.size(words)

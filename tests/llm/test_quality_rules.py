@@ -70,3 +70,13 @@ def test_nothing_trusted_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert {r["doc_id"]: r["kept"] for r in qr.quality_rules(docs, none).collect()} == {1: True, 2: False}
     assert qr.quality_rules(docs.limit(0), none).count() == 0
+
+
+def test_all_trusted_documents_count(spark):
+    """12,000 trusted documents of one word: each adds one to its bucket."""
+    docs = spark.range(12_000).selectExpr("id as doc_id", "if(id % 3 = 0, 'alpha', 'beta') as text")
+    llr = qr.ratios(docs, docs.select("doc_id")).first()[0]
+    for word, n in (("alpha", 4000), ("beta", 8000)):
+        assert llr[bucket(word.encode())] == pytest.approx(log((n + 1) / (12_000 + qr.BUCKETS)) - log((n + 1) / (12_000 + qr.BUCKETS)), abs=1e-9)
+    llr = qr.ratios(docs.unionAll(docs.selectExpr("doc_id + 12000", "text")), docs.select("doc_id")).first()[0]
+    assert llr[bucket(b"alpha")] == pytest.approx(log(4001 / (12_000 + qr.BUCKETS)) - log(8001 / (24_000 + qr.BUCKETS)), abs=1e-9)
