@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from landloom.llm import decontaminate, minhash, quality_rules, queries, sentencepiece, suffix
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``_row``, a number of each row: ids may be null or come twice.  The numbers hold because they are stored."""
+    return minhash.stored(docs.withColumn("_row", F.monotonically_increasing_id()), f"pipeline-rows-{name}")
+
+
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     trusted = queries.table(spark, sf_dir, "labels").filter("quality = 1")
@@ -21,9 +26,12 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of five words, similarity 0.8)."""
-    gone = minhash.near_duplicates(docs, width=5).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates (shingles of five words, similarity 0.8): the smallest id, null ids last."""
+    rows = keyed(docs, "near")
+    groups = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5)
+    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +43,10 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    found = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs, "benchmark")
+    found = decontaminate.decontaminate(rows.select(F.col("_row").alias("doc_id"), "text"), queries.table(spark, sf_dir, "benchmark"))
+    gone = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,3 +39,20 @@ def test_odd_rows(spark):
     for _, stage in cp.STAGES:
         for frame in (docs, docs.limit(0)):
             assert stage(spark, frame, "/root/testdata/sf0.001").count() <= frame.count()
+
+
+def test_one_text_stays_of_repeated_and_null_id_rows(spark):
+    """After stages 2 to 4 each group has one whole text; contaminated rows are gone whatever their id."""
+    import random
+    draw, sf = random.Random(4), "/root/testdata/sf0.001"
+    twice, pair, nulls, alone = (f"{k} " + " ".join(f"{k}{draw.randrange(10 ** 6)}" for _ in range(120)) for k in ("aa", "bb", "cc", "dd"))
+    bad = max((r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()), key=len)
+    rows = [(5, twice), (5, twice), (None, pair + " own"), (6, pair), (None, nulls), (None, nulls), (7, alone), (7, bad), (None, "x " + bad + " y"),
+            (8, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in cp.STAGES[1:4]:
+        docs = minhash.stored(stage(spark, docs, sf), f"test-odd-{name}")
+    left = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    assert sorted((x for x in left if x[1]), key=key) == sorted([(5, twice), (6, pair), (7, alone), (None, nulls)], key=key)
+    assert {x for x in left if not x[1]} == {(8, None), (None, "")}
