@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: White space between words, and the letters that are lower-cased.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -23,3 +23,16 @@ def lower_ascii(word: Column) -> Column:
     plain = F.octet_length(word) == F.char_length(word)
     return (F.when(plain, F.lower(word))
             .when(word.rlike("[A-Z]"), F.translate(word, UPPER, SMALL)).otherwise(word))
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, worked out once: inside a lambda a value is a variable that the optimiser cannot replace by its steps."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_fields(rows: DataFrame, fields: Column) -> DataFrame:
+    """``rows`` with the fields of a struct as columns, worked out once a row whatever is filtered or sorted on them later.
+
+    The fields come out of a generator of one row: filters on them stay above it.
+    """
+    return rows.select("*", F.inline(F.array(fields)))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .nativetext import split_words
+from .nativetext import let, split_words, with_fields
 
 BUCKETS = 1 << 16
 LEAST_SCORE = -0.1
@@ -23,39 +23,41 @@ SYMBOLS = "[^#*$%&|<>]+"
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr_score", "base_failed", "kept")
 
 
-def with_repeated_words(docs: DataFrame) -> DataFrame:
-    """``n_repeat_words``: words of ``_words`` inside windows of ``WINDOW`` words that occur twice or more in the text.
+def repeated_words(words: Column) -> Column:
+    """Words inside windows of ``WINDOW`` words that occur twice or more in the text.
 
-    Steps stand in columns of their own, so none is worked out again for each element.
+    Each step is bound to a variable, so none is worked out again for each element.
     """
-    n = F.size("_words")
-    hashes = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - WINDOW + 1), lambda i: F.xxhash64(F.slice("_words", i, WINDOW))))
-    # most texts repeat nothing: the sort runs only where a hash comes twice
-    repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    placed = F.when(repeats, F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    following = F.slice("_placed", F.lit(2), F.size("_placed"))
-    pairs = F.zip_with("_placed", following, lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])))
-    starts = F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
-    total = F.aggregate("_starts", F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
-                        lambda s, p: F.struct((s["n"] + F.least(F.lit(WINDOW), p - s["last"])).alias("n"), p.alias("last")))
-    return (docs.withColumn("_hashes", hashes).withColumn("_placed", placed)
-            .withColumn("_starts", F.when(F.col("_placed").isNotNull(), starts))
-            .withColumn("n_repeat_words", F.coalesce(total["n"], F.lit(0)).cast("long")).drop("_hashes", "_placed", "_starts"))
-
-
-def base_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_words`` and the base columns."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    def summed(starts: Column) -> Column:
+        return F.aggregate(starts, F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+                           lambda s, p: F.struct((s["n"] + F.least(F.lit(WINDOW), p - s["last"])).alias("n"), p.alias("last")))["n"]
+
+    def starts_of(placed: Column) -> Column:
+        following = F.slice(placed, F.lit(2), F.size(placed))
+        pairs = F.zip_with(placed, following, lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])))
+        return F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
+
+    def counted(hashes: Column) -> Column:
+        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        # most texts repeat nothing: the sort runs only where a hash comes twice
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), let(placed, lambda p: let(starts_of(p), summed))).otherwise(0)
+
+    n = F.size(words)
+    hashes = F.transform(F.sequence(F.lit(1), n - WINDOW + 1), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+    return F.when(n >= WINDOW, let(hashes, counted)).otherwise(0).cast("long")
+
+
+def base_fields(text: Column, words: Column) -> dict[str, Column]:
+    """The base columns of a text and its words."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    return (with_repeated_words(docs.withColumn("_words", split_words(F.col("text"))))
-            .withColumn("n_words", F.size("_words").cast("long"))
-            .withColumn("word_chars", F.char_length(F.array_join("_words", "")).cast("long"))
-            .withColumn("n_symbols", F.char_length(F.regexp_replace(text, SYMBOLS, "")).cast("long"))
-            .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-            .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
-                        | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT)))
+    return {"n_words": F.size(words).cast("long"),
+            "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
+            "n_symbols": F.char_length(F.regexp_replace(text, SYMBOLS, "")).cast("long"),
+            "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+            "n_repeat_words": repeated_words(words)}
 
 
 def _bucket(*parts: Column) -> Column:
@@ -97,13 +99,22 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, least_score: float = LEAS
     """
     table = ratios(docs, trusted)
     known = trusted.filter("doc_id is not null").limit(1).agg(F.count(F.lit(1)).alias("n"))
-    words = F.col("_words")
-    n = F.size(words)
-    score = lambda t, b: F.get(t, b)
-    single = F.aggregate(words, F.lit(0.0), lambda s, w: s + score(F.col("_llr"), _bucket(w)))
-    double = F.when(n > 1, F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0.0), lambda s, i: s + score(
-        F.col("_llr"), _bucket(F.get(words, i), F.get(words, i + 1))))).otherwise(0.0)
-    return (base_counts(docs).withColumn("_llr", table.scalar())
-            .withColumn("llr_score", F.when(n > 0, (single + double) / (2 * n - 1)).otherwise(0.0))
-            .withColumn("kept", ~F.col("base_failed") & ((F.col("llr_score") >= least_score) | (known.scalar() == 0)))
-            .drop("_words", "_llr"))
+    names = [c for c in docs.columns if c not in RESULTS]
+    rows = docs.select(*names, table.scalar().alias("_llr"), known.scalar().alias("_known"))
+
+    def score(words: Column) -> Column:
+        n = F.size(words)
+        single = F.aggregate(words, F.lit(0.0), lambda s, w: s + F.get("_llr", _bucket(w)))
+        double = F.when(n > 1, F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0.0), lambda s, i: s + F.get(
+            F.col("_llr"), _bucket(F.get(words, i), F.get(words, i + 1))))).otherwise(0.0)
+        return F.when(n > 0, (single + double) / (2 * n - 1)).otherwise(0.0)
+
+    def judged(q: Column) -> Column:
+        failed = (q["n_words"] < LEAST_WORDS) | (q["n_repeat_words"] * 100 > q["n_words"] * MOST_REPEATED_PERCENT)
+        kept = ~failed & ((q["llr_score"] >= least_score) | (F.col("_known") == 0))
+        return F.struct(*[q[c].alias(c) for c in RESULTS[:-2]], failed.alias("base_failed"), kept.alias("kept"))
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    fields = let(split_words(F.col("text")), lambda w: F.struct(
+        *[v.alias(c) for c, v in base_fields(text, w).items()], score(w).alias("llr_score")))
+    return with_fields(rows, let(fields, judged)).drop("_llr", "_known")

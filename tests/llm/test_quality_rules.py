@@ -80,3 +80,18 @@ def test_all_trusted_documents_count(spark):
         assert llr[bucket(word.encode())] == pytest.approx(log((n + 1) / (12_000 + qr.BUCKETS)) - log((n + 1) / (12_000 + qr.BUCKETS)), abs=1e-9)
     llr = qr.ratios(docs.unionAll(docs.selectExpr("doc_id + 12000", "text")), docs.select("doc_id")).first()[0]
     assert llr[bucket(b"alpha")] == pytest.approx(log(4001 / (12_000 + qr.BUCKETS)) - log(8001 / (24_000 + qr.BUCKETS)), abs=1e-9)
+
+
+def test_filters_on_results_cost_nothing(spark):
+    """Filters and sorts on the verdict leave each step worked out once, also in very long texts."""
+    import time
+    draw = random.Random(4)
+    long_ = [" ".join(f"w{draw.randrange(5_000)}" for _ in range(20_000)) for _ in range(6)] + [prose(draw, 3_000) * 7, "x" * 3_000_000]
+    docs = spark.createDataFrame(list(enumerate(long_)), "doc_id long, text string")
+    out = qr.quality_rules(docs, spark.createDataFrame([(i,) for i in range(6)], "doc_id long"))
+    began = time.time()
+    kept = out.filter("kept").select("doc_id", "n_words").collect()
+    failed = out.filter("base_failed").orderBy("llr_score").select("doc_id").collect()
+    assert time.time() - began < 60
+    assert {r.doc_id for r in failed} == {6, 7}
+    assert sorted(r.doc_id for r in kept) == list(range(6)) and all(r.n_words == 20_000 for r in kept)
