@@ -232,7 +232,7 @@ def test_layers_of_mixed_objects(spark):
     square = G.rectangle(F.lit(0), F.lit(0), F.lit(10), F.lit(10))
     tables = {
         "ax_gebaeude": base(square, gebaeudefunktion=F.lit(2030), hochhaus=F.lit("true"), zustand=none("int"), lagezurerdoberflaeche=none("int"), bauweise=none("int")),
-        "ax_fliessgewaesser": base(square, zustand=F.lit(4000)),
+        "ax_fliessgewaesser": base(square, zustand=F.lit(4000), funktion=F.lit(8300)),
         "ax_leitung": base(G.line(F.array(G.vertex(0, 0), G.vertex(4, 0))), bauwerksfunktion=F.lit(1111)),
         "ax_einrichtungenfuerdenschiffsverkehr": base(G.point(F.lit(3.0), F.lit(4.0)), art=F.lit(1440), kilometerangabe=F.lit("12,5"), name=none("string")),
     }
