@@ -36,7 +36,7 @@ def tokenizer_file(name: str) -> str:
 def op1(spark, sf_dir):
     from . import sentencepiece as codec
     path = tokenizer_file("piece_bpe_32k.model")
-    done = codec.decode(codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    done = codec.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     ids = F.sha2(F.array_join("ids", ",").cast("binary"), 256)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -200,3 +200,62 @@ def op10(spark, sf_dir):
     listed = (pages.groupBy(address.alias("address")).agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("url"))
               .filter("n > 1 and address <> ''").select("url"))
     return urls.judge_urls(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+END_ID = 1
+
+
+@query("op11_token_records")
+def op11(spark, sf_dir):
+    import uuid
+    from landloom.session import checkpoint_dir
+    from . import token_records
+    path = f"{checkpoint_dir(spark).rstrip('/')}/token-records-{uuid.uuid4().hex}"
+    token_records.write_records(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path, END_ID)
+    out = token_records.read_records(spark, path, "doc_id long, start long, n_tokens long, data binary")
+    return out.select("doc_id", "start", "n_tokens", F.crc32("data").alias("ids_crc32"))
+
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query("op12_source_divergence", f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{_TERM}') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+x AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS p,
+         1 + (1000000000::HUGEINT * (total + 5)) // (sum(total) OVER w + 5 * count(*) OVER w) AS q
+  FROM x WINDOW w AS (PARTITION BY lang, source)),
+v AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+WHERE part = 'pair' OR rank <= 50""")
+def op12(spark, sf_dir):
+    from .source_audit import source_divergence
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark, sf_dir):
+    from . import alignment
+    from .minhash import stored
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    laid = alignment.align(table(spark, sf_dir, "documents"), *files)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    laid = stored(laid.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times"), "aligned")
+    scores = alignment.link_scores(laid, alignment.pair_counts(laid))
+    return laid.drop("pairs", "times").join(scores, "row").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -84,7 +84,9 @@ class Pieces:
         self.rank[np.argsort(-self.score, kind="stable")] = np.arange(len(self.text))
         if self.bpe:
             self._splits(usable)
-        self.output = np.array([self._bytes(i) for i in range(len(self.text))], dtype=object)
+        output = [self._bytes(i) for i in range(len(self.text))]
+        self.out_size = np.array([len(x) for x in output], np.int64)
+        self.out_first, self.out = np.cumsum(self.out_size) - self.out_size, np.frombuffer(b"".join(output), np.uint8)
 
     def _bytes(self, i: int) -> bytes:
         if self.kind[i] == BYTE:
@@ -242,10 +244,20 @@ class Pieces:
                 out.append(self.unknown)
         return np.array(out, np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """Text of ids; the blank that encoding puts in front is taken off."""
-        text = b"".join(self.output[ids].tolist()).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        """Texts of ids that lie one behind another; the blank that encoding puts in front of each is taken off."""
+        size = self.out_size[ids]
+        data = _gather(self.out, self.out_first, self.out_size, ids)
+        offsets = np.concatenate([[0], np.cumsum(size)])[cuts]
+        first = offsets[:-1][offsets[1:] > offsets[:-1]]
+        first = first[data[first] == 0x20]
+        data = np.delete(data, first)
+        offsets = offsets - np.searchsorted(first, offsets)
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        try:
+            return raw.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:  # ids that no text has
+            return pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
 
 
 def letter_code(letters: np.ndarray) -> np.ndarray:
@@ -374,19 +386,42 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.mapInArrow(_encode(path, docs.columns), f"{fields}, ids array<int>")
 
 
+#: Ids decoded at once.
+DECODED = 1 << 19
+
+
 def _decode(path: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                block = batch.slice(at, 256)
-                column = block.column(block.schema.get_field_index("ids"))
-                flat, cuts = np.asarray(column.flatten()), column.offsets.to_numpy() - column.offsets[0].as_py()
-                texts = [model.decode(flat[a:b]) if b > a else "" for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+            column = batch.column(batch.schema.get_field_index("ids"))
+            flat, cuts = np.asarray(column.flatten()), np.asarray(column.offsets, dtype=np.int64)
+            cuts, at = cuts - cuts[0], 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + DECODED, "right")) - 1)
+                texts = model.decode(flat[cuts[at]:cuts[end]], cuts[at:end + 1] - cuts[at])
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, end - at).columns, texts], [*names, "decoded"])
+                at = end
     return run
 
 
+def _both(path: str, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for block in tb.blocks(batches, "text"):
+            ids, cuts = own.encode(block.column(block.schema.get_field_index("text")))
+            out = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*block.columns, out, own.model.decode(ids, cuts)], [*names, "ids", "decoded"])
+    return run
+
+
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``decode(encode(docs, path), path)`` in one pass: a task keeps one worker with one set of tables."""
+    docs = docs.drop("ids", "decoded")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(_both(path, docs.columns), f"{fields}, ids array<int>, decoded string")
+
+
 def decode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``decoded``: the text of ``ids``.
 

@@ -78,3 +78,23 @@ def test_unknown_letters_without_byte_pieces(tmp_path):
     own = codec.Encoder(codec.Pieces(unigram(tmp_path)))
     ids, cuts = own.encode(pa.array(["axxb", None]))
     assert [own.model.text[i] for i in ids] == ["▁a", "<unk>", "b"] and cuts.tolist() == [0, 3, 3]
+
+
+def test_one_pass_gives_the_same(spark, path, monkeypatch):
+    monkeypatch.setattr(codec, "DECODED", 50)
+    texts = samples(60) + [None, "x" * 6_000, "long words " * 30_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: (r.ids, r.decoded) for r in codec.decode(codec.encode(df, path), path).collect()}
+    got = {r.doc_id: (r.ids, r.decoded) for r in codec.encode_and_decode(df.withColumn("decoded", df.doc_id), path).collect()}
+    assert got == want
+    sp = library.SentencePieceProcessor(model_file=path)
+    assert all(got[i] == (sp.encode(t or ""), (t or "").replace("▁", " ")) for i, t in enumerate(texts))
+
+
+def test_any_ids_decode(spark, path):
+    sp = library.SentencePieceProcessor(model_file=path)
+    ids = [[], [0], [1, 2], [sp.piece_to_id("<0xFF>"), 500, sp.piece_to_id("<0xC3>")], [sp.piece_to_id("▁"), sp.piece_to_id("▁the")]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)] + [(9, None)], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.decoded for r in codec.decode(df, path).collect()}
+    piece = sp.id_to_piece(500).replace("▁", " ")
+    assert got == {0: "", 1: "⁇ ", 2: "", 3: "�" + piece + "�", 4: " the", 9: ""}
