@@ -52,7 +52,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether they decode to it."""
     path = queries.tokenizer_file("piece_bpe_32k.model")
-    done = sentencepiece.decode(sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    done = sentencepiece.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), path)
     same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece.BLANK), F.lit(" "))
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
