@@ -5,8 +5,10 @@ A folder holds one pair of files for every range of documents and a manifest:
 * ``part-....rec``: records one behind the other.  A record is the payload's
   length (8 bytes), the masked checksum of these 8 bytes (4), the payload, the
   masked checksum of the payload (4).  The payload is the document's id (8), 1
-  if the id is null (4), the number of token ids (4), the token ids (4 each).
-  All numbers are unsigned and little-endian; the document's id is signed.
+  if the id is null (2), the bytes of a token id (2), the number of token ids
+  (4), the token ids (2 bytes each where the vocabulary has no more than 65,536
+  entries, else 4), zeros up to a multiple of 4 bytes.  All numbers are unsigned
+  and little-endian; the document's id is signed.
 * ``part-....idx``: for every record, and once more behind the last, the place
   of its first byte in the record file and the number of token ids before it in
   that file (8 bytes each).  A record is found without reading others.
@@ -27,6 +29,7 @@ import json
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +131,58 @@ def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - done + size, size) + np.arange(done[-1] if len(done) else 0)
 
 
+class Pool:
+    """Token ids by name, one behind the other."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.first, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.flat, self.used = np.zeros(1 << 14, np.uint32), 0
+
+    @staticmethod
+    def _room(array: np.ndarray, n: int) -> np.ndarray:
+        return array if n <= len(array) else np.concatenate([array, np.zeros(max(len(array), n - len(array)), array.dtype)])
+
+    def find(self, names: list[str]) -> np.ndarray:
+        """Numbers of names, -1 for new ones."""
+        return np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+
+    def add(self, names: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        known, used = len(self.number), self.used
+        self.first, self.size = (self._room(x, known + len(names)) for x in (self.first, self.size))
+        self.flat = self._room(self.flat, used + len(ids))
+        self.flat[used:used + len(ids)] = ids
+        self.first[known:known + len(names)] = used + np.cumsum(size) - size
+        self.size[known:known + len(names)] = size
+        self.used += len(ids)
+        self.number.update(zip(names, range(known, known + len(names))))
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        return self.flat[spread(self.first[numbers], self.size[numbers])]
+
+
+class Memory:
+    """Names seen lately: what is not asked for while ``limit`` others come is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, Pool(), Pool()
+
+    def numbers(self, names: list[str], learn) -> np.ndarray:
+        """Places of names (each once) in ``young``; ``learn`` gives ids and sizes of new ones."""
+        if len(self.young.number) > self.limit:
+            self.young, self.old = Pool(), self.young
+        out = self.young.find(names)
+        missing = np.flatnonzero(out < 0)
+        found = self.old.find([names[i] for i in missing.tolist()])
+        for rows, pick in ((missing[found >= 0], True), (missing[found < 0], False)):
+            some = [names[i] for i in rows.tolist()]
+            if some:
+                out[rows] = len(self.young.number) + np.arange(len(rows))
+                known = found[found >= 0]
+                self.young.add(some, *((self.old.ids(known), self.old.size[known]) if pick else learn(some)))
+        return out
+
+
 class Encoder:
     """Token ids of texts by the library; words that a worker has seen are looked up.
 
@@ -136,58 +191,74 @@ class Encoder:
     word's parts count as in :class:`Counter`; other tokenizers get whole texts.
     """
 
-    REMEMBERED = 1_000_000
+    #: Words and parts of words that a worker remembers.
+    REMEMBERED = 250_000
+    #: Parts given to the library as one text.
+    JOINED = 200
 
     def __init__(self, path: str):
         own = Counter(path)
         self.tokenizer, self.parts = own.tokenizer, own._parts
         settings = json.loads(self.tokenizer.to_str())
-        self.by_words = bool(settings["model"].get("end_of_word_suffix")) and '"Lowercase"' in json.dumps(settings["normalizer"])
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number, self.first, self.size = {"": 0}, [0], [0]
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 50_000):
-            some = new[at:at + 50_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = e.ids
-                if self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-                self.flat[self.used:self.used + len(ids)] = ids
-                self.number[word] = len(self.first)
-                self.first.append(self.used)
-                self.size.append(len(ids))
-                self.used += len(ids)
-
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all words, and how many each has."""
-        if len(self.number) > self.REMEMBERED:
-            self._clear()
-        pairs = [self.parts(w) for w in words]
-        self._learn(list(dict.fromkeys(p for pair in pairs for p in pair if p not in self.number)))
-        number = self.number
-        at = np.fromiter((number[p] for pair in pairs for p in pair), np.int64, 2 * len(pairs))
-        first, size = np.array(self.first, np.int64), np.array(self.size, np.int64)
-        return self.flat[spread(first[at], size[at])], size[at].reshape(-1, 2).sum(1)
+        mark = settings["model"].get("end_of_word_suffix")
+        self.by_words = bool(mark) and '"Lowercase"' in json.dumps(settings["normalizer"])
+        n = self.tokenizer.get_vocab_size()
+        self.width = 2 if n <= 1 << 16 else 4
+        self.closing = np.array([bool(mark) and (self.tokenizer.id_to_token(i) or "").endswith(mark) for i in range(n)])
+        self.words_, self.parts_ = Memory(self.REMEMBERED), Memory(self.REMEMBERED)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _learn_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of parts.
+
+        Many parts of letters make one text for the library.  It marks the end
+        of at least one word for each; where it marks no more than there are
+        parts, the marks tell where each part ends.
+        """
+        single = np.fromiter(map(str.isalpha, parts), bool, len(parts))
+        ids, sizes, order = [], [], []
+        letters, others = np.flatnonzero(single), [np.flatnonzero(~single)]
+        groups = [letters[k:k + self.JOINED] for k in range(0, len(letters), self.JOINED)]
+        for rows, e in zip(groups, self.tokenizer.encode_batch_fast(
+                [" ".join([parts[i] for i in rows.tolist()]) for rows in groups], add_special_tokens=False)):
+            got = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.closing[got])
+            if len(ends) != len(rows) or ends[-1] != len(got) - 1:
+                others.append(rows)
+                continue
+            ids.append(got)
+            sizes.append(np.diff(ends, prepend=-1))
+            order.append(rows)
+        rest = np.concatenate(others)
+        got, size = self._library([parts[i] for i in rest.tolist()])
+        size, order = np.concatenate([*sizes, size]), np.concatenate([*order, rest])
+        at = np.argsort(order)
+        return np.concatenate([*ids, got])[spread((np.cumsum(size) - size)[at], size[at])], size[at]
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pairs = [p for w in words for p in self.parts(w)]
+        names = list(dict.fromkeys(pairs))
+        at = dict(zip(names, self.parts_.numbers(names, self._learn_parts).tolist()))
+        number = np.fromiter(map(at.__getitem__, pairs), np.int64, len(pairs))
+        pool = self.parts_.young
+        return pool.ids(number), pool.size[number].reshape(-1, 2).sum(1)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts, one behind the other, and the place where each text begins (and the end)."""
         text = pc.fill_null(column.cast(pa.large_string()), "")
         if not self.by_words:
-            found = self.tokenizer.encode_batch_fast(text.to_pylist(), add_special_tokens=False)
-            ids = [np.array(e.ids, np.uint32) for e in found]
-            return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+            ids, size = self._library(text.to_pylist())
+            return ids, np.concatenate([[0], np.cumsum(size)])
         split = pc.split_pattern(pc.replace_substring(text, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        flat, size = self._words(coded.dictionary.to_pylist())
-        at = np.asarray(coded.indices)
-        first = (np.cumsum(size) - size)[at]
-        ids = flat[spread(first, size[at])]
-        cuts = np.asarray(split.offsets, dtype=np.int64)
-        return ids, np.concatenate([[0], np.cumsum(size[at])])[cuts - cuts[0]]
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = self.words_.numbers(words, self._learn_words)[np.asarray(coded.indices)]
+        cuts, pool = np.asarray(split.offsets, dtype=np.int64), self.words_.young
+        return pool.ids(at), np.concatenate([[0], np.cumsum(pool.size[at])])[cuts - cuts[0]]
 
 
 @lru_cache(maxsize=2)
@@ -195,6 +266,10 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _list(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.astype(np.uint32, copy=False).view(np.int32)))
+
+
 def _encode(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
@@ -203,14 +278,14 @@ def _encode(path: str, end_id: int | None):
             if end_id is not None:
                 ids = np.insert(ids, cuts[1:], np.uint32(end_id))
                 cuts = cuts + np.arange(len(cuts))
-            data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(4 * cuts), pa.py_buffer(ids.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays([block.column(0), data.cast(pa.binary())], ["doc_id", "data"])
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(np.full(block.num_rows, own.width, np.int32)), _list(ids, cuts)],
+                                             ["doc_id", "width", "ids"])
     return run
 
 
 def encode(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
-    """``doc_id`` and ``data`` (token ids, 4 bytes each, little-endian) of every row of ``docs`` (doc_id, text)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path, end_id), "doc_id long, data binary")
+    """``doc_id``, ``width`` (bytes that hold any id of the vocabulary) and ``ids`` of every row of ``docs`` (doc_id, text)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path, end_id), "doc_id long, width int, ids array<int>")
 
 
 # files
@@ -222,24 +297,38 @@ def _folder(path: str):
     return fs.LocalFileSystem(), path
 
 
-def frames(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Records of a batch (doc_id, data) as 32-bit words, and the first word of each (and the end)."""
-    doc = batch.column(0)
+def frames(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records of a batch (doc_id, width, ids) as 32-bit words, the first word of each (and the end), and their numbers of ids."""
+    doc, width, lists = batch.column(0), np.asarray(batch.column(1), dtype=np.int64), batch.column(2)
     null = np.asarray(doc.is_null())
-    data, offsets = tb.byte_view(batch.column(1))
-    ids, n = np.frombuffer(data.tobytes(), "<u4"), np.diff(offsets) // 4
-    begin = np.concatenate([[0], np.cumsum(n + FRAME)])
+    n = np.asarray(pc.list_value_length(lists), dtype=np.int64)
+    ids = np.asarray(lists.flatten()).view(np.uint32)
+    size = -(-n * width // 4)
+    begin = np.concatenate([[0], np.cumsum(size + FRAME)])
     out = np.zeros(begin[-1], "<u4")
     at = begin[:-1]
     key = np.asarray(pc.fill_null(doc, 0)).astype("<i8").view("<u4").reshape(-1, 2)
-    out[at] = (4 * n + 16 & 0xFFFFFFFF).astype(np.uint32)
-    out[at + 1] = (4 * n + 16 >> 32).astype(np.uint32)
-    out[at + 3], out[at + 4], out[at + 5], out[at + 6] = key[:, 0], key[:, 1], null, n
-    out[spread(at + FRONT, n)] = ids
+    out[at] = (4 * size + 16 & 0xFFFFFFFF).astype(np.uint32)
+    out[at + 1] = (4 * size + 16 >> 32).astype(np.uint32)
+    out[at + 3], out[at + 4], out[at + 5], out[at + 6] = key[:, 0], key[:, 1], null + (width << 16), n
+    for w, kind in ((2, "<u2"), (4, "<u4")):
+        if (width == w).any():
+            mine = width == w
+            out.view(kind)[spread((at[mine] + FRONT) * (4 // w), n[mine])] = ids if mine.all() else ids[np.repeat(mine, n)]
     raw = out.view(np.uint8)
     out[at + 2] = masked(checksums(raw, 4 * at, 4 * at + 8))
-    out[at + 7 + n] = masked(checksums(raw, 4 * at + 12, 4 * (at + 7 + n)))
-    return out, begin
+    out[at + 7 + size] = masked(checksums(raw, 4 * at + 12, 4 * (at + 7 + size)))
+    return out, begin, n
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``READ_BYTES`` bytes of ids, one row at least."""
+    total = np.cumsum(4 * np.asarray(pc.list_value_length(batch.column(2)), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + READ_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 class Written(WriterCommitMessage):
@@ -263,11 +352,10 @@ class Writer(DataSourceArrowWriter):
         records = tokens = size = 0
         files = None
         for batch in iterator:
-            for block in tb.blocks(iter([batch]), "data", READ_BYTES):
+            for block in _pieces(batch):
                 if files is None:
                     files = fs.open_output_stream(f"{root}/{name}.rec"), fs.open_output_stream(f"{root}/{name}.idx")
-                words, begin = frames(block)
-                n = np.diff(begin) - FRAME
+                words, begin, n = frames(block)
                 places = np.stack([size + 4 * begin[:-1], tokens + np.cumsum(n) - n], 1)
                 files[0].write(pa.py_buffer(words))
                 files[1].write(pa.py_buffer(np.ascontiguousarray(places, "<u8")))
@@ -331,14 +419,21 @@ def unframed(raw: bytes, begin: np.ndarray, name: str) -> tuple[np.ndarray, np.n
     if len(data) != begin[-1] or (begin % 4).any() or (np.diff(begin) < 4 * FRAME).any():
         raise ValueError(f"{name}: records are cut off")
     words, at = data.view("<u4"), begin[:-1] // 4
-    n = np.diff(begin) // 4 - FRAME
+    size = np.diff(begin) // 4 - FRAME
+    n, width = words[at + 6].astype(np.int64), (words[at + 5] >> np.uint32(16)).astype(np.int64)
     length = words[at].astype(np.int64) | words[at + 1].astype(np.int64) << 32
-    good = (words[at + 2] == masked(checksums(data, 4 * at, 4 * at + 8))) & (length == 4 * n + 16) & (words[at + 6] == n)
-    good &= words[at + 7 + n] == masked(checksums(data, 4 * at + 12, 4 * (at + 7 + n)))
+    good = (words[at + 2] == masked(checksums(data, 4 * at, 4 * at + 8))) & (length == 4 * size + 16)
+    good &= ((width == 2) | (width == 4)) & (size == -(-n * width // 4))
+    good &= words[at + 7 + size] == masked(checksums(data, 4 * at + 12, 4 * (at + 7 + size)))
     if not good.all():
         raise ValueError(f"{name}: wrong checksum or length at byte {int(begin[np.flatnonzero(~good)[0]])}")
     key = np.stack([words[at + 3], words[at + 4]], 1).copy().view("<i8").ravel()
-    return key, words[at + 5] != 0, n, words[spread(at + FRONT, n)]
+    ids = np.zeros(int(n.sum()), np.uint32)
+    for w, kind in ((2, "<u2"), (4, "<u4")):
+        mine = width == w
+        if mine.any():
+            ids[np.repeat(mine, n)] = data.view(kind)[spread((at[mine] + FRONT) * (4 // w), n[mine])]
+    return key, words[at + 5] & np.uint32(1) != 0, n, ids
 
 
 def _batch(columns: list[str], types: pa.Schema, values: dict) -> pa.RecordBatch:
@@ -348,7 +443,7 @@ def _batch(columns: list[str], types: pa.Schema, values: dict) -> pa.RecordBatch
         "doc_id": lambda: pa.array(key, pa.int64(), mask=null),
         "start": lambda: pa.array(values["start"]),
         "n_tokens": lambda: pa.array(n.astype(np.int64)),
-        "ids": lambda: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.view("<i4"))),
+        "ids": lambda: _list(ids, cuts),
         "data": lambda: pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(ids)])}
     return pa.RecordBatch.from_arrays([made[c]().cast(types.field(c).type) for c in columns], columns)
 
@@ -395,8 +490,8 @@ class TokenRecords(DataSource):
     """Spark format ``token_records``.
 
     Reading gives doc_id, start (token ids of all documents before), n_tokens
-    and ids, or the columns of a given schema (``data`` for the bytes of the
-    ids).  With the option ``index`` it gives the offset index: file, record,
+    and ids, or the columns of a given schema (``data`` for the ids as bytes, 4
+    each).  With the option ``index`` it gives the offset index: file, record,
     place, size, start.
     """
 
@@ -417,8 +512,8 @@ class TokenRecords(DataSource):
         return Reader(self.options["path"], schema, self._is_index())
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        if schema.names != ["doc_id", "data"]:
-            raise ValueError("records are written from doc_id, data")
+        if schema.names != ["doc_id", "width", "ids"]:
+            raise ValueError("records are written from doc_id, width, ids")
         return Writer(self.options["path"], overwrite)
 
 

@@ -71,7 +71,10 @@ def test_files_hold_what_the_library_gives(spark, library, tmp_path):
     mask = lambda c: ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
     assert int.from_bytes(raw[8:12], "little") == mask(crc32c(raw[:8]))
     assert int.from_bytes(raw[12 + size:16 + size], "little") == mask(crc32c(raw[12:12 + size]))
-    assert raw[20:24] == b"\1\0\0\0"  # null ids come first
+    assert raw[20:24] == b"\1\0\2\0"  # null ids come first; two bytes a token id
+    n = int.from_bytes(raw[24:28], "little")
+    assert size == 16 + -(-2 * n // 4) * 4
+    assert [int.from_bytes(raw[28 + 2 * k:30 + 2 * k], "little") for k in range(n)] in [list(library(t)) for t in ("no id", None)]
     # shuffled by the index: the same records, another order, and the same one again
     once, again, other = (tr.read_shuffled(spark, path, s).collect() for s in (5, 5, 6))
     assert once == again and once != other and sorted(map(str, once)) == sorted(map(str, got)) == sorted(map(str, other))
@@ -99,8 +102,8 @@ def test_empty_table_and_whole_texts(spark, tmp_path):
     other = tokenizer_file("byte_bpe_50k.json")
     assert not tr.encoder(other).by_words and tr.encoder(PATH).by_words
     from tokenizers import Tokenizer
-    got = tr.encode(spark.createDataFrame([(1, "a  b c\n d")], "doc_id long, text string"), other).first().data
-    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(other).encode("a  b c\n d", add_special_tokens=False).ids
+    got = tr.encode(spark.createDataFrame([(1, "a  b c\n d")], "doc_id long, text string"), other).first().ids
+    assert got == Tokenizer.from_file(other).encode("a  b c\n d", add_special_tokens=False).ids
 
 
 def test_query_against_the_library(spark, library):
@@ -112,3 +115,26 @@ def test_query_against_the_library(spark, library):
         assert tuple(got[doc_id]) == (doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_ids_of_four_bytes_and_mixed_widths():
+    import pyarrow as pa
+    lists = [[1, 2, 3], [], [70_000], [65_535] * 5, [2**31 - 1, 0]]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, None, -7, 1, 2]), pa.array([2, 4, 4, 2, 4], pa.int32()), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "width", "ids"])
+    words, begin, n = tr.frames(batch)
+    key, null, m, ids = tr.unframed(words.tobytes(), 4 * begin, "x")
+    assert null.tolist() == [False, True, False, False, False] and m.tolist() == n.tolist() == [3, 0, 1, 5, 2]
+    assert [k for k, x in zip(key.tolist(), null) if not x] == [5, -7, 1, 2] and ids.tolist() == sum(lists, [])
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(tr.Encoder, "REMEMBERED", 3)
+    monkeypatch.setattr(tr.Encoder, "JOINED", 4)
+    own = tr.Encoder(PATH)
+    draw = random.Random(8)
+    odd = ["İstanbul", "ǆ", "ß", "ﬁn", "a1b", "한국", "e\u0301", "ÅB", "one", "two", "three", "four", "five,", "6.", "ª", "x²"]
+    for _ in range(12):
+        some = [" ".join(draw.choice(odd) for _ in range(draw.randint(0, 9))) for _ in range(5)]
+        ids, cuts = own.encode(pa.array(some, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [library(t) for t in some]
