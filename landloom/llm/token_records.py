@@ -192,7 +192,7 @@ class Encoder:
     """
 
     #: Words and parts of words that a worker remembers.
-    REMEMBERED = 250_000
+    REMEMBERED = 120_000
     #: Parts given to the library as one text.
     JOINED = 200
 
@@ -337,8 +337,8 @@ class Written(WriterCommitMessage):
 
 
 class Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path, overwrite
+    def __init__(self, path: str, overwrite: bool, tokenizer: str | None, end_id: int | None):
+        self.path, self.overwrite, self.tokenizer, self.end_id = path, overwrite, tokenizer, end_id
         fs, root = _folder(path)
         if not overwrite and fs.get_file_info(f"{root}/manifest.json").is_file:
             raise ValueError(f"{path} holds records; only overwriting is possible")
@@ -351,7 +351,7 @@ class Writer(DataSourceArrowWriter):
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         records = tokens = size = 0
         files = None
-        for batch in iterator:
+        for batch in _encode(self.tokenizer, self.end_id)(iterator) if self.tokenizer else iterator:
             for block in _pieces(batch):
                 if files is None:
                     files = fs.open_output_stream(f"{root}/{name}.rec"), fs.open_output_stream(f"{root}/{name}.idx")
@@ -493,6 +493,10 @@ class TokenRecords(DataSource):
     and ids, or the columns of a given schema (``data`` for the ids as bytes, 4
     each).  With the option ``index`` it gives the offset index: file, record,
     place, size, start.
+
+    Writing takes doc_id, width (bytes of a token id), ids; with the option
+    ``tokenizer`` it takes doc_id, text and encodes them in the writing task,
+    with ``end_id`` behind each document if that option is given.
     """
 
     COLUMNS = "doc_id long, start long, n_tokens long, ids array<int>"
@@ -512,9 +516,10 @@ class TokenRecords(DataSource):
         return Reader(self.options["path"], schema, self._is_index())
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        if schema.names != ["doc_id", "width", "ids"]:
-            raise ValueError("records are written from doc_id, width, ids")
-        return Writer(self.options["path"], overwrite)
+        tokenizer, end_id = self.options.get("tokenizer"), self.options.get("end_id")
+        if schema.names != (["doc_id", "text"] if tokenizer else ["doc_id", "width", "ids"]):
+            raise ValueError("records are written from doc_id, width, ids, or with a tokenizer from doc_id, text")
+        return Writer(self.options["path"], overwrite, tokenizer, None if end_id is None else int(end_id))
 
 
 def write_records(docs: DataFrame, tokenizer: str, path: str, end_id: int | None = None) -> None:
@@ -535,7 +540,8 @@ def write_records(docs: DataFrame, tokenizer: str, path: str, end_id: int | None
                        F.monotonically_increasing_id().alias("_row"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    encode(ordered, tokenizer, end_id).write.format(NAME).mode("overwrite").save(path)
+    sink = ordered.select("doc_id", "text").write.format(NAME).option("tokenizer", tokenizer)
+    (sink if end_id is None else sink.option("end_id", str(end_id))).mode("overwrite").save(path)
 
 
 def read_records(spark: SparkSession, path: str, columns: str = TokenRecords.COLUMNS) -> DataFrame:
