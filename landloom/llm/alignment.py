@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import textblocks as tb
 from .minhash import stored
-from .token_records import spread
+from .token_records import Memory, spread
 
 BLANK = "▁"
-#: Words remembered by a worker between batches; a full memory starts anew.
-REMEMBERED = 400_000
+#: Words that a worker remembers, words given to a library as one text, and the mark of words that a library does not give back.
+REMEMBERED, JOINED, BAD = 250_000, 300, 0xFFFFFFFF
 #: Bytes of text laid out at once; a longer text is laid out part by part.
 PART_BYTES = 1 << 20
 #: Pair counts handed to every task at most; the rest is joined.
@@ -66,69 +67,87 @@ class Side:
             letters = byte_letters()
             names = [t.id_to_token(i) or "" for i in range(t.get_vocab_size())]
             self.bytes_ = [bytes(letters[c] for c in n) if all(c in letters for c in n) else n.encode() for n in names]
-            self.encode = lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+            self.library = lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             import sentencepiece
             s = sentencepiece.SentencePieceProcessor(model_file=path)
             self.bytes_ = [bytes([int(s.id_to_piece(i)[1:-1], 16)]) if s.is_byte(i) else s.id_to_piece(i).replace(BLANK, " ").encode()
                            for i in range(s.get_piece_size())]
-            self.encode = lambda texts: s.encode([x[1:] for x in texts], num_threads=1)  # the model adds the blank itself
+            self.library = lambda texts: s.encode([x[1:] for x in texts], num_threads=1)  # the model adds the blank itself
         self.size = np.array([len(b) for b in self.bytes_], np.int64)
+        self.first, self.flat = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(self.bytes_), np.uint8)
         width = len(str(len(self.bytes_))) + 1
         self.digits = np.array([list(str(i).encode().ljust(width, b"\0")) for i in range(len(self.bytes_))], np.uint8)
         self.n_digits = np.array([len(str(i)) for i in range(len(self.bytes_))], np.int64)
 
 
-class Growing:
-    """Token ids of all known words, one behind the other."""
-
-    def __init__(self):
-        self.first, self.count, self.flat, self.used = [], [], np.zeros(1 << 16, np.int32), 0
-
-    def add(self, ids: list[int]) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.first.append(self.used)
-        self.count.append(len(ids))
-        self.used += len(ids)
-
-    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of words, and how many each has."""
-        count = np.array(self.count, np.int64)[words]
-        return self.flat[spread(np.array(self.first, np.int64)[words], count)], count
+    def encode(self, words: list[str], size: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of ``size`` bytes, and how many each has.
+
+        ``plain`` words may stand one behind the other: many make one text for
+        the library.  Where token ends meet all word ends they tell the words
+        apart; else each word of that text is encoded on its own.
+        """
+        ids, counts, order, others = [], [], [], [np.flatnonzero(~plain)]
+        rows = np.flatnonzero(plain)
+        groups = [rows[k:k + JOINED] for k in range(0, len(rows), JOINED)]
+        for group, found in zip(groups, self.library(["".join([words[i] for i in g.tolist()]) for g in groups])):
+            found = np.array(found, np.uint32)
+            ends, wanted = np.cumsum(self.size[found]), np.cumsum(size[group])
+            at = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+            if ends[-1] != wanted[-1] or (ends[at] != wanted).any():
+                others.append(group)
+                continue
+            ids.append(found)
+            counts.append(np.diff(at, prepend=-1))
+            order.append(group)
+        rest = np.concatenate(others)
+        found = self.library([words[i] for i in rest.tolist()]) if len(rest) else []
+        count = np.concatenate([*counts, np.fromiter(map(len, found), np.int64, len(found))])
+        ids = np.concatenate([*ids, np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))])
+        at = np.argsort(np.concatenate([*order, rest]))
+        return ids[spread((np.cumsum(count) - count)[at], count[at])], count[at]
+
+    def gives(self, ids: np.ndarray, count: np.ndarray, data: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the token bytes of each word are its bytes in ``data``."""
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])])[np.concatenate([[0], np.cumsum(count)])]
+        same = np.diff(ends) == size
+        rows = np.flatnonzero(same & (size > 0))
+        if len(rows):
+            mine = self.flat[spread(self.first[ids], self.size[ids])][spread(ends[:-1][rows], size[rows])]
+            equal = mine == data[spread((np.cumsum(size) - size)[rows], size[rows])]
+            same[rows] = np.logical_and.reduceat(equal, np.cumsum(size[rows]) - size[rows])
+        return same
 
 
 class Aligner:
+    """Known words: an entry holds the number of its first side's tokens (``BAD`` where bytes differ) and the ids of both sides."""
+
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = Side(path_a), Side(path_b)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.good: list[bool] = []
-        self.ids_a, self.ids_b = Growing(), Growing()
-
-    def learn(self, words: list[str]) -> np.ndarray:
-        """Numbers of words; new ones are encoded by both libraries and compared with their bytes."""
-        if len(self.number) > REMEMBERED:
-            self._clear()
-        new = [w for w in words if w not in self.number]
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            for w, x, y in zip(some, self.a.encode(some), self.b.encode(some)):
-                raw = w.encode()
-                self.number[w] = len(self.good)
-                self.good.append(b"".join(map(self.a.bytes_.__getitem__, x)) == raw and b"".join(map(self.b.bytes_.__getitem__, y)) == raw)
-                self.ids_a.add(x)
-                self.ids_b.add(y)
-        return np.fromiter((self.number[w] for w in words), np.int64, len(words))
+        self.known = Memory(REMEMBERED)
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of new words, by both libraries."""
+        data, offsets = tb.byte_view(pa.array(words, pa.large_string()))
+        size = np.diff(offsets)
+        first, last = offsets[:-1], offsets[1:] - 1
+        plain = (size > 1) & (data[first] == 0x20) & _AFTER[data[np.minimum(first + 1, len(data) - 1)]] & _BEFORE[data[last]]
+        (a, n_a), (b, n_b) = (side.encode(words, size, plain) for side in (self.a, self.b))
+        good = self.a.gives(a, n_a, data, size) & self.b.gives(b, n_b, data, size)
+        count = 1 + n_a + n_b
+        at = np.cumsum(count) - count
+        out = np.zeros(int(count.sum()), np.uint32)
+        out[at] = np.where(good, n_a, BAD)
+        out[spread(at + 1, n_a)], out[spread(at + 1 + n_a, n_b)] = a, b
+        return out, count
 
     def lay_out(self, word: np.ndarray, doc: np.ndarray, docs: int) -> dict[str, np.ndarray]:
         """Tokens, links and groups of words (numbers) of ``docs`` documents; ``doc`` ascends."""
-        sides = []
-        for side, known in ((self.a, self.ids_a), (self.b, self.ids_b)):
-            ids, count = known.of(word)
+        sides, pool = [], self.known.young
+        first, n_a = pool.first[word], pool.flat[pool.first[word]].astype(np.int64)
+        for side, at, count in ((self.a, first + 1, n_a), (self.b, first + 1 + n_a, pool.size[word] - 1 - n_a)):
+            ids = pool.flat[spread(at, count)].astype(np.int64)
             end = np.cumsum(side.size[ids])
             sides.append((ids, np.repeat(doc, count), end - side.size[ids], end))
         (a, doc_a, start_a, end_a), (b, doc_b, start_b, end_b) = sides
@@ -148,7 +167,7 @@ class Aligner:
         last_b = ends[end_b]
         return {"n_a": np.bincount(doc_a, minlength=docs), "n_b": np.bincount(doc_b, minlength=docs),
                 "n_groups": np.bincount(doc_a[last_a], minlength=docs), "n_links": np.bincount(link_doc, minlength=docs),
-                "link_doc": link_doc, "link": link_a.astype(np.int64) << 32 | link_b,
+                "link": (link_doc * len(self.a.size) + link_a) * len(self.b.size) + link_b,
                 "text": self._written(a, b, last_a, last_b, doc_a, doc_b, docs)}
 
     def _written(self, a, b, last_a, last_b, doc_a, doc_b, docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +203,9 @@ def cut_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     data, offsets = tb.byte_view(spaced)
     blank = np.flatnonzero(data[1:-1] == 0x20) + 1
     blank = blank[_BEFORE[data[blank - 1]] & _AFTER[data[blank + 1]]]
-    cuts = np.unique(np.concatenate([offsets, blank]))
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets], cut[blank] = True, True
+    cuts = np.flatnonzero(cut)
     # a text ends in a letter, then the blank of the next one follows: it is an offset already
     words = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data))
     return words, some[np.searchsorted(offsets, cuts[:-1], "right") - 1]
@@ -208,14 +229,14 @@ def _align(path_a: str, path_b: str):
             docs = block.num_rows
             words, doc = cut_words(block.column(2))
             coded = words.dictionary_encode()
-            word = own.learn(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-            bad = np.bincount(doc, ~np.array(own.good, bool)[word], docs) > 0
+            word = own.known.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), own.learn)[np.asarray(coded.indices)]
+            pool = own.known.young
+            bad = np.bincount(doc, pool.flat[pool.first[word]] == BAD, docs) > 0
             keep = ~bad[doc]
             sizes = np.diff(np.frombuffer(words.buffers()[1], np.int64))[keep]
             word, doc = word[keep], doc[keep]
             count = {c: np.zeros(docs, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
             texts, links, times = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-            owner = np.zeros(0, np.int64)
             ends = np.zeros(docs, np.int64)
             for lo, hi in _parts(sizes):  # more than one only for a single long text
                 laid = own.lay_out(word[lo:hi], doc[lo:hi], docs)
@@ -226,13 +247,16 @@ def _align(path_a: str, path_b: str):
                     ends += 1
                 texts.append(laid["text"][0])
                 ends += laid["text"][1]
-                rows = pd.DataFrame({"doc": np.concatenate([owner, laid["link_doc"]]), "link": np.concatenate([links, laid["link"]]),
-                                     "n": np.concatenate([times, np.ones(len(laid["link"]), np.int64)])})
-                order = np.lexsort((rows["link"].to_numpy(), rows["doc"].to_numpy()))
-                owner, links, n = (rows[c].to_numpy()[order] for c in ("doc", "link", "n"))
-                first = np.flatnonzero(np.concatenate([[True], (links[1:] != links[:-1]) | (owner[1:] != owner[:-1])])[:len(links)])
-                owner, links = owner[first], links[first]
-                times = np.add.reduceat(n, first) if len(first) else n
+                new = np.sort(laid["link"])  # document, first id, second id
+                first = np.flatnonzero(np.diff(new, prepend=-1))
+                links, times = np.concatenate([links, new[first]]), np.concatenate([times, np.diff(first, append=len(new))])
+                if len(links) > len(first):
+                    order = np.argsort(links, kind="stable")
+                    links, n = links[order], times[order]
+                    first = np.flatnonzero(np.diff(links, prepend=-1))
+                    links, times = links[first], np.add.reduceat(n, first)
+            owner, links = np.divmod(links, len(own.a.size) * len(own.b.size))
+            links = links // len(own.b.size) << 32 | links % len(own.b.size)
             text = np.concatenate([np.zeros(0, np.uint8), *texts])
             cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=docs))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(

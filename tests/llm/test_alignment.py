@@ -115,6 +115,9 @@ def test_against_plain_version(spark, monkeypatch, sent):
 def test_long_texts_are_laid_out_in_parts(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(al, "PART_BYTES", 4000)
+    monkeypatch.setattr(al, "REMEMBERED", 20)
+    monkeypatch.setattr(al, "JOINED", 5)
+    al.aligner.cache_clear()
     rows = [(i, t) for i, t in enumerate(texts())]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([i for i, _ in rows]), pa.array([t for _, t in rows], pa.string())], ["row", "doc_id", "text"])
     plain = Plain()
