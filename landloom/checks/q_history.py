@@ -7,33 +7,41 @@ from .registry import query
 
 DELIVERED = "2025-01-01T00:00:00Z"
 
-TARGETS = """
-long_hits AS (SELECT DISTINCT gml_id, beginnt FROM versions WHERE ogc_fid % 4 = 0 AND ogc_fid % 20 <> 0),
-opened AS (SELECT gml_id, beginnt, row_number() OVER (PARTITION BY gml_id ORDER BY beginnt) AS k
-           FROM versions v WHERE endet IS NULL AND NOT EXISTS
-             (SELECT 1 FROM long_hits l WHERE l.gml_id = v.gml_id AND l.beginnt = v.beginnt)),
-ch AS (SELECT c.*, substr(featureid, 1, 16) AS id,
-              row_number() OVER (PARTITION BY substr(featureid, 1, 16), length(featureid) ORDER BY seq) AS k
-       FROM changes c),
-tg AS (SELECT ch.*, CASE WHEN length(featureid) = 32 THEN v.beginnt ELSE o.beginnt END AS target_begin
-       FROM ch LEFT JOIN opened o ON o.gml_id = ch.id AND o.k = ch.k AND length(featureid) = 16
-       LEFT JOIN versions v ON v.ogc_fid = ch.seq AND length(featureid) = 32)
+# the records of an id one after the other, each with the begins that are open before it
+WALK = """RECURSIVE
+ch AS (SELECT c.*, substr(featureid, 1, 16) AS id, row_number() OVER (PARTITION BY substr(featureid, 1, 16) ORDER BY seq) AS k FROM changes c),
+last AS (SELECT gml_id AS lid, max(beginnt) AS last_begin FROM versions GROUP BY gml_id),
+facts AS (SELECT ch.*, v.beginnt AS long_begin, sx.beginnt AS succ, last_begin
+          FROM ch LEFT JOIN versions v ON v.ogc_fid = ch.seq AND length(featureid) = 32
+          LEFT JOIN versions sx ON length(replacedby) = 32 AND replacedby <> featureid AND sx.gml_id || compact(sx.beginnt) = replacedby
+          LEFT JOIN last ON lid = substr(replacedby, 1, 16)),
+walk AS (
+  SELECT gml_id AS wid, CAST(0 AS BIGINT) AS wk, coalesce(list(beginnt ORDER BY beginnt) FILTER (endet IS NULL), []) AS opens,
+         CAST(NULL AS BIGINT) AS wseq, CAST(NULL AS STRING) AS target_begin, CAST(NULL AS STRING) AS status FROM versions GROUP BY gml_id
+  UNION ALL
+  SELECT wid, wk, CASE WHEN status = 'applied' THEN list_filter(opens, lambda o: o <> t) ELSE opens END, seq, t, status
+  FROM (SELECT *, {status} AS status
+        FROM (SELECT wid, k AS wk, opens, facts.*, CASE WHEN length(featureid) = 32 THEN long_begin ELSE opens[1] END AS t
+              FROM walk JOIN facts ON id = wid AND k = wk + 1) s) r),
+tg AS (SELECT facts.*, target_begin, status FROM walk JOIN facts ON seq = wseq)
 """
+TARGETS = WALK.format(status="""
+  CASE WHEN t IS NULL OR (context = 'update' AND endet IS NULL) THEN 'error'
+       WHEN context = 'replace' AND succ IS NULL AND NOT coalesce(last_begin > t, FALSE) THEN
+            CASE WHEN safetoignore = 'false' AND featureid <> replacedby THEN 'error' ELSE 'ignored' END
+       ELSE 'applied' END""")
+KILLED = WALK.format(status="CASE WHEN t IS NULL THEN 'error' WHEN context = 'replace' AND featureid = replacedby THEN 'ignored' ELSE 'applied' END")
 
 PLAN = TARGETS + """,
-openc AS (SELECT gml_id, count(*) AS n_open, min(beginnt) AS oldest FROM versions WHERE endet IS NULL GROUP BY gml_id),
-pe AS (SELECT tg.*, sx.beginnt AS succ,
-              (SELECT min(b.beginnt) FROM versions b WHERE b.gml_id = substr(tg.replacedby, 1, 16) AND b.beginnt > tg.target_begin) AS later
-       FROM tg LEFT JOIN versions sx ON length(tg.replacedby) = 32 AND tg.replacedby <> tg.featureid
-            AND sx.gml_id || compact(sx.beginnt) = tg.replacedby),
-planned AS (SELECT *, CASE context WHEN 'delete' THEN '2025-01-01T00:00:00Z' WHEN 'update' THEN endet
-                    ELSE coalesce(succ, later) END AS new_end FROM pe),
-done AS (SELECT *, CASE WHEN target_begin IS NULL THEN 'error'
-                        WHEN context = 'update' AND endet IS NULL THEN 'error'
-                        WHEN context = 'replace' AND new_end IS NULL THEN
-                             CASE WHEN safetoignore = 'false' AND featureid <> replacedby THEN 'error' ELSE 'ignored' END
-                        ELSE 'applied' END AS status FROM planned)
+done AS (SELECT *, CASE context WHEN 'delete' THEN '2025-01-01T00:00:00Z' WHEN 'update' THEN endet
+                   ELSE coalesce(succ, (SELECT min(b.beginnt) FROM versions b WHERE b.gml_id = substr(replacedby, 1, 16) AND b.beginnt > target_begin)) END AS new_end
+         FROM tg)
 """
+CLOSED = PLAN + """,
+closing AS (SELECT id, target_begin, arg_max(new_end, seq) AS new_end, count(CASE WHEN context = 'update' THEN 1 END) AS upd
+            FROM done WHERE status = 'applied' GROUP BY id, target_begin)
+SELECT v.gml_id, v.beginnt, coalesce(c.new_end, v.endet) AS endet, 'A' || repeat(',U1', coalesce(upd, 0)) AS reasons
+FROM versions v LEFT JOIN closing c ON c.id = v.gml_id AND c.target_begin = v.beginnt"""
 
 
 def versions(d):
@@ -46,7 +54,8 @@ def _(d):
 
 
 @query("h02_resolve_target", "WITH " + TARGETS + """
-SELECT seq, target_begin, CASE WHEN target_begin IS NULL THEN 'no open version' END AS problem FROM tg""", ("changes",))
+SELECT seq, target_begin, CASE WHEN target_begin IS NULL THEN 'no open version' WHEN context = 'update' AND endet IS NULL THEN 'no end given' END AS problem
+FROM tg""", ("changes",))
 def _(d):
     return H.resolve_targets(d["changes"], versions(d)).select("seq", "target_begin", "problem")
 
@@ -63,16 +72,19 @@ for _id, _ctx in (("h03_apply_delete", "delete"), ("h04_apply_update", "update")
 
 
 @query("h06_unmatched_fallback", """
-WITH ghosts AS (SELECT ogc_fid AS seq, gml_id AS id, CASE ogc_fid % 3 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'replace' END AS context,
-                       gml_id || compact(nxt) AS replacedby
+WITH RECURSIVE ghosts AS (SELECT ogc_fid AS seq, gml_id AS id, CASE ogc_fid % 3 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'replace' END AS context,
+                       row_number() OVER (PARTITION BY gml_id ORDER BY ogc_fid) AS k
                 FROM versions WHERE ogc_fid % 9 < 4 AND nxt IS NOT NULL),
 kept AS (SELECT *, row_number() OVER (PARTITION BY gml_id ORDER BY beginnt DESC) AS r FROM versions),
 base AS (SELECT gml_id, beginnt, CASE WHEN r <= 1 + CAST(substr(gml_id, 14) AS INT) % 3 THEN NULL ELSE nxt END AS endet FROM kept),
-openc AS (SELECT gml_id, count(*) AS n, min(beginnt) AS oldest FROM base WHERE endet IS NULL GROUP BY gml_id)
-SELECT seq, CASE WHEN (coalesce(n, 0) = 0 AND context <> 'replace') OR (n = 1 AND context = 'replace') THEN 'ignored'
-                 WHEN n = 2 THEN 'applied' ELSE 'unresolved' END AS status,
-       CASE WHEN n = 2 THEN oldest ELSE '1999-01-01T00:00:00Z' END AS close_begin
-FROM ghosts LEFT JOIN openc ON gml_id = id""", ("versions",))
+walk AS (
+  SELECT gml_id AS wid, CAST(0 AS BIGINT) AS wk, coalesce(list(beginnt ORDER BY beginnt) FILTER (endet IS NULL), []) AS opens,
+         CAST(NULL AS BIGINT) AS seq, CAST(NULL AS STRING) AS status, CAST(NULL AS STRING) AS close_begin FROM base GROUP BY gml_id
+  UNION ALL
+  SELECT wid, wk, CASE WHEN status = 'applied' THEN opens[2:] ELSE opens END, seq, status, CASE WHEN status = 'applied' THEN opens[1] ELSE '1999-01-01T00:00:00Z' END
+  FROM (SELECT wid, k AS wk, opens, g.seq, CASE WHEN (len(opens) = 0 AND context <> 'replace') OR (len(opens) = 1 AND context = 'replace') THEN 'ignored'
+               WHEN len(opens) = 2 THEN 'applied' ELSE 'unresolved' END AS status FROM walk JOIN ghosts g ON id = wid AND k = wk + 1) s)
+SELECT seq, status, close_begin FROM walk WHERE wk > 0""", ("versions",))
 def _(d):
     v = d["versions"]
     kind = F.when(F.col("ogc_fid") % 3 == 0, "delete").when(F.col("ogc_fid") % 3 == 1, "update").otherwise("replace")
@@ -87,10 +99,9 @@ def _(d):
     return H.plan_changes(ghosts, base, DELIVERED).select("seq", "status", "close_begin")
 
 
-@query("h07_kill_mode", "WITH " + TARGETS + """
+@query("h07_kill_mode", "WITH " + KILLED + """
 SELECT v.gml_id, v.beginnt FROM versions v WHERE NOT EXISTS
-  (SELECT 1 FROM tg WHERE tg.id = v.gml_id AND tg.target_begin = v.beginnt
-     AND NOT (context = 'replace' AND featureid = replacedby))""", ("changes",))
+  (SELECT 1 FROM tg WHERE tg.id = v.gml_id AND tg.target_begin = v.beginnt AND status = 'applied')""", ("changes",))
 def _(d):
     return H.apply_changes(d["changes"], versions(d), DELIVERED, keep_history=False).select("gml_id", "beginnt")
 
@@ -100,12 +111,7 @@ def _(d):
     return H.purge_ended(d["versions"]).groupBy("typ").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("h09_apply_with_history", "WITH " + PLAN + """,
-closing AS (SELECT id, target_begin, max(new_end) AS new_end, max(CASE WHEN context = 'update' THEN 1 ELSE 0 END) AS upd
-            FROM done WHERE status = 'applied' GROUP BY id, target_begin)
-SELECT v.gml_id, v.beginnt, coalesce(c.new_end, v.endet) AS endet,
-       CASE WHEN c.upd = 1 THEN 'A,U1' ELSE 'A' END AS reasons
-FROM versions v LEFT JOIN closing c ON c.id = v.gml_id AND c.target_begin = v.beginnt""", ("changes",))
+@query("h09_apply_with_history", "WITH " + CLOSED, ("changes",))
 def _(d):
     out = H.apply_changes(d["changes"], versions(d), DELIVERED, keep_history=True)
     return out.select("gml_id", "beginnt", "endet", F.array_join("anlass", ",").alias("reasons"))

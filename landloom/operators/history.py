@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import arr_cat
 from ..functions.text import version_begin
+from ..session import cut_lineage
 from .links import open_rows
-from .lookups import running
+from .lookups import next_after, running
 from .skew import salted_join
 
 ID, BEGIN, END, REASONS = "gml_id", "beginnt", "endet", "anlass"
@@ -26,8 +27,9 @@ def drop_known(new: DataFrame, existing: DataFrame | None = None, keys: tuple[st
 
 
 def _prepared(changes: DataFrame) -> DataFrame:
+    """Change records with their parts; ``fault`` where a record fails whatever the versions are."""
     fid = F.col("featureid")
-    return changes.select(
+    out = changes.select(
         "seq", "featureid", "replacedby", REASONS,
         F.col(END).alias("given_end"),
         F.lower(F.coalesce(F.col("context"), F.lit("delete"))).alias("context"),
@@ -38,12 +40,22 @@ def _prepared(changes: DataFrame) -> DataFrame:
         F.substring("replacedby", 1, 16).alias("succ_id"),
         F.when((F.length("replacedby") == 32) & (F.col("replacedby") != fid),
                version_begin("replacedby")).alias("succ_begin"))
+    replaces = F.col("context") == "replace"
+    fault = (F.when(F.col("idlen").isNull() | ~F.col("idlen").isin(16, 32), "bad id")
+             .when(~F.col("context").isin(*CONTEXTS), "bad context")
+             .when(replaces & (F.col("safe").isNull() | ~F.col("safe").isin("true", "false")), "bad safe to ignore"))
+    return (out.withColumn("fault", fault)
+            .withColumn("itself", replaces & F.coalesce(fid == F.col("replacedby"), F.lit(False)))
+            # an end that must be the begin of exactly one version of the successor
+            .withColumn("wanted", F.when(replaces, F.coalesce("succ_begin", "given_end")))
+            .withColumn("seeks", replaces & F.col("succ_begin").isNull() & F.col("given_end").isNull()))
 
 
 def _state(prepared: DataFrame, versions: DataFrame) -> DataFrame:
     """Stored versions, grouped by id and begin, of all ids a batch may look at.
 
-    The one pass over the version table; everything else works on this.
+    The one pass over the version table; everything else is of the size of the
+    batch.
     """
     ids = (prepared.select(ID).union(prepared.select(F.col("succ_id").alias(ID)))
            .filter(F.col(ID).isNotNull()).distinct())
@@ -51,98 +63,194 @@ def _state(prepared: DataFrame, versions: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("hits"), F.count_if(F.col(END).isNull()).alias("n_open")))
 
 
-def _resolved(prepared: DataFrame, state: DataFrame) -> DataFrame:
-    long_hits = prepared.filter(F.col("idlen") == 32).select(ID, F.col("long_begin").alias(BEGIN)).distinct()
-    nth = prepared.filter(F.col("idlen") == 16).select(
-        "seq", ID, F.row_number().over(Window.partitionBy(ID).orderBy("seq")).alias("_k"))
-    candidates = (state.filter("n_open > 0").select(ID, BEGIN).join(long_hits, [ID, BEGIN], "left_anti")
-                  .withColumn("_k", F.row_number().over(Window.partitionBy(ID).orderBy(BEGIN))))
-    short_begin = nth.join(candidates, [ID, "_k"]).select("seq", F.col(BEGIN).alias("short_begin"))
-    out = prepared.join(short_begin, "seq", "left").withColumn(
-        "target_begin", F.when(F.col("idlen") == 32, F.col("long_begin")).otherwise(F.col("short_begin")))
-    problem = (F.when(~F.col("idlen").isin(16, 32), "bad id")
-               .when(F.col("target_begin").isNull(), "no open version"))
-    return out.withColumn("problem", problem).drop("long_begin", "short_begin")
+def _with_facts(prepared: DataFrame, state: DataFrame, keep_history: bool) -> DataFrame:
+    """Adds what does not depend on the order of a batch.
+
+    ``hits`` and ``was_open`` of a named version, ``last_begin`` of a successor
+    that is looked for, and ``fault`` where a successor is not there.
+    """
+    named = state.select(ID, F.col(BEGIN).alias("long_begin"), "hits", (F.col("n_open") > 0).alias("was_open"))
+    ch = prepared.join(named, [ID, "long_begin"], "left").fillna({"hits": 0, "was_open": False})
+    if not keep_history:
+        return ch.withColumn("last_begin", F.lit(None).cast("string"))
+    # records without a successor are dealt out by their own id instead of by null
+    ch = ch.withColumn("_succ", F.coalesce("succ_id", F.concat(F.lit("-"), "featureid")))
+    single = state.filter("hits = 1").select(F.col(ID).alias("_succ"), F.col(BEGIN).alias("wanted"), F.lit(True).alias("_single"))
+    last = state.groupBy(F.col(ID).alias("_succ")).agg(F.max(BEGIN).alias("last_begin"))
+    fault = (F.when(F.col("fault").isNotNull(), F.col("fault"))
+             .when((F.col("context") == "update") & F.col("given_end").isNull(), "no end given")
+             .when(F.col("wanted").isNotNull() & F.col("_single").isNull(), "no single successor"))
+    return (ch.join(single, ["_succ", "wanted"], "left").join(last, "_succ", "left")
+            .withColumn("fault", fault).drop("_single", "_succ"))
+
+
+#: Parts into which the open versions of one id are dealt before the oldest are picked.
+_SLICES = 16
+_SWEPT = "seq long, target_begin string, status string, close_begin string"
+
+
+def _sweep(keep_history: bool):
+    """Walks the events of each id in their order along its oldest open versions.
+
+    Rows come sorted by id, then the number of open versions, then open versions
+    by begin, then events by number; only the open versions that the events can
+    reach and the begins already closed are held.
+    """
+    def run(batches):
+        import pyarrow as pa
+        own, begins, hits, at, n, gone = object(), [], {}, 0, 0, set()
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r[ID] != own:
+                    own, begins, hits, at, n, gone = r[ID], [], {}, 0, 0, set()
+                if r["kind"] == 0:
+                    n = r["hits"]
+                    continue
+                if r["kind"] == 1:
+                    begins.append(r["begin"])
+                    hits[r["begin"]] = r["hits"], r["opened"]
+                    continue
+                while at < len(begins) and begins[at] in gone:
+                    at += 1
+                oldest = begins[at] if at < len(begins) else None
+                short = r["begin"] is None
+                target = oldest if short else r["begin"]
+                status, close = "applied", target
+                if target is None or r["fault"]:
+                    status = "error"
+                elif not keep_history:
+                    rows, opened = hits[target] if short else (r["hits"], r["opened"])
+                    if r["itself"] or target in gone:
+                        status, rows = "ignored", 0
+                    elif rows != 1:
+                        status = "ignored"
+                    if rows:
+                        gone.add(target)
+                        n -= opened
+                    close = target if rows else None  # the rows go, also where several match
+                elif r["seeks"] and not (r["last_begin"] and r["last_begin"] > target):
+                    status = "error" if r["strict"] else "ignored"
+                elif short or r["hits"]:
+                    if short and hits[target][0] > 1:
+                        status = "error"
+                    elif target not in gone and (short or r["opened"]):
+                        gone.add(target)
+                        n -= 1
+                elif (n == 0 and r["context"] != "replace") or (n == 1 and r["context"] == "replace"):
+                    status = "ignored"
+                elif n == 2 and oldest is not None:
+                    close = oldest
+                    if hits[oldest][0] > 1:
+                        status = "error"
+                    else:
+                        gone.add(oldest)
+                        n -= 1
+                else:
+                    status = "unresolved"
+                out.append((r["seq"], target, status, close))
+            columns = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64())] + [pa.array(c, pa.string()) for c in columns[1:]],
+                                             ["seq", "target_begin", "status", "close_begin"])
+    return run
+
+
+def _ordered(ch: DataFrame, state: DataFrame, keep_history: bool) -> DataFrame:
+    """Outcome of the records whose outcome depends on earlier records of their id.
+
+    These are records without a begin, records whose version is not there, and
+    the closings of open versions beside them; without history all records.
+    """
+    good = F.col("fault").isNull()
+    counts = F.col("long_begin").isNull() | (good & (F.col("hits") == 0))
+    events = ch.filter(F.col(ID).isNotNull() & ~F.coalesce(F.col("fault") == "bad id", F.lit(False)))
+    if keep_history:
+        ids = events.filter(counts).select(ID).distinct()
+        # a record that closes an open version counts for those behind it
+        events = events.filter(counts | (good & (F.col("hits") == 1) & F.col("was_open"))).join(ids, ID, "left_semi")
+    need = events.groupBy(ID).agg((F.count(F.lit(1)) + 1).alias("need"))
+    open_ = state.filter("n_open > 0")
+    slice_ = F.pmod(F.xxhash64(BEGIN), F.lit(_SLICES))
+    oldest = (open_.join(need, ID).withColumn("_s", slice_)
+              .withColumn("_k", F.row_number().over(Window.partitionBy(ID, "_s").orderBy(BEGIN)))
+              .filter(F.col("_k") <= F.col("need")))
+    whole = open_.join(need, ID, "left_semi").groupBy(ID).agg(F.sum("n_open").alias("hits"))
+    no = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rest = [no("string", "context"), F.lit(False).alias("fault"), F.lit(False).alias("itself"), F.lit(False).alias("seeks"),
+            F.lit(False).alias("strict"), no("string", "last_begin")]
+    seq = no("long", "seq")
+    rows = (whole.select(ID, F.lit(0).alias("kind"), no("string", "begin"), seq, "hits", F.lit(0).cast("long").alias("opened"), *rest)
+            .unionByName(oldest.select(ID, F.lit(1).alias("kind"), F.col(BEGIN).alias("begin"), seq, "hits", F.col("n_open").alias("opened"), *rest))
+            .unionByName(events.select(
+                ID, F.lit(2).alias("kind"), F.col("long_begin").alias("begin"), F.col("seq").cast("long").alias("seq"), "hits",
+                F.col("was_open").cast("long").alias("opened"), "context", F.col("fault").isNotNull().alias("fault"), "itself", "seeks",
+                _strict().alias("strict"), "last_begin")))
+    order = F.when(F.col("kind") == 1, F.col("begin"))
+    return (rows.repartition(F.col(ID)).sortWithinPartitions(ID, "kind", order, "seq")
+            .mapInArrow(_sweep(keep_history), _SWEPT))
+
+
+def _strict() -> Column:
+    """Whether a replacement that is not there is an error."""
+    return (F.col("safe") == "false") & F.coalesce(F.col("featureid") != F.col("replacedby"), F.lit(False))
 
 
 def resolve_targets(changes: DataFrame, versions: DataFrame) -> DataFrame:
     """Adds ``target_begin`` and ``problem`` to change records.
 
     A 32-character id names its version.  A 16-character id takes the oldest
-    open version; several such records for one id in one batch take the oldest,
-    the second oldest and so on, leaving out versions named by long ids.
+    version that is open once all earlier records of the batch are applied.
     """
-    prepared = _prepared(changes)
-    return _resolved(prepared, _state(prepared, versions))
+    return plan_changes(changes, versions, F.lit(None).cast("string"))
 
 
 def plan_changes(changes: DataFrame, versions: DataFrame, delivery_time: str | Column,
                  keep_history: bool = True) -> DataFrame:
-    """Outcome per change: ``status`` applied / ignored / unresolved / error, and what to close."""
+    """Outcome per change: ``status`` applied / ignored / unresolved / error, and what to close.
+
+    The records of an id count in the order of ``seq``, each on the versions
+    that the ones before it have left.
+    """
     when_delivered = F.lit(delivery_time) if isinstance(delivery_time, str) else delivery_time
     prepared = _prepared(changes)
-    state = _state(prepared, versions)
-    ch = _resolved(prepared, state)
-    hits = state.select(ID, BEGIN, "hits")
-
-    searching = ch.filter((F.col("context") == "replace") & F.col("succ_begin").isNull()
-                          & F.col("succ_id").isNotNull()).select("seq", "succ_id", "target_begin")
-    ch = ch.join(hits.withColumnRenamed(BEGIN, "target_begin"), [ID, "target_begin"], "left")
-    bad_safe = (F.col("context") == "replace") & (F.col("safe").isNull() | ~F.col("safe").isin("true", "false"))
-    bad_context = ~F.col("context").isin(*CONTEXTS)
-    self_replace = (F.col("context") == "replace") & (F.col("featureid") == F.col("replacedby"))
-    n_hits = F.coalesce(F.col("hits"), F.lit(0))
+    # of the size of the batch, and each used several times
+    state = cut_lineage(_state(prepared, versions))
+    ch = cut_lineage(_with_facts(prepared, state, keep_history))
+    swept = _ordered(ch, state, keep_history).select(
+        "seq", F.col("target_begin").alias("_target"), F.col("status").alias("_status"), F.col("close_begin").alias("_close"))
+    ch = ch.join(swept, "seq", "left").withColumn("target_begin", F.coalesce("long_begin", "_target"))
+    problem = F.when(F.col("fault") == "bad id", F.col("fault")).when(F.col("target_begin").isNull(), "no open version")
 
     if not keep_history:
-        status = (F.when(F.col("problem").isNotNull(), "error")
-                  .when(bad_context | bad_safe, "error")
-                  .when(self_replace, "ignored")
-                  .when(n_hits == 1, "applied").otherwise("ignored"))
-        # the row goes whenever a change reaches the delete, also when several match
-        removes = (F.col("problem").isNull() & ~bad_context & ~bad_safe & ~self_replace & (n_hits > 0))
-        return ch.withColumn("status", status).withColumn("removes", removes)
-
-    # successor: exact begin must exist once, otherwise the next later begin of the successor id
-    exact = hits.select(F.col(ID).alias("succ_id"), F.col(BEGIN).alias("succ_begin"), F.col("hits").alias("succ_hits"))
-    ch = ch.join(exact, ["succ_id", "succ_begin"], "left")
-    later = (state.select(F.col(ID).alias("succ_id"), F.col(BEGIN).alias("_b"))
-             .join(searching, "succ_id").filter(F.col("_b") > F.col("target_begin"))
-             .groupBy("seq").agg(F.min("_b").alias("next_begin")))
-    ch = ch.join(later, "seq", "left")
-
-    opened = state.filter("n_open > 0").groupBy(ID).agg(
-        F.sum("n_open").alias("n_open"), F.min(BEGIN).alias("oldest_open"))
-    ch = ch.join(opened, ID, "left")
-    n_open = F.coalesce(F.col("n_open"), F.lit(0))
-
-    given_succ = F.col("succ_begin").isNotNull()
+        return (ch.withColumn("problem", problem).withColumn("status", F.coalesce("_status", F.lit("error")))
+                .withColumn("removes", F.col("_close").isNotNull() & F.col("_status").isin("applied", "ignored"))
+                .drop("_target", "_status", "_close"))
+
+    missing = F.col("seeks") & ~F.coalesce(F.col("last_begin") > F.col("target_begin"), F.lit(False))
+    own = (F.when(F.col("fault").isNotNull() | (F.col("hits") > 1), "error")
+           .when(missing, F.when(_strict(), "error").otherwise("ignored")).otherwise("applied"))
+    ch = (ch.withColumn("problem", F.coalesce(problem, "fault"))
+          .withColumn("status", F.coalesce("_status", own)).withColumn("close_begin", F.coalesce("_close", "target_begin")))
+    ch = cut_lineage(ch)
+    sought = next_after(ch.filter(F.col("seeks") & (F.col("status") == "applied"))
+                        .select("seq", F.col("succ_id").alias(ID), F.col("target_begin").alias("after")),
+                        state.select(ID, BEGIN), ID, BEGIN, "next_begin").select("seq", "next_begin")
     new_end = (F.when(F.col("context") == "delete", when_delivered)
                .when(F.col("context") == "update", F.col("given_end"))
-               .when(given_succ, F.col("succ_begin"))
-               .otherwise(F.coalesce(F.col("given_end"), F.col("next_begin"))))
-    ch = ch.withColumn("new_end", new_end)
-    two_open = (n_hits == 0) & (n_open == 2)
-    status = (F.when(F.col("problem").isNotNull() | bad_context | bad_safe, "error")
-              .when((F.col("context") == "update") & F.col("given_end").isNull(), "error")
-              .when(given_succ & (F.col("context") == "replace") & (F.coalesce(F.col("succ_hits"), F.lit(0)) != 1), "error")
-              .when((F.col("context") == "replace") & F.col("new_end").isNull(),
-                    F.when((F.col("safe") == "false") & ~self_replace, "error").otherwise("ignored"))
-              .when(n_hits == 1, "applied")
-              .when(n_hits > 1, "error")
-              .when(((n_open == 0) & F.col("context").isin("delete", "update"))
-                    | ((n_open == 1) & (F.col("context") == "replace")), "ignored")
-              .when(two_open, "applied")
-              .otherwise("unresolved"))
-    close_begin = F.when(two_open, F.col("oldest_open")).otherwise(F.col("target_begin"))
-    add = F.when((F.col("context") == "update") | two_open, F.col(REASONS))
-    return (ch.withColumn("status", status).withColumn("close_begin", close_begin)
-            .withColumn("add_reasons", add))
+               .otherwise(F.coalesce("wanted", "next_begin")))
+    add = F.when((F.col("context") == "update") | (F.col("close_begin") != F.col("target_begin")), F.col(REASONS))
+    return (ch.join(sought, "seq", "left").withColumn("new_end", new_end).withColumn("add_reasons", add)
+            .drop("_target", "_status", "_close", "next_begin"))
 
 
 def closes(changes: DataFrame, versions: DataFrame, delivery_time: str | Column,
            keep_history: bool = True) -> DataFrame:
     """What a batch does to the version table: one row per closed or removed version."""
-    planned = plan_changes(changes, versions, delivery_time, keep_history)
+    return planned_closes(plan_changes(changes, versions, delivery_time, keep_history), keep_history)
+
+
+def planned_closes(planned: DataFrame, keep_history: bool = True) -> DataFrame:
+    """Closes of planned changes."""
     none = F.array().cast("array<string>")
     if not keep_history:
         return planned.filter("removes").select(

@@ -146,3 +146,33 @@ def thin(df: DataFrame, keys: list[str], density: Column | str) -> DataFrame:
     """Keep about ``density`` percent of the rows, the same ones on every run."""
     density = F.col(density) if isinstance(density, str) else density
     return df.filter((density >= 100) | (F.pmod(F.xxhash64(*keys), F.lit(100)) < density))
+
+
+#: Leading characters of an ISO time that cut the points of a key into ranges (year and month).
+RANGE_LETTERS = 7
+
+
+def next_after(requests: DataFrame, points: DataFrame, key: str, at: str, out: str) -> DataFrame:
+    """``requests`` with ``out``: the smallest ``at`` of ``points`` of the same key that is greater than ``after``.
+
+    Requests and points are walked together in time order, no request meets all
+    points of its key.  Keys are cut into ranges of time, so that a key with very
+    many points is spread; what a range does not hold is the first point of the
+    next range that holds any.
+    """
+    cut = lambda c: F.substring(c, 1, RANGE_LETTERS)
+    keys = requests.select(key).distinct()
+    points = points.select(key, F.col(at).alias("_t")).filter(F.col(at).isNotNull()).join(keys, key, "left_semi")
+    both = requests.select(key, F.col("after").alias("_t"), F.struct(*requests.columns).alias("_row")).unionByName(points, allowMissingColumns=True)
+    # backwards in time; at one time requests come before points, so that only later points lie behind a request
+    back = lambda *order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    later_points = F.min(F.when(F.col("_row").isNull(), F.col("_t")))
+    within = (both.withColumn("_part", cut("_t"))
+              .withColumn("_next", later_points.over(back(F.col("_t").desc(), F.col("_row").isNull()).partitionBy(key, "_part")))
+              .filter(F.col("_row").isNotNull()).select("_row", F.col(key).alias("_key"), "_part", "_next"))
+    firsts = points.groupBy(key, cut("_t").alias("_part")).agg(F.min("_t").alias("_first")).unionByName(
+        requests.select(key, cut("after").alias("_part")).distinct(), allowMissingColumns=True)
+    later = (firsts.groupBy(key, "_part").agg(F.min("_first").alias("_first"))
+             .withColumn("_later", F.min("_first").over(back(F.col("_part").desc()).partitionBy(key)))
+             .select(F.col(key).alias("_key"), "_part", "_later"))
+    return within.join(later, ["_key", "_part"], "left").select("_row.*", F.coalesce("_next", "_later").alias(out))
