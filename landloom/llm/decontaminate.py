@@ -86,7 +86,7 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) ->
         more = anchors.filter(F.col("rank") == k).select("window")
         both = left.join(starts(k), ["window", "row", "start"], "left_semi")
         left = both.union(left.join(small(more), "window", "left_anti"))  # windows of fewer different terms
-    left = stored(left, "decontaminate-left")
+    left = stored(left.distinct(), "decontaminate-left")  # equal rows share a key: their windows count once
     # word by word, in the few documents that are left; a document's starts are bounded by its words
     wanted = (left.join(small(windows.select("window", "terms")), "window")
               .groupBy("row").agg(F.collect_list(F.struct("window", "start", "terms")).alias("c")))

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from landloom.llm import decontaminate as dc
-from .helpers import ITEM, words
+from .helpers import ITEM, prose, words
 
 
 def plain(docs, items, width):
@@ -67,3 +67,16 @@ def test_near_matches(spark):
                                  "row long, text string")
     windows = dc.windows_of(spark.createDataFrame([(7, "one two three four")], "item_id long, text string"), 4)
     assert sorted(r["row"] for r in dc.near_matches(docs, windows, 3).collect()) == [1, 2]
+
+
+def test_many_equal_rows(spark):
+    """Equal rows cost no more than their number, also where their text is a benchmark item."""
+    import time
+    text = prose(random.Random(6), 400)
+    docs = spark.createDataFrame([(1, text)] * 1500 + [(2, "clean words"), (None, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, text)], "item_id long, text string")
+    began = time.time()
+    got = dc.decontaminate(docs, bench).groupBy("doc_id", "n_hit", "n_words", "contaminated").count().collect()
+    assert time.time() - began < 60
+    n = len(words(text, ITEM))
+    assert {tuple(r) for r in got} == {(1, n, n, True, 1500), (2, 0, 2, False, 1), (None, n, n, True, 1)}
