@@ -42,11 +42,15 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    rows = keyed(docs, "benchmark")
-    found = decontaminate.decontaminate(rows.select(F.col("_row").alias("doc_id"), "text"), queries.table(spark, sf_dir, "benchmark"))
-    gone = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    """Documents without a benchmark passage; null and repeated ids do not matter, as a verdict depends on the text alone.
+
+    The digests of the texts found are stored, so the engine knows how many they
+    are before it chooses a join: few go to all tasks and no text is shuffled.
+    """
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    found = decontaminate.decontaminate(docs.select(digest.alias("doc_id"), "text"), queries.table(spark, sf_dir, "benchmark"))
+    gone = minhash.stored(found.filter("contaminated").select(F.col("doc_id").alias("_text")).distinct(), "pipeline-contaminated")
+    return docs.join(gone, digest == F.col("_text"), "left_anti").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
