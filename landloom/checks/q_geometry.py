@@ -282,6 +282,22 @@ def _(d):
     return areas.area_fill(d.useareas().withColumn("rule", F.lit("1100")), "geom", "rule", ["uid"])
 
 
+@query("g16_slanted_fill", """
+WITH t AS (SELECT uid, (x0 + x1) / 2 AS xm, y0, (x1 - x0) / 2 AS a, y1 - y0 AS h FROM usearea),
+l AS (SELECT t.*, sqrt(a * a + h * h) AS l FROM t),
+r AS (SELECT l.*, y0 + 0.5 * l / a AS ya, y0 + h - 0.5 AS yb, ((h - 0.5) * a - 0.5 * l) / h AS w FROM l),
+rw AS (SELECT r.*, unnest(generate_series(CAST(floor(ya / 3.5) AS BIGINT), CAST(ceil(yb / 3.5) - 1 AS BIGINT))) AS i FROM r),
+pt AS (SELECT rw.*, unnest(generate_series(CAST(floor((xm - w) / 7) AS BIGINT), CAST(ceil((xm + w) / 7) - 1 AS BIGINT))) AS j FROM rw),
+xy AS (SELECT pt.*, CAST(j * 7 + CASE WHEN (i - CAST(floor(ya / 3.5) AS BIGINT)) % 2 = 1 THEN 3.5 ELSE 0 END AS DOUBLE) AS x, CAST(i * 3.5 AS DOUBLE) AS y FROM pt)
+SELECT uid, x, y FROM xy WHERE y <= yb AND abs(x - xm) * h <= (y - y0) * a - 0.5 * l""", ("usearea",))
+def _(d):
+    # triangles that stand on their tips: rows count from the tip of the shrunk outline
+    u = d.useareas()
+    mid = (F.col("x0") + F.col("x1")) / 2
+    tip = G.geom("POLYGON", F.array(F.array(G.vertex(mid, "y0"), G.vertex("x1", "y1"), G.vertex("x0", "y1"), G.vertex(mid, "y0"))))
+    return areas.area_fill(u.withColumn("geom", tip).withColumn("rule", F.lit("1100")), "geom", "rule", ["uid"])
+
+
 @query("g16_thinned_fill")
 def _(d):
     return areas.area_fill(d.useareas().withColumn("rule", F.lit("1101")), "geom", "rule", ["uid"]).groupBy("uid").agg(
@@ -427,6 +443,31 @@ def _(d):
     return out.select("uid", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), deg.alias("deg"))
 
 
+@query("g19_numbers_of_shaped_houses", """
+WITH k AS (SELECT *, (x0 + x1) / 2 AS xm, (y0 + y1) / 2 AS ym, (x1 - x0) / 2 AS a, (y1 - y0) / 2 AS b FROM usearea),
+m AS (SELECT *, 1 - 1.9 * sqrt(a * a + b * b) / (a * b) AS s FROM k)
+SELECT uid, CASE uid % 3 WHEN 0 THEN (x0 + 11 + x1 - 1.9) / 2 WHEN 1 THEN xm + a * s / 2 ELSE (x0 + 14.9 + x1 - 1.9) / 2 END AS x,
+ CASE uid % 3 WHEN 0 THEN y1 - 1.9 WHEN 1 THEN ym + b * s / 2 ELSE y0 + 1.9 END AS y,
+ CAST(CASE uid % 3 WHEN 1 THEN round(degrees(atan2(b, -a))) ELSE 0 END AS BIGINT) AS deg FROM m""", ("usearea",))
+def _(d):
+    # a bay too narrow for the inset, walls at a slant, and a notch in the wall to the street
+    u = d.useareas().withColumn("key", F.col("uid").cast("string"))
+    k = F.col("uid") % 3
+    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    xm, ym = (x0 + x1) / 2, (y0 + y1) / 2
+    ring = lambda *pts: G.geom("POLYGON", F.array(F.array(*[G.vertex(x, y) for x, y in (*pts, pts[0])])))
+    bay = ring((x0, y0), (x1, y0), (x1, y1), (x0 + 11, y1), (x0 + 11, y1 + 1.5), (x0 + 8, y1 + 1.5), (x0 + 8, y1), (x0, y1))
+    slant = ring((xm, y0), (x1, ym), (xm, y1), (x0, ym))
+    notch = ring((x0, y0), (x0 + 11, y0), (x0 + 11, y0 + 4), (x0 + 13, y0 + 4), (x0 + 13, y0), (x1, y0), (x1, y1), (x0, y1))
+    street = F.when(k == 0, G.rectangle(x0, y1 + 40, x1, y1 + 50)).when(k == 1, G.rectangle(x1 + 70, y1 + 70, x1 + 80, y1 + 80)).otherwise(
+        G.rectangle(x0, y0 - 9, x1, y0 - 5))
+    s = u.select(F.col("uid").alias("sid"), F.col("key").alias("skey"), street.alias("sgeom"))
+    houses = u.select("uid", "key", F.when(k == 0, bay).when(k == 1, slant).otherwise(notch).alias("geom"))
+    out = placement.house_number_places(houses, s, "uid", "geom", "key", "sgeom", "skey", "sid")
+    deg = F.pmod(F.rint(F.degrees("drehwinkel")), F.lit(180)).cast("long")
+    return out.select("uid", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"), deg.alias("deg"))
+
+
 @query("j20_nearest", """
 SELECT p_partkey, (SELECT s_suppkey FROM supplier WHERE s_nationkey = p_size % 25
    ORDER BY abs(s_acctbal - p_retailprice), s_suppkey LIMIT 1) AS nearest FROM part WHERE p_size % 25 IN (SELECT s_nationkey FROM supplier)""")

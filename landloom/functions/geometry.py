@@ -409,30 +409,133 @@ def distance(g, h) -> Column:
     return F.when(intersects(g, h), F.lit(0.0)).otherwise(F.least(near(g, h), near(h, g)))
 
 
-def inset(ring: Column, d: float) -> Column:
-    """Counter-clockwise closed ring moved inwards with sharp corners; null when an edge turns round."""
-    def moved(body):
-        m = F.size(body)
-        at = lambda i: F.get(body, (i + m) % m)
+# -- polygons shrunk by a distance ------------------------------------------
+
+#: Slack of the clearance, so that an edge does not hide its own copy.
+CLEAR = 1e-9
+
+
+def frames(g) -> Column:
+    """Edges of positive length: part number, first vertex, unit direction, length; the inside lies to the left."""
+    g = col(g)
+    turned = lambda ring, k: F.when(g["kind"] != "POLYGON", ring).when(k == 0, oriented(ring)).otherwise(oriented(ring, False))
+
+    def one(e, k):
+        return let(seg_length(e), lambda n: F.when(n > 0, F.struct(
+            k.alias("part"), e["a"]["x"].alias("ax"), e["a"]["y"].alias("ay"),
+            ((e["b"]["x"] - e["a"]["x"]) / n).alias("wx"), ((e["b"]["y"] - e["a"]["y"]) / n).alias("wy"), n.alias("m"))))
+
+    every = F.flatten(F.transform(g["parts"], lambda ring, k: F.transform(segments(turned(ring, k)), lambda e: one(e, k))))
+    return F.filter(every, lambda f: f.isNotNull())
+
 
-        def normal(a, b):
-            return let(dist(a["x"], a["y"], b["x"], b["y"]), lambda ln: vertex(-(b["y"] - a["y"]) / ln, (b["x"] - a["x"]) / ln))
+def hidden_span(e: Column, f: Column, d: float) -> Column:
+    """Part ``lo..hi`` of the copy of frame ``e`` moved ``d`` inwards that is nearer than ``d`` to frame ``f``, else null.
+
+    The points near an edge form a convex strip with round ends, so what it
+    takes from a line is one span: the hull of those of the strip and of its two ends.
+    """
+    r = d - CLEAR
+
+    def slab(q, k, lo, hi):
+        """Span of t with lo < q + k t < hi; the whole line as two large numbers."""
+        u, v = (lo - q) / k, (hi - q) / k
+        return F.when(F.abs(k) > 1e-12, F.struct(F.least(u, v).alias("lo"), F.greatest(u, v).alias("hi"))).when(
+            (q > lo) & (q < hi), F.struct(F.lit(-1e300).alias("lo"), F.lit(1e300).alias("hi")))
+
+    def disc(s, q):
+        b = s * q["s1"] + q["h0"] * q["h1"]
+        return let(F.struct(b.alias("b"), (b * b - s * s - q["h0"] * q["h0"] + r * r).alias("w")), lambda c: F.when(
+            c["w"] > 0, F.struct((-c["b"] - F.sqrt(c["w"])).alias("lo"), (-c["b"] + F.sqrt(c["w"])).alias("hi"))))
+
+    def both(t):
+        lo, hi = F.greatest(t["u"]["lo"], t["v"]["lo"]), F.least(t["u"]["hi"], t["v"]["hi"])
+        return F.when(t["u"].isNotNull() & t["v"].isNotNull() & (lo < hi), F.struct(lo.alias("lo"), hi.alias("hi")))
+
+    def spans(q):
+        strip = let(F.struct(slab(q["s0"], q["s1"], F.lit(0.0), f["m"]).alias("u"),
+                             slab(q["h0"], q["h1"], F.lit(-r), F.lit(r)).alias("v")), both)
+        return let(F.struct(strip.alias("u"), disc(q["s0"], q).alias("v"), disc(q["s0"] - f["m"], q).alias("w")), hull)
+
+    def hull(t):
+        lo, hi = F.least(*[t[n]["lo"] for n in "uvw"]), F.greatest(*[t[n]["hi"] for n in "uvw"])
+        return F.when((hi > 0) & (lo < e["m"]) & (lo < hi), F.struct(
+            F.greatest(lo, F.lit(0.0)).alias("lo"), F.least(hi, e["m"]).alias("hi")))
+
+    # the moved start of e and its direction, seen from the start of f along f
+    qx, qy = e["ax"] - e["wy"] * d - f["ax"], e["ay"] + e["wx"] * d - f["ay"]
+    seen = F.struct((qx * f["wx"] + qy * f["wy"]).alias("s0"), (qy * f["wx"] - qx * f["wy"]).alias("h0"),
+                    (e["wx"] * f["wx"] + e["wy"] * f["wy"]).alias("s1"), (e["wy"] * f["wx"] - e["wx"] * f["wy"]).alias("h1"))
+    return let(seen, spans)
+
+
+def free_pieces(e: Column, spans: Column, d: float) -> Column:
+    """What the sorted ``spans`` leave of the copy of frame ``e`` moved ``d`` inwards: structs part, a, b."""
+    zero = F.struct(F.lit(0.0).alias("at"), F.array().cast("array<struct<lo:double,hi:double>>").alias("out"))
+    gap = lambda lo, hi: F.array(F.struct(lo.alias("lo"), hi.alias("hi")))
+    step = lambda s, t: F.struct(F.greatest(s["at"], t["hi"]).alias("at"), F.when(
+        t["lo"] - s["at"] > 1e-7, F.concat(s["out"], gap(s["at"], t["lo"]))).otherwise(s["out"]).alias("out"))
+    left = F.aggregate(spans, zero, step, lambda s: F.when(
+        e["m"] - s["at"] > 1e-7, F.concat(s["out"], gap(s["at"], e["m"]))).otherwise(s["out"]))
+    place = lambda t: vertex(e["ax"] - e["wy"] * d + e["wx"] * t, e["ay"] + e["wx"] * d + e["wy"] * t)
+    return F.transform(left, lambda t: F.struct(e["part"].alias("part"), place(t["lo"]).alias("a"), place(t["hi"]).alias("b")))
+
+
+def frames_close(e: Column, f: Column, d: float) -> Column:
+    """Cheap test that has to hold where the frames are within ``2 d`` of each other."""
+    dx = e["ax"] + e["wx"] * e["m"] / 2 - f["ax"] - f["wx"] * f["m"] / 2
+    dy = e["ay"] + e["wy"] * e["m"] / 2 - f["ay"] - f["wy"] * f["m"] / 2
+    reach = (e["m"] + f["m"]) / 2 + 2 * d
+    return (F.abs(dx) <= reach) & (F.abs(dy) <= reach)
+
+
+def inset_edges(g, d: float) -> Column:
+    """Straight edges of the polygon shrunk by ``d``: structs part (of the polygon's edge), a, b.
+
+    The shrunk polygon is the set of inside points at least ``d`` from every
+    edge.  Each edge is moved inwards and loses what is too near to another
+    edge, so edges that collapse go, outlines that split come in all their
+    pieces, and holes grow.  Around inward corners the true border is an arc,
+    which has no straight edge.  Empty where nothing is left.
+    """
+    def pieces(e, fs):
+        spans = F.transform(F.filter(fs, lambda f: frames_close(e, f, d)), lambda f: hidden_span(e, f, d))
+        return free_pieces(e, F.array_sort(F.filter(spans, lambda t: t.isNotNull())), d)
+
+    return F.when(is_polygon(g), let(frames(g), lambda fs: F.flatten(F.transform(fs, lambda e: pieces(e, fs)))))
 
-        def corner(p, i):
-            both = F.struct(normal(at(i - 1), p).alias("u"), normal(p, at(i + 1)).alias("w"))
-            return let(both, lambda n: vertex(
-                p["x"] + d * (n["u"]["x"] + n["w"]["x"]) / (1 + n["u"]["x"] * n["w"]["x"] + n["u"]["y"] * n["w"]["y"]),
-                p["y"] + d * (n["u"]["y"] + n["w"]["y"]) / (1 + n["u"]["x"] * n["w"]["x"] + n["u"]["y"] * n["w"]["y"])))
 
-        def checked(out):
-            pairs = F.transform(out, lambda q, i: (F.get(out, (i + 1) % m)["x"] - q["x"]) * (at(i + 1)["x"] - at(i)["x"])
-                                + (F.get(out, (i + 1) % m)["y"] - q["y"]) * (at(i + 1)["y"] - at(i)["y"]))
-            return F.when(F.forall(pairs, lambda v: v > 0), F.concat(out, F.slice(out, 1, 1)))
+def inset_corners(g, d: float) -> Column:
+    """Vertices of the polygon shrunk by ``d`` at which two arcs around inward corners meet."""
+    def meeting(v, w):
+        """The two points at distance ``d`` from both vertices."""
+        dx, dy = w["x"] - v["x"], w["y"] - v["y"]
+        return let(dx * dx + dy * dy, lambda q: F.when((q > 0) & (q <= 4 * d * d), let(F.sqrt(F.greatest(
+            d * d / q - 0.25, F.lit(0.0))), lambda h: F.array(
+                vertex(v["x"] + dx / 2 - dy * h, v["y"] + dy / 2 + dx * h), vertex(v["x"] + dx / 2 + dy * h, v["y"] + dy / 2 - dx * h)))))
 
-        return let(F.transform(body, corner), checked)
+    def clear(p):
+        return covers_point(g, p["x"], p["y"]) & F.forall(edges(g), lambda e: segment_distance(e, p["x"], p["y"]) >= d - 1e-7)
 
-    clean = drop_repeated(ring)
-    return let(clean, lambda r: F.when(F.size(r) >= 4, let(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(1))), moved)))
+    def all_of(vs):
+        near = lambda v: F.filter(vs, lambda w: (F.abs(w["x"] - v["x"]) <= 2 * d) & (F.abs(w["y"] - v["y"]) <= 2 * d)
+                                  & ((v["x"] < w["x"]) | ((v["x"] == w["x"]) & (v["y"] < w["y"]))))
+        met = lambda v: F.flatten(F.filter(F.transform(near(v), lambda w: meeting(v, w)), lambda t: t.isNotNull()))
+        return F.filter(F.flatten(F.transform(vs, met)), clear)
+
+    return F.when(is_polygon(g), let(F.array_distinct(vertices(g)), all_of))
+
+
+def inset_outer_parts(g, d: float) -> Column:
+    """Numbers of the rings that bound the shrunk polygon from outside: outer rings and the holes that grow into them."""
+    g = col(g)
+    ring = lambda k: line(F.get(g["parts"], k))
+    alone = lambda k: F.when(g["kind"] == "POLYGON", k == 0).otherwise(ring_area2(F.get(g["parts"], k)) > 0)
+    numbers = F.sequence(F.lit(0), F.size(g["parts"]) - 1)
+    grow = lambda have, _: F.filter(numbers, lambda k: F.array_contains(have, k) | F.exists(
+        have, lambda j: distance(ring(j), ring(k)) < 2 * d))
+    return F.when(F.size(g["parts"]) == 1, F.array(F.lit(0))).otherwise(
+        F.aggregate(numbers, F.filter(numbers, alone), grow))
 
 
 def segments_touch(e: Column, f: Column) -> Column:

@@ -176,21 +176,26 @@ def simplify(geom: str | Column, tolerance: float) -> Column:
     return run(G.col(geom))
 
 
+def inset_box(geom: str, d: float) -> Column:
+    """Box of the polygon shrunk by ``d``, to the micrometre; null where nothing is left."""
+    ends = F.flatten(F.transform(G.inset_edges(geom, d), lambda e: F.array(e["a"], e["b"])))
+    least = lambda ax, pick: lambda vs: F.round(pick(F.transform(vs, lambda v: v[ax])), 6)
+    box = lambda vs: F.struct(*[least(ax, pick)(vs).alias(ax + n) for n, pick in (("min", F.array_min), ("max", F.array_max)) for ax in "xy"])
+    return G.let(F.concat(ends, G.inset_corners(geom, d)), box)
+
+
 def area_fill(df: DataFrame, geom: str, rule: str, keep: list[str], rules: list[tuple] | None = None) -> DataFrame:
     """Points of a staggered lattice inside a polygon shrunk by half a metre.
 
     Rows of the lattice lie on multiples of the row spacing, every second one
-    is shifted.  Lattice rows are spread over tasks before the points of a row
+    from the lowest row of the shrunk polygon is shifted.  Lattice rows are spread over tasks before the points of a row
     are made, so one huge polygon is not filled by a single task.  Thinning
     below 100 percent is by hash, so a rerun gives the same points.
     """
     spark = df.sparkSession
     dim = F.broadcast(spark.createDataFrame(rules or PLACING_RULES, "_rid int, _dx double, _dy double, _off double, _dens int"))
     src = df.filter((G.kind(geom) == "POLYGON") & F.col(rule).isNotNull()).join(dim, F.col(rule).cast("int") == F.col("_rid"))
-    b = G.bbox(geom)
-    src = src.withColumn("_b", F.struct(*[(b[n] + s * INSET).alias(n) for n, s in
-                                          (("xmin", 1), ("ymin", 1), ("xmax", -1), ("ymax", -1))]))
-    src = src.filter("_b.xmin <= _b.xmax AND _b.ymin <= _b.ymax")
+    src = src.withColumn("_b", inset_box(geom, INSET)).filter("_b.xmin <= _b.xmax AND _b.ymin <= _b.ymax")
     row0 = F.floor(F.col("_b.ymin") / F.col("_dy"))
     rows = F.sequence(row0, F.greatest(row0, F.ceil(F.col("_b.ymax") / F.col("_dy")) - 1))
     src = src.withColumn("_row0", row0).withColumn("_r", F.explode(rows)).withColumn("_y", F.col("_r") * F.col("_dy"))
