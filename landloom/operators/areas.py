@@ -195,7 +195,8 @@ def area_fill(df: DataFrame, geom: str, rule: str, keep: list[str], rules: list[
     spark = df.sparkSession
     dim = F.broadcast(spark.createDataFrame(rules or PLACING_RULES, "_rid int, _dx double, _dy double, _off double, _dens int"))
     src = df.filter((G.kind(geom) == "POLYGON") & F.col(rule).isNotNull()).join(dim, F.col(rule).cast("int") == F.col("_rid"))
-    src = src.withColumn("_b", inset_box(geom, INSET)).filter("_b.xmin <= _b.xmax AND _b.ymin <= _b.ymax")
+    # exploded, so that what follows reads the box and does not work it out again
+    src = src.withColumn("_b", F.explode(F.filter(F.array(inset_box(geom, INSET)), lambda b: b["xmin"].isNotNull())))
     row0 = F.floor(F.col("_b.ymin") / F.col("_dy"))
     rows = F.sequence(row0, F.greatest(row0, F.ceil(F.col("_b.ymax") / F.col("_dy")) - 1))
     src = src.withColumn("_row0", row0).withColumn("_r", F.explode(rows)).withColumn("_y", F.col("_r") * F.col("_dy"))

@@ -64,11 +64,12 @@ def house_number_places(buildings: DataFrame, streets: DataFrame, bid: str, bgeo
     number change the shrunk outline, yet leave its other edges; it has none,
     and so no number, only where no point lies 1.9 m inside the walls.
     """
-    outer = F.filter(G.inset_edges(bgeom, NUMBER_INSET), lambda e: F.array_contains(F.col("_outer"), e["part"]))
+    outer = G.let(G.inset_outer_parts(bgeom, NUMBER_INSET), lambda rings: F.filter(
+        G.inset_edges(bgeom, NUMBER_INSET), lambda e: F.array_contains(rings, e["part"])))
     spots = F.transform(G.inset_corners(bgeom, NUMBER_INSET), lambda p: F.array(p, p))
-    b = (buildings.filter(G.is_polygon(bgeom)).withColumn("_outer", G.inset_outer_parts(bgeom, NUMBER_INSET))
-         .select(bid, bkey, F.concat(F.transform(outer, lambda e: F.array(e["a"], e["b"])), spots).alias("_parts"))
-         .filter(F.size("_parts") > 0).withColumn("_line", G.geom("MULTILINESTRING", F.col("_parts"))).drop("_parts"))
+    parts = F.concat(F.transform(outer, lambda e: F.array(e["a"], e["b"])), spots)
+    b = (buildings.filter(G.is_polygon(bgeom)).select(bid, bkey, F.explode(F.filter(F.array(parts), lambda p: F.size(p) > 0)).alias("_parts"))
+         .withColumn("_line", G.geom("MULTILINESTRING", F.col("_parts"))).drop("_parts"))
     # read twice by each round of the search
     b = cut_lineage(b)
     s = streets.select(F.col(skey).alias("_skey"), F.col(sid).alias("_sid"), F.explode(G.part_geoms(sgeom)).alias("_sg"))
