@@ -13,8 +13,13 @@ sorting: suffixes smaller than their successor are sorted directly, all others
 are induced bucket by bucket from the order of what follows them.  A window is a
 repeat where the common prefix with a neighbour reaches ``SIZE``.
 
-Keys with more than ``HOT_SEGMENTS`` different segments are not sorted in one
-task: their windows are counted by hash, which is summed before the shuffle.
+A key with more than ``HOT_SEGMENTS`` different segments is too much for one
+task.  Step 3 cuts its segments into pieces of 16 neighbouring windows, counted
+from the place of the key.  All windows of a piece share their middle, 185 bytes
+of the 200, and its hash is the new key; equal windows have equal middles.
+Middles that come once hold no repeat, pieces that are all equal are repeats, the
+others are sorted as in step 2.  Where a middle is hot again, pieces of 4 windows
+share 197 bytes, and pieces of one window are their own middle.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from .minhash import stored
 SIZE = 200
 GRAM = 64
 HOT_SEGMENTS = 1000
+#: Windows of a piece of a hot key's segment, step by step.
+PIECES = (16, 4, 1)
 #: Bytes sorted at once; a key's segments stay together.
 SORT_BYTES = 1 << 20
 #: Codes of nine bits (a byte plus one, 0 ends a segment) packed into one word.
@@ -82,8 +89,8 @@ def _segments(size: int, gram: int):
     return run
 
 
-def _cut(size: int):
-    """Bytes of the wanted segments of each text."""
+def _cut(size: int, names: list[str]):
+    """Bytes of the wanted segments or pieces of each text, with the fields ``names`` of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in tb.blocks(batches, "text"):
             data, offsets = tb.byte_view(block.column(0))
@@ -93,8 +100,44 @@ def _cut(size: int):
             start, windows = np.asarray(parts.field("start"), dtype=np.int64), np.asarray(parts.field("windows"), dtype=np.int64)
             begin = start + np.repeat(offsets[:-1], np.diff(cuts))
             taken = [bytes(view[a:b]) for a, b in zip(begin.tolist(), (begin + windows + size - 1).tolist())]
-            yield pa.RecordBatch.from_arrays([parts.field("key"), parts.field("content"), parts.field("windows"), pa.array(taken, pa.binary())],
-                                             ["key", "content", "windows", "bytes"])
+            yield pa.RecordBatch.from_arrays([*(parts.field(n) for n in names), pa.array(taken, pa.binary())], [*names, "bytes"])
+    return run
+
+
+def _leads(size: int, gram: int):
+    """Adds ``lead``, the place of a segment's key in its first window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in tb.blocks(batches, "bytes"):
+            data, offsets = tb.byte_view(block.column(3))
+            grams, half = tb.Rolling(data).windows(gram), tb.U(32)
+            least = sliding_least((grams >> half << half) | np.arange(len(grams), dtype=tb.U), size - gram + 1)
+            lead = (least[offsets[:-1]] & tb.U(0xFFFFFFFF)).astype(np.int64) - offsets[:-1]
+            yield pa.RecordBatch.from_arrays([*(block.column(k) for k in range(4)), pa.array(lead.astype(np.int32))],
+                                             ["key", "content", "windows", "bytes", "lead"])
+    return run
+
+
+def _pieces(size: int, width: int):
+    """Pieces of at most ``width`` windows whose key stands in the same ``width`` places, named by what all these windows share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in tb.blocks(batches, "bytes"):
+            data, offsets = tb.byte_view(block.column(3))
+            rolling = tb.Rolling(data)
+            lead, windows = np.asarray(block.column(4), dtype=np.int64), np.asarray(block.column(2), dtype=np.int64)
+            last = lead - windows + 1  # place of the key in the last window
+            n = lead // width - last // width + 1
+            row = np.repeat(np.arange(len(n)), n)
+            slot = (lead // width)[row] - (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
+            high, low = np.minimum(lead[row], slot * width + width - 1), np.maximum(last[row], slot * width)
+            anchor = offsets[row] + lead[row]
+            shared = rolling.ranges(anchor - slot * width, anchor - slot * width - width + 1 + size)
+            name = tb.mix(shared + np.asarray(block.column(0), dtype=np.int64)[row].view(tb.U) * tb.U(tb.BASE) + slot.astype(tb.U))
+            content = rolling.ranges(anchor - high, anchor - low + size)
+            index, small = pa.array(row), lambda x: pa.array(x.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [block.column(0).take(index), block.column(1).take(index), small(lead[row] - high), small(high - low + 1), small(high),
+                 pa.array(name.view(np.int64)), pa.array(content.view(np.int64))],
+                ["of_key", "of_content", "start", "windows", "lead", "key", "content"])
     return run
 
 
@@ -234,19 +277,61 @@ def _sorted_keys(size: int):
     return run
 
 
-def _window_hashes(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in tb.blocks(batches, "bytes", 1 << 19):
-            data, offsets = tb.byte_view(block.column(3))
-            windows = np.asarray(block.column(2), dtype=np.int64)
-            first = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(windows)])[:-1], windows)
-            start = np.arange(windows.sum()) + first
-            row = np.repeat(np.arange(len(windows)), windows)
-            value = tb.Rolling(data).ranges(start, start + size)
-            yield pa.RecordBatch.from_arrays(
-                [block.column(0).take(pa.array(row)), block.column(1).take(pa.array(row)), pa.array(value.view(np.int64)),
-                 pa.array((start - offsets[row]).astype(np.int32))], ["key", "content", "value", "at"])
-    return run
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows whose key comes twice; ``plain`` if all of the key have the same content."""
+    keys = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+            .filter("n > 1").select("key", (F.col("lo") == F.col("hi")).alias("plain")))
+    return rows.join(keys, "key")
+
+
+def _kinds(members: DataFrame, place: list[str]) -> DataFrame:
+    """One row for each different content of a key that is not plain: how often it comes, and where it stands once."""
+    return (members.filter("not plain").groupBy("key", "content")
+            .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*place)).alias("one")))
+
+
+def _placed(members: DataFrame, kinds: DataFrame, found: DataFrame, owner: list[str]) -> DataFrame:
+    """Repeated windows of the owners of ``members``: all of what stands twice, else those ``found`` in its content."""
+    runs = found.groupBy("key", "content").agg(F.collect_list(F.struct("at", "count")).alias("runs"))
+    mixed = (members.filter("not plain").join(kinds.select("key", "content", "copies"), ["key", "content"])
+             .join(runs, ["key", "content"], "left"))
+    each = F.when(F.col("copies") > 1, F.array(F.struct(F.lit(0).alias("at"), F.col("windows").alias("count")))).otherwise(F.col("runs"))
+    shifted = (mixed.select(*owner, "start", F.explode(each).alias("r"))
+               .select(*owner, (F.col("start") + F.col("r.at")).alias("start"), F.col("r.count").alias("count")))
+    return members.filter("plain").select(*owner, "start", F.col("windows").alias("count")).unionByName(shifted)
+
+
+def _found(parts: DataFrame, kinds: DataFrame, size: int, gram: int, widths: tuple[int, ...] = PIECES) -> DataFrame:
+    """key, content, at, count: windows of each content that stand elsewhere under the same key.
+
+    ``parts`` holds the bytes of ``kinds``, one row or more of each; hot keys go on in pieces.
+    """
+    hot = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_SEGMENTS).select("key"), "suffix-hot")
+    out = (parts.join(hot, "key", "left_anti").select("key", "content", "windows", "bytes").repartition("key").sortWithinPartitions("key", "content")
+           .mapInArrow(_sorted_keys(size), "key long, content long, at int, count int"))
+    if hot.isEmpty():
+        return out
+    width, *rest = widths
+    wide = parts.join(hot, "key", "left_semi").dropDuplicates(["key", "content"])
+    if "lead" not in wide.columns:
+        wide = wide.mapInArrow(_leads(size, gram), "key long, content long, windows int, bytes binary, lead int")
+    wide = stored(wide.select("key", "content", "windows", "bytes", "lead"), "suffix-hot-parts")
+    pieces = stored(wide.mapInArrow(_pieces(size, width), "of_key long, of_content long, start int, windows int, lead int, key long, content long"),
+                    "suffix-pieces")
+    members = stored(_shared(pieces), "suffix-piece-members")
+    owner = ["of_key", "of_content"]
+    place = [*owner, "start", "windows", "lead"]
+    if rest:
+        finer = stored(_kinds(members, place), "suffix-piece-kinds")
+        wanted = (finer.select("key", "content", "one.*").groupBy(*owner)
+                  .agg(F.collect_list(F.struct("key", "content", "start", "windows", "lead")).alias("wanted")))
+        here = wide.join(wanted, (F.col("key") == F.col("of_key")) & (F.col("content") == F.col("of_content"))).select(F.col("bytes").alias("text"), "wanted")
+        cut = stored(here.mapInArrow(_cut(size, ["key", "content", "windows", "lead"]), "key long, content long, windows int, lead int, bytes binary"),
+                     "suffix-piece-parts")
+        again = _placed(members, finer, _found(cut, finer, size, gram, tuple(rest)), owner)
+    else:  # a piece of one window is its own middle: all of a key are equal
+        again = members.select(*owner, "start", F.col("windows").alias("count"))
+    return out.unionByName(again.select(F.col("of_key").alias("key"), F.col("of_content").alias("content"), F.col("start").alias("at"), "count"))
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
@@ -256,35 +341,18 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
                                        "start array<int>, windows array<int>"), "suffix-segments")
     each = segments.select("doc_id", "th", F.explode(F.arrays_zip("key", "content", "start", "windows")).alias("s")) \
         .select("doc_id", "th", "s.key", "s.content", "s.start", "s.windows")
-    keys = (each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
-            .filter("n > 1").select("key", (F.col("lo") == F.col("hi")).alias("plain")))
-    members = stored(each.join(keys, "key"), "suffix-members")
+    members = stored(_shared(each), "suffix-members")
 
     # different segments of one key: one of each, with its bytes
-    kinds = (members.filter("not plain").groupBy("key", "content")
-             .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th", "start", "windows")).alias("one")))
-    kinds = stored(kinds, "suffix-kinds")
+    kinds = stored(_kinds(members, ["doc_id", "th", "start", "windows"]), "suffix-kinds")
     wanted = (kinds.select("key", "content", "one.*").groupBy("doc_id", "th")
               .agg(F.collect_list(F.struct("key", "content", "start", "windows")).alias("wanted")))
     here = named.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th")))
-    parts = stored(here.select("d.text", "w.wanted").mapInArrow(_cut(size), "key long, content long, windows int, bytes binary"), "suffix-parts")
-    hot = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_SEGMENTS).select("key")
-
-    sorted_ = (parts.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "content")
-               .mapInArrow(_sorted_keys(size), "key long, content long, at int, count int"))
-    windows = parts.join(hot, "key", "left_semi").dropDuplicates(["key", "content"]) \
-        .mapInArrow(_window_hashes(size), "key long, content long, value long, at int")
-    often = windows.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "value")
-    counted = windows.join(often, ["key", "value"], "left_semi").select("key", "content", "at", F.lit(1).alias("count"))
-    found = sorted_.unionByName(counted).groupBy("key", "content").agg(F.collect_list(F.struct("at", "count")).alias("runs"))
-
-    mixed = (members.filter("not plain").join(kinds.select("key", "content", "copies"), ["key", "content"])
-             .join(found, ["key", "content"], "left"))
-    runs = F.when(F.col("copies") > 1, F.array(F.struct(F.lit(0).alias("at"), F.col("windows").alias("count")))).otherwise(F.col("runs"))
-    shifted = (mixed.select("doc_id", "th", "start", F.explode(runs).alias("r"))
-               .select("doc_id", "th", (F.col("start") + F.col("r.at")).alias("start"), F.col("r.count").alias("count")))
-    every = members.filter("plain").select("doc_id", "th", "start", F.col("windows").alias("count")).unionByName(shifted)
-    return every.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "count")).alias("windows"))
+    parts = stored(here.select("d.text", "w.wanted").mapInArrow(_cut(size, ["key", "content", "windows"]),
+                                                                "key long, content long, windows int, bytes binary"), "suffix-parts")
+    every = _placed(members, kinds, _found(parts, kinds, size, gram), ["doc_id", "th"])
+    # equal rows name the same places, each of which counts once
+    return every.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "count")).alias("windows"))
 
 
 def _remove(size: int, names: list[str]):

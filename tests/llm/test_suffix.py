@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from landloom.llm import suffix
 from .helpers import covered, prose
@@ -56,3 +57,28 @@ def test_sliding_least():
     x = np.random.default_rng(2).integers(0, 99, 500)
     for w in (1, 7, 500):
         assert suffix.sliding_least(x, w).tolist() == [x[i:i + w].min() for i in range(len(x) - w + 1)]
+
+
+@pytest.mark.parametrize("hot", [1000, 5, 1])
+def test_one_passage_in_many_texts(spark, monkeypatch, hot):
+    """A key under every text: pieces of 16, of 4 and of one window give what comparing all windows gives."""
+    monkeypatch.setattr(suffix, "HOT_SEGMENTS", hot)
+    draw = random.Random(9)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage = letters(230)
+    texts = [letters(draw.randrange(60)) + passage[draw.randrange(40):230 - draw.randrange(40)] + letters(draw.randrange(60)) for _ in range(60)]
+    texts += [letters(3) + passage[15:] for _ in range(40)] + [passage, passage]
+    got = {r["doc_id"]: r for r in suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    raw, masks = covered(texts, suffix.SIZE)
+    assert any(map(any, masks))
+    for i, (b, m) in enumerate(zip(raw, masks)):
+        assert bytes(got[i]["kept_bytes"]) == bytes(x for x, gone in zip(b, m) if not gone)
+
+
+def test_many_equal_rows(spark):
+    text = prose(random.Random(2), 300)
+    rows = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(8, "#" + text[:700] + "#")], "doc_id long, text string"))
+    got = suffix.remove_repeats(rows).groupBy("doc_id").agg(F.count(F.lit(1)), F.min("n_removed"), F.max("n_removed")).orderBy("doc_id").collect()
+    whole, part = len(text.encode()), len(text[:700].encode())
+    assert [tuple(r) for r in got] == [(7, 5000, whole, whole), (8, 1, part, part)]
