@@ -14,7 +14,6 @@ from ..functions.text import col, delivery_time
 # Texts that mark a data file in its header.
 MARKERS = ["NAS-Operationen", "AAA-Fachschema", "aaa.xsd", "aaa-suite", "adv/gid/7.1"]
 BULK = "geaenderteObjekte"
-HEAD_BYTES = 100_000
 
 
 # -- what to read ---------------------------------------------------------
@@ -42,8 +41,11 @@ def has_marker(head: Column | str, markers: list[str] | None = None) -> Column:
 
 
 def recognised(files: DataFrame, markers: list[str] | None = None, content: str = "content") -> DataFrame:
-    """Files whose leading bytes hold a marker (``files`` from the binaryFile source)."""
-    head = F.decode(F.substring(F.col(content), 1, HEAD_BYTES), "ISO-8859-1")
+    """Files that hold a marker before their bulk element, however long that head is; without a bulk element anywhere.
+
+    ``files`` comes from the binaryFile source.
+    """
+    head = F.substring_index(F.decode(F.col(content), "ISO-8859-1"), f"<{BULK}>", 1)
     return files.filter(has_marker(head, markers))
 
 
@@ -125,13 +127,12 @@ def replace_product(df: DataFrame, path: str, by: list[str] | None = None) -> No
 def delivery_date(content: Column | str) -> Column:
     """Delivery time from the text before and after the bulk element; null when absent.
 
-    Only the first and last 100 kB are looked at.
+    All that stands before the first opening and after the last closing tag is
+    looked at, however long it is; the bulk between them is not.
     """
     c = col(content)
-    head = F.substring(c, 1, HEAD_BYTES)
-    tail = F.substring(c, F.greatest(F.length(c) - HEAD_BYTES + 1, F.lit(1)), F.lit(HEAD_BYTES))
-    opened, closed = head.contains(f"<{BULK}>"), tail.contains(f"</{BULK}>")
-    frame = F.concat(F.split_part(head, F.lit(f"<{BULK}>"), F.lit(1)), F.split_part(tail, F.lit(f"</{BULK}>"), F.lit(-1)))
+    opened, closed = c.contains(f"<{BULK}>"), c.contains(f"</{BULK}>")
+    frame = F.concat(F.substring_index(c, f"<{BULK}>", 1), F.substring_index(c, f"</{BULK}>", -1))
     date = F.regexp_extract(frame, r"(?s)<AX_Portionskennung>.*?<datum>\s*([^<]+?)\s*</datum>", 1)
     seconds = F.nullif(delivery_time(date), F.lit(""))
     return F.when(opened & closed, F.concat(seconds, F.lit("Z")))

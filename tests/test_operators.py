@@ -55,6 +55,18 @@ def test_fractions_past_38_digits(spark):
             assert not reduce or (n, d) == (want.numerator, want.denominator)
 
 
+@pytest.mark.parametrize("reduce", [False, True])
+def test_many_denominators_add_up_in_rounds(spark, monkeypatch, reduce):
+    from fractions import Fraction
+    monkeypatch.setattr(FR, "FOLD", 10)
+    rows = [(k, n, d) for k, many in ((1, 90), (None, 45), (2, 9), (3, 11)) for d in range(2, 2 + many) for n in (1, -d * 10 ** 20 - 3)]
+    df = spark.createDataFrame([(k, str(n), str(d)) for k, n, d in rows], "k int, n string, d string")
+    got = {r.k: (int(r.anteil_parts.n), int(r.anteil_parts.d)) for r in FR.sum_fractions(df, ["k"], "n", "d", reduce=reduce).collect()}
+    want = {k: sum(Fraction(n, d) for kk, n, d in rows if kk == k) for k in (1, 2, 3, None)}
+    assert {k: Fraction(*v) for k, v in got.items()} == want
+    assert not reduce or got == {k: (v.numerator, v.denominator) for k, v in want.items()}
+
+
 def test_walk_past_38_digits(spark):
     steps = [(f"b{i + 1}", f"b{i}", 99999998, 99999999) for i in range(8)]
     links = spark.createDataFrame(steps, "booking string, refers string, num int, den int")
@@ -173,6 +185,12 @@ def test_manifest_and_delivery_date(spark):
     assert [(r.kind, r.command) for r in deliveries.manifest(lines).collect()] == [("file", None), ("file", None), ("directive", "epsg")]
     late = "<a><geaenderteObjekte>x</geaenderteObjekte><AX_Portionskennung><datum>2024-05-06T07:08:09.5Z</datum></AX_Portionskennung></a>"
     assert one(spark, deliveries.delivery_date(F.lit(late)))[0] == "2024-05-06T07:08:09Z"
+    frame = "<AX_Portionskennung><datum>2024-05-06T07:08:09Z</datum></AX_Portionskennung>"
+    bulk = "<geaenderteObjekte><datum>1900-01-01T00:00:00Z</datum>aaa.xsd</geaenderteObjekte>"
+    far = ["x" * 200_000 + frame + "x" * 9 + bulk, bulk + "x" * 200_000 + frame + "y" * 200_000, "x" * 200_000 + "aaa.xsd" + bulk, bulk]
+    df = spark.createDataFrame([(i, t, t.encode()) for i, t in enumerate(far)], "i int, text string, content binary")
+    assert [r[0] for r in df.orderBy("i").select(deliveries.delivery_date("text")).collect()] == ["2024-05-06T07:08:09Z"] * 2 + [None] * 2
+    assert [r.i for r in deliveries.recognised(df).collect()] == [2]
 
 
 def test_zip_members(spark, tmp_path):
