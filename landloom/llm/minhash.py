@@ -12,8 +12,9 @@ signature itself.  Pairs that agree often enough are confirmed on full sets.
 The join runs in three rounds so that a large group never meets itself pair by
 pair.  First every posting meets the document of its list that shares most with
 the others, its pivot.  Then documents of one pivot meet where they differ from
-it in the same shingles.  Last, lists that still hold several components join
-across pivots and components.
+it in the same shingles: each meets one document of each list, ``HEADS`` times
+over, and only what these links leave in several components meets pair by pair.
+Last, lists that still hold several components join across pivots and components.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ MATCHES = 21
 PERCENT = 80
 #: Two bits of each coordinate of a pair differ in more than 35 of 96 places with a chance of about 1e-8.
 DIFFERENT = 35
+#: Rounds in which every list of one difference meets one of its documents.  They only save pairs, no link depends on them.
+HEADS = 2
 
 
 def shingle_sets(block: pa.RecordBatch, text: str, width: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -171,7 +174,7 @@ SIMILAR = f"both * 100 >= (na + nb - both) * {PERCENT}"
 
 
 def _links_beside(pivots: DataFrame) -> DataFrame:
-    """Links (a, b) between documents that were measured against the same pivot.
+    """Links (a, b) between the components of documents that were measured against the same pivot.
 
     ``pivots``: doc_id, component, pivot, na (size of the pivot's set), lacks
     (its shingles the document lacks) and adds (those the document adds).  A
@@ -182,6 +185,12 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     are short and, sorted by how often they come, need only be posted for a
     prefix.  The largest groups of near copies hold few such documents; no pair
     of the others is looked at.
+
+    One link between two components is as good as all.  So each list of one
+    difference first meets one of its documents, drawn anew in each of ``HEADS``
+    rounds, which makes no more pairs than there are postings; the components
+    that these links tie together count as one from then on.  Lists that still
+    hold several components are joined in full, across components only.
     """
     group = (pivots.groupBy("pivot").agg(F.count_if(F.col("q") > 0).alias("beside"), F.count(F.lit(1)).alias("n"))
              .filter("beside > 0 and n > 1").select("pivot"))
@@ -204,18 +213,39 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     take = F.greatest(F.size("lists") - F.col("least") + 1, F.lit(0))
     posts = stored(ranked.join(each.drop("d"), ["doc_id", "pivot"]).withColumn("l", F.explode(F.slice("lists", F.lit(1), take)))
                    .select("doc_id", "component", "pivot", "na", "r", "p", "q", "b0", "b1", "b2", "b3", F.col("l.e").alias("e")), "minhash-beside")
-    l, r = posts.alias("l"), posts.alias("r")
     apart = lambda x, y: sum((F.bit_count(F.col(f"{x}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}.b{k}")))) for k in range(4)), F.lit(0))
     shared = F.least(F.col("l.r") + F.col("l.p") - apart("l", "r"), F.col("r.r") + F.col("r.p") - apart("r", "l"))  # at most
-    meet = ((F.col("l.pivot") == F.col("r.pivot")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.component") < F.col("r.component"))
-            & ((F.col("l.q") > 0) | (F.col("r.q") > 0))
+    meet = (((F.col("l.q") > 0) | (F.col("r.q") > 0))
             & (9 * (F.least("l.r", "r.r") + F.least("l.p", "r.p")) >= F.col("l.q") + F.col("r.q") + F.col("l.na"))
             & (9 * shared >= F.col("l.q") + F.col("r.q") + F.col("l.na")))
-    pairs = l.join(r, meet).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct()
-    x = each.select(F.col("doc_id").alias("a"), "q", "na", "d")
-    y = each.select(F.col("doc_id").alias("b"), F.col("q").alias("q2"), F.col("d").alias("d2"))
-    return (pairs.join(x, "a").join(y, "b").filter(9 * F.size(F.array_intersect("d", "d2")) >= F.col("q") + F.col("q2") + F.col("na"))
-            .select("a", "b"))
+    pair = [F.col(f"{x}.{c}").alias(n) for x, c, n in (("l", "doc_id", "a"), ("r", "doc_id", "b"), ("l", "pivot", "pivot"), ("l", "component", "ca"), ("r", "component", "cb"))]
+    x = each.select(F.col("doc_id").alias("a"), "pivot", "q", "na", "d")
+    y = each.select(F.col("doc_id").alias("b"), "pivot", F.col("q").alias("q2"), F.col("d").alias("d2"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """Components (a, b) that a similar pair of ``pairs`` ties together."""
+        return (pairs.distinct().join(x, ["a", "pivot"]).join(y, ["b", "pivot"])
+                .filter(9 * F.size(F.array_intersect("d", "d2")) >= F.col("q") + F.col("q2") + F.col("na"))
+                .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+
+    several = F.min("component") < F.max("component")
+    tied = None
+    for turn in range(HEADS):
+        heads = (posts.groupBy("pivot", "e")
+                 .agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("draw"), *[c for c in posts.columns if c not in ("pivot", "e")])).alias("r"), several.alias("open"))
+                 .filter("open").select("pivot", "e", "r"))
+        l = posts.select("pivot", "e", F.struct(*posts.columns).alias("l"))
+        pairs = l.join(heads, ["pivot", "e"]).filter(meet & (F.col("l.component") != F.col("r.component"))).select(*pair)
+        found = components(confirmed(pairs))
+        tied = found if tied is None else tied.union(found)
+        under = found.select(F.col("node").alias("component"), F.col("component").alias("under"))
+        posts = posts.join(under, "component", "left").withColumn("component", F.coalesce("under", "component")).drop("under")
+    open_ = posts.groupBy("pivot", "e").agg(several.alias("open")).filter("open").select("pivot", "e")
+    posts = stored(posts.join(open_, ["pivot", "e"], "left_semi"), "minhash-apart")
+    l, r = posts.alias("l"), posts.alias("r")
+    same = (F.col("l.pivot") == F.col("r.pivot")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.component") < F.col("r.component"))
+    links = confirmed(l.join(r, same & meet).select(*pair))
+    return stored(links.union(tied.select(F.col("component").alias("a"), F.col("node").alias("b"))), "minhash-tied")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -33,3 +33,35 @@ def test_odd_rows(spark):
     assert got == sorted([(1, 6, 1, True), (1, 6, 1, True), (2, 6, 1, False), (None, 6, None, True), (3, 0, 3, True), (3, 1, 3, True),
                           (4, 1, 3, False), (5, 0, 5, True)], key=repr)
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), 2).count() == 0
+
+
+def test_documents_beside_a_pivot_tie_components_not_pairs(spark):
+    """Sixty documents similar to the pivot and sixty beside it share differences: thousands of links, one component."""
+    near = [(i, 0, 0, 100, list(range(15)) + [100 + i], []) for i in range(1, 61)]
+    beside = [(i, i, 0, 100, list(range(15)) + [1000 + 10 * i + k for k in range(7)], []) for i in range(61, 121)]
+    alone = [(i, i, 0, 100, list(range(10)) + [9000 + 20 * i + k for k in range(14)], []) for i in range(121, 126)]
+    # another pivot: a chain, each similar to the next only
+    chain = [(i, i, 500, 100, list(range(4 * i, 4 * i + 30)), []) for i in range(501, 521)]
+    rows = [(*row, 5 * len(row[4]) - 100, len(row[4]), 0) for row in near + beside + alone + chain]
+    pivots = spark.createDataFrame([(i, c, p, n, [v * 7919 for v in x], y, q, r, a) for i, c, p, n, x, y, q, r, a in rows],
+                                   "doc_id long, component long, pivot long, na int, lacks array<long>, adds array<long>, q int, r int, p int")
+    links = [tuple(r) for r in minhash._links_beside(pivots).collect()]
+    assert len(links) < 2 * len(rows)
+    parent = {c: c for _, c, *_ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    def tie(a, b):
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    for a, b in links:
+        tie(a, b)
+    got = {i: root(c) for i, c, *_ in rows}
+    parent = {c: c for _, c, *_ in rows}
+    for i, c, p, n, x, _, q, *_ in rows:
+        for j, d, o, _, y, _, t, *_ in rows:
+            if i < j and p == o and 9 * len(set(x) & set(y)) >= q + t + n:
+                tie(c, d)
+    assert got == {i: root(c) for i, c, *_ in rows} and len(set(got.values())) == 7
