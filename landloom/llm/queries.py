@@ -104,10 +104,12 @@ def op5(spark, sf_dir):
 @query("op6_quality_classifier")
 def op6(spark, sf_dir):
     from . import ranker
+    from .minhash import stored
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = ranker.held_out(F.col("doc_id"))
-    model = ranker.fit(docs, labels.filter(~held).select("doc_id", F.col("quality").alias("label")))
-    return ranker.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+    rows = stored(ranker.measured(docs), "ranker-vectors")  # every text is looked at once
+    model = ranker.fit_vectors(rows, labels.filter(~held).select("doc_id", F.col("quality").alias("label")))
+    return ranker.score_vectors(rows, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
 @query("op7_quality_rules")

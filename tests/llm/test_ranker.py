@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from landloom.llm import ranker
 
@@ -33,3 +34,32 @@ def test_odd_rows(spark):
     none = ranker.fit(docs, labels.limit(0))  # nothing learnt: all alike
     assert all(abs(r["score"] - ranker.CUT) < 1e-9 for r in ranker.score(docs, none).collect())
     assert ranker.score(docs.limit(0), none).count() == 0
+
+
+def test_fit_takes_every_labelled_row_and_pair(spark):
+    """The loss over all pairs is least at the weights, and the cut is a quantile of all labelled rows; so are in-memory fits."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality").withColumnRenamed("quality", "label")
+    model = ranker.fit(docs, labels)
+    rows = docs.join(labels.filter("label in (0, 1)"), "doc_id").select("label", "text").collect()
+    block = pa.RecordBatch.from_arrays([pa.array([r["text"] for r in rows])], ["text"])
+    x, label = ranker.vectors(*ranker.tb.byte_view(block.column(0))), np.array([r["label"] for r in rows])
+    z = model.scaled(x)
+    s = z @ model.weights
+    p = 1 / (1 + np.exp(s[label == 1][:, None] - s[label == 0][None, :]))  # all pairs
+    gradient = (p.sum(axis=0) @ z[label == 0] - p.sum(axis=1) @ z[label == 1]) / p.size + ranker.PENALTY * model.weights
+    assert np.abs(gradient).max() < 1e-6
+    bad = int((label == 0).sum())
+    assert abs(model.cut - np.sort(s)[bad - 1:bad + 1].mean()) < 1e-9
+    plain = ranker.Ranker(x, label, 77)
+    assert np.abs(plain.weights - model.weights).max() < 1e-4 and abs(plain.cut - model.cut) < 1e-3
+
+
+def test_more_labelled_rows_than_the_old_bound(spark):
+    """Twelve thousand short texts: every one moves mean and cut."""
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN concat('## @@ ', id) ELSE concat('plain words stand here ', id) END AS text")
+    model = ranker.fit(docs, docs.selectExpr("doc_id", "CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END AS label"))
+    words = ranker.NAMES.index("words")
+    assert abs(model.mean[words] - (np.log1p(3) / 3 + np.log1p(5) * 2 / 3) / 10) < 1e-8
+    out = ranker.score(docs, model)
+    assert out.filter("predicted = 0").count() == 4_000
