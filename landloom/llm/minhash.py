@@ -15,6 +15,10 @@ the others, its pivot.  Then documents of one pivot meet where they differ from
 it in the same shingles: each meets one document of each list, ``HEADS`` times
 over, and only what these links leave in several components meets pair by pair.
 Last, lists that still hold several components join across pivots and components.
+
+Pairs that only share a list are held back by bounds that hold for every pair:
+in the second round what the sorted differences still have behind the one that
+is shared, in the last one a sketch of the parities of the sets (``ODD``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,10 @@ PERCENT = 80
 DIFFERENT = 35
 #: Rounds in which every list of one difference meets one of its documents.  They only save pairs, no link depends on them.
 HEADS = 2
+#: Longs of a set's parity sketch: each shingle flips one of 64 bits of one long, so two sketches differ in at most as
+#: many bits as there are shingles in one set only.  Similar sets never differ in more, whatever the hashes.
+ODD = 4
+SKETCH = [f"o{k}" for k in range(ODD)]
 
 
 def shingle_sets(block: pa.RecordBatch, text: str, width: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -71,6 +79,9 @@ def _signatures(width: int, coordinates: int):
             count = np.bincount(owner, minlength=n)
             filled = np.flatnonzero(count)
             first = (np.concatenate([[0], np.cumsum(count)])[:-1])[filled]
+            place = owner * (64 * ODD) + (tb.mix(value ^ tb.U(tb.INVERSE)) % tb.U(64 * ODD)).astype(np.int64)
+            flips = (np.bincount(place, minlength=n * 64 * ODD) & 1).astype(np.uint8)
+            odd = np.packbits(flips).view(np.int64).reshape(n, ODD)
             lo, hi, sig = np.zeros(n, tb.U), np.zeros(n, tb.U), np.zeros((n, coordinates), np.int32)
             if len(filled):
                 lo[filled] = np.add.reduceat(value, first)
@@ -86,16 +97,17 @@ def _signatures(width: int, coordinates: int):
             yield pa.RecordBatch.from_arrays(
                 [block.column(0), pa.array(count, pa.int64()), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)),
                  pa.array(short[:, 0].view(np.int64)), pa.array(short[:, 1].view(np.int64)),
+                 *(pa.array(np.ascontiguousarray(odd[:, k])) for k in range(ODD)),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * coordinates, pa.int32()), pa.array(sig.ravel()))],
-                ["doc_id", "n_shingles", "lo", "hi", "s0", "s1", "signature"])
+                ["doc_id", "n_shingles", "lo", "hi", "s0", "s1", *SKETCH, "signature"])
     return run
 
 
 def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> DataFrame:
-    """doc_id, n_shingles, two sums that name the set, and the signature."""
+    """doc_id, n_shingles, two sums that name the set, two bits of each coordinate, the parity sketch, and the signature."""
     return docs.select("doc_id", "text").mapInArrow(
         _signatures(width, coordinates),
-        "doc_id long, n_shingles long, lo long, hi long, s0 long, s1 long, signature array<int>")
+        "doc_id long, n_shingles long, lo long, hi long, s0 long, s1 long, " + "".join(f"{c} long, " for c in SKETCH) + "signature array<int>")
 
 
 def _sets(width: int):
@@ -147,6 +159,12 @@ def _alike(a: str, b: str):
     return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (away <= DIFFERENT)
 
 
+def _reachable(a: str, b: str):
+    """False for two documents whose sketches differ in more bits than similar sets have shingles in one set only."""
+    away = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in SKETCH), F.lit(0))
+    return away * (100 + PERCENT) <= (F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles")) * (100 - PERCENT)
+
+
 def _likely(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     """``pairs`` (a, b, ..) whose signatures agree in enough coordinates."""
     sig = reps.select("doc_id", "signature")
@@ -173,6 +191,15 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 SIMILAR = f"both * 100 >= (na + nb - both) * {PERCENT}"
 
 
+def _confirmed_beside(pairs: DataFrame, each: DataFrame) -> DataFrame:
+    """Components (a, b) that a similar pair of ``pairs`` ties together; ``each`` has the documents' differences d from their pivot."""
+    x = each.select(F.col("doc_id").alias("a"), "pivot", "q", "na", "d")
+    y = each.select(F.col("doc_id").alias("b"), "pivot", F.col("q").alias("q2"), F.col("d").alias("d2"))
+    return (pairs.distinct().join(x, ["a", "pivot"]).join(y, ["b", "pivot"])
+            .filter(9 * F.size(F.array_intersect("d", "d2")) >= F.col("q") + F.col("q2") + F.col("na"))
+            .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+
+
 def _links_beside(pivots: DataFrame) -> DataFrame:
     """Links (a, b) between the components of documents that were measured against the same pivot.
 
@@ -183,8 +210,10 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     and add has at least (q1 + q2 + na) / 9 shingles in common.  So if one of
     them is not similar to the pivot, they must meet in these differences, which
     are short and, sorted by how often they come, need only be posted for a
-    prefix.  The largest groups of near copies hold few such documents; no pair
-    of the others is looked at.
+    prefix.  Behind the first one that two documents share come all others they
+    share, so a list makes no pair of a document with too few behind it.  The
+    largest groups of near copies hold few such documents; no pair of the others
+    is looked at.
 
     One link between two components is as good as all.  So each list of one
     difference first meets one of its documents, drawn anew in each of ``HEADS``
@@ -211,23 +240,17 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     ranked = loose.join(often, ["pivot", "e"]).groupBy("doc_id", "pivot").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("lists"))
     # differences of its own come first and meet nobody
     take = F.greatest(F.size("lists") - F.col("least") + 1, F.lit(0))
-    posts = stored(ranked.join(each.drop("d"), ["doc_id", "pivot"]).withColumn("l", F.explode(F.slice("lists", F.lit(1), take)))
-                   .select("doc_id", "component", "pivot", "na", "r", "p", "q", "b0", "b1", "b2", "b3", F.col("l.e").alias("e")), "minhash-beside")
+    posts = stored(ranked.join(each.drop("d"), ["doc_id", "pivot"]).select("*", F.posexplode(F.slice("lists", F.lit(1), take)).alias("at", "l"))
+                   .select("doc_id", "component", "pivot", "na", "r", "p", "q", "b0", "b1", "b2", "b3", F.col("l.e").alias("e"),
+                           (F.size("lists") - F.col("at")).alias("left")), "minhash-beside")
     apart = lambda x, y: sum((F.bit_count(F.col(f"{x}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}.b{k}")))) for k in range(4)), F.lit(0))
     shared = F.least(F.col("l.r") + F.col("l.p") - apart("l", "r"), F.col("r.r") + F.col("r.p") - apart("r", "l"))  # at most
+    # of the lists in which two similar documents meet, the first has all that they share at or behind it
     meet = (((F.col("l.q") > 0) | (F.col("r.q") > 0))
+            & (9 * F.least("l.left", "r.left") >= F.col("l.q") + F.col("r.q") + F.col("l.na"))
             & (9 * (F.least("l.r", "r.r") + F.least("l.p", "r.p")) >= F.col("l.q") + F.col("r.q") + F.col("l.na"))
             & (9 * shared >= F.col("l.q") + F.col("r.q") + F.col("l.na")))
     pair = [F.col(f"{x}.{c}").alias(n) for x, c, n in (("l", "doc_id", "a"), ("r", "doc_id", "b"), ("l", "pivot", "pivot"), ("l", "component", "ca"), ("r", "component", "cb"))]
-    x = each.select(F.col("doc_id").alias("a"), "pivot", "q", "na", "d")
-    y = each.select(F.col("doc_id").alias("b"), "pivot", F.col("q").alias("q2"), F.col("d").alias("d2"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Components (a, b) that a similar pair of ``pairs`` ties together."""
-        return (pairs.distinct().join(x, ["a", "pivot"]).join(y, ["b", "pivot"])
-                .filter(9 * F.size(F.array_intersect("d", "d2")) >= F.col("q") + F.col("q2") + F.col("na"))
-                .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-
     several = F.min("component") < F.max("component")
     tied = None
     for turn in range(HEADS):
@@ -236,7 +259,7 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
                  .filter("open").select("pivot", "e", "r"))
         l = posts.select("pivot", "e", F.struct(*posts.columns).alias("l"))
         pairs = l.join(heads, ["pivot", "e"]).filter(meet & (F.col("l.component") != F.col("r.component"))).select(*pair)
-        found = components(confirmed(pairs))
+        found = components(_confirmed_beside(pairs, each))
         tied = found if tied is None else tied.union(found)
         under = found.select(F.col("node").alias("component"), F.col("component").alias("under"))
         posts = posts.join(under, "component", "left").withColumn("component", F.coalesce("under", "component")).drop("under")
@@ -244,7 +267,7 @@ def _links_beside(pivots: DataFrame) -> DataFrame:
     posts = stored(posts.join(open_, ["pivot", "e"], "left_semi"), "minhash-apart")
     l, r = posts.alias("l"), posts.alias("r")
     same = (F.col("l.pivot") == F.col("r.pivot")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.component") < F.col("r.component"))
-    links = confirmed(l.join(r, same & meet).select(*pair))
+    links = _confirmed_beside(l.join(r, same & meet).select(*pair), each)
     return stored(links.union(tied.select(F.col("component").alias("a"), F.col("node").alias("b"))), "minhash-tied")
 
 
@@ -292,7 +315,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, coordinates: int = COORDINA
     classes = full.groupBy("n_shingles", "lo", "hi").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = stored(full.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "lo", "hi"),
                             ["doc_id", "n_shingles", "lo", "hi"], "left_semi")
-                  .dropDuplicates(["doc_id", "lo", "hi"]).select("doc_id", "n_shingles", "s0", "s1", "signature"), "minhash-classes")
+                  .dropDuplicates(["doc_id", "lo", "hi"]).select("doc_id", "n_shingles", "s0", "s1", *SKETCH, "signature"), "minhash-classes")
     posts = _postings(reps, coordinates, matches)
 
     # round 1: every posting against the weightiest document of its list
@@ -314,20 +337,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, coordinates: int = COORDINA
     measured = stored(measured, "minhash-measured")
     found = components(measured.filter("q <= 0").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")))
     named = found.withColumnRenamed("node", "doc_id")
-    placed = stored(reps.select("doc_id").join(named, "doc_id", "left").join(pivot, "doc_id", "left")
-                    .select("doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("pivot", "doc_id").alias("pivot")), "minhash-placed")
+    placed = stored(reps.select("doc_id", *SKETCH).join(named, "doc_id", "left").join(pivot, "doc_id", "left")
+                    .select("doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("pivot", "doc_id").alias("pivot"), *SKETCH), "minhash-placed")
 
     # round 2: documents of the same pivot by their differences from it
     beside = _links_beside(measured.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
 
-    # round 3: lists that hold several pivots and components, across both only
+    # round 3: lists that hold several pivots and components, across both only; rows of one doc_id meet with every sketch of theirs
     labelled = lists.select("post", "doc_id", "n_shingles", "s0", "s1").join(placed, "doc_id")
     mixed = (labelled.groupBy("post").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.min("pivot").alias("p"), F.max("pivot").alias("q"))
              .filter("c <> d and p <> q").select("post"))
     open_ = stored(labelled.join(mixed, "post", "left_semi"), "minhash-open")
-    side = lambda x, df: df.select("post", F.col("pivot").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "component", "n_shingles", "s0", "s1")])
+    side = lambda x, df: df.select("post", F.col("pivot").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "component", "n_shingles", "s0", "s1", *SKETCH)])
     own, held = open_.filter("pivot = doc_id"), open_.filter("pivot <> doc_id")
-    across = (F.col("p") != F.col("q")) & (F.col("p_component") != F.col("q_component")) & _alike("p_", "q_")
+    across = (F.col("p") != F.col("q")) & (F.col("p_component") != F.col("q_component")) & _alike("p_", "q_") & _reachable("p_", "q_")
     pair = (F.least("p_doc_id", "q_doc_id").alias("a"), F.greatest("p_doc_id", "q_doc_id").alias("b"))
     # documents that are their own pivots meet as such; those of one pivot meet others only, list by list
     alone = side("p", own).join(side("q", own), "post").filter((F.col("p") < F.col("q")) & across).select(*pair)

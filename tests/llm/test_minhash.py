@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from landloom.llm import minhash
@@ -65,3 +67,51 @@ def test_documents_beside_a_pivot_tie_components_not_pairs(spark):
             if i < j and p == o and 9 * len(set(x) & set(y)) >= q + t + n:
                 tie(c, d)
     assert got == {i: root(c) for i, c, *_ in rows} and len(set(got.values())) == 7
+
+def test_dissimilar_documents_of_one_pivot_make_no_pairs(spark, monkeypatch):
+    """Thirty-two documents share fifty of 250 differences from their pivot, far from enough; two more share 180."""
+    def lacks(i):
+        own = [10_000 * k + 100 * min(i, i ^ (1 << k % 5)) + e for k in range(20) for e in range(10)]
+        return [-1 - e for e in range(50)] + own
+    rows = [(i, i, 0, 1000, lacks(i)) for i in range(1, 33)]
+    rows += [(i, i, 0, 1000, list(range(10 ** 6, 10 ** 6 + 180)) + [i * 10 ** 6 + e for e in range(70)]) for i in (41, 42)]
+    pivots = spark.createDataFrame([(i, c, p, n, [abs(v) * 7919 for v in x], [], 5 * len(x) - n, len(x), 0) for i, c, p, n, x in rows],
+                                   "doc_id long, component long, pivot long, na int, lacks array<long>, adds array<long>, q int, r int, p int")
+    met, confirm = set(), minhash._confirmed_beside
+    monkeypatch.setattr(minhash, "_confirmed_beside", lambda pairs, each: met.update(
+        (min(r["a"], r["b"]), max(r["a"], r["b"])) for r in pairs.collect()) or confirm(pairs, each))
+    links = {(min(r), max(r)) for r in minhash._links_beside(pivots).collect()}
+    assert links == {(41, 42)} and len(met) <= 5 * 32 // 2 + 1  # those that share more than the fifty; all 496 pairs share them
+
+
+def test_groups_of_two_pivots_make_no_pairs(spark, monkeypatch):
+    """Variants of two texts that are alike by signature: many pairs share rare lists, none is similar."""
+    draw = random.Random(5)
+    first = [f"w{k}" for k in range(200)]
+    second = first[:170] + [f"z{k}" for k in range(30)]
+
+    def variant(words, share):
+        return " ".join(f"n{draw.random()}" if draw.random() < share else w for w in words)
+    texts = [variant(t, 0.02) for t in (first, second) for _ in range(6)] + [variant(t, 0.09) for t in (first, second) for _ in range(40)]
+    docs = list(enumerate(texts))
+    met, likely = [], minhash._likely
+    monkeypatch.setattr(minhash, "_likely", lambda pairs, reps, matches: met.append(pairs.count()) or likely(pairs, reps, matches))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    want = components(docs, 2)
+    assert got == want and len(set(want.values())) > 60
+    assert met[1] < len(docs) // 4  # 96 without the sketches
+
+
+def test_sketches_never_part_similar_sets(spark):
+    """Sketches of two sets differ in at most as many bits as there are shingles in one set only, and in an even number less."""
+    draw = random.Random(9)
+    base = [f"w{k}" for k in range(300)]
+    docs = [(i, " ".join(w for w in base if draw.random() > i / 40)) for i in range(20)] + [(20, ""), (21, "one"), (22, None)]
+    rows = {r["doc_id"]: [r[c] for c in minhash.SKETCH] for r in
+            minhash.signatures(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    assert rows[20] == rows[22] == [0] * minhash.ODD and sum((v % 2 ** 64).bit_count() for v in rows[21]) == 1
+    for i, t in docs:
+        for j, u in docs:
+            away = sum(((x ^ y) % 2 ** 64).bit_count() for x, y in zip(rows[i], rows[j], strict=True))
+            only = len(shingles(t, 2) ^ shingles(u, 2))
+            assert away <= only and (only - away) % 2 == 0
