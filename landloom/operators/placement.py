@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -88,25 +89,81 @@ def house_number_places(buildings: DataFrame, streets: DataFrame, bid: str, bgeo
 
 # -- slopes ---------------------------------------------------------------
 
-def _clip_teeth(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Shortens the teeth of one upper edge at each other, longest first."""
-    pdf = pdf.sort_values("o", kind="stable").reset_index(drop=True)
-    p = pdf[["x", "y"]].to_numpy()
-    d = pdf[["nx", "ny"]].to_numpy()
+#: Teeth up to which edges with equally many of them are clipped in one go, all pairs of an edge held at once.
+TEETH_AT_ONCE = 64
+#: Edges of a slope up to which they are held in the rows of its teeth.
+EDGES_AT_HAND = 64
+
+
+def _meet(p: np.ndarray, d: np.ndarray, q: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the rays ``p + t d`` and ``q + u e`` cross: whether they do, t and u."""
+    cross = d[..., 0] * e[..., 1] - d[..., 1] * e[..., 0]
+    rel = q - p
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (rel[..., 0] * e[..., 1] - rel[..., 1] * e[..., 0]) / cross
+        u = (rel[..., 0] * d[..., 1] - rel[..., 1] * d[..., 0]) / cross
+    return (np.abs(cross) > 1e-12) & (t > TOOTH_FREE) & (u >= 0), t, u
+
+
+def _clip_edges(p: np.ndarray, d: np.ndarray, ln: np.ndarray) -> np.ndarray:
+    """Lengths of the teeth of edges with equally many (edge, tooth), shortened at each other, longest first."""
+    ln = ln.copy()
+    each = np.arange(len(ln))
+    for i in np.argsort(-ln, axis=1, kind="stable").T:
+        meets, t, u = _meet(p[each, i][:, None], d[each, i][:, None], p, d)
+        hit = meets & (t <= ln[each, i][:, None]) & (u <= ln)
+        hit[each, i] = False
+        ln[each, i] = np.minimum(ln[each, i], np.where(hit, t, np.inf).min(axis=1))
+    return ln
+
+
+def _clip_teeth(pdf: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+    """Shortens the teeth of whole upper edges at each other; ``first`` are the rows that begin an edge."""
+    p, d = pdf[["x", "y"]].to_numpy(), pdf[["nx", "ny"]].to_numpy()
     ln = pdf["len"].to_numpy().copy()
-    for i in sorted(range(len(pdf)), key=lambda j: -ln[j]):
-        cross = d[i, 0] * d[:, 1] - d[i, 1] * d[:, 0]
-        rel = p - p[i]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = (rel[:, 0] * d[:, 1] - rel[:, 1] * d[:, 0]) / cross
-            u = (rel[:, 0] * d[i, 1] - rel[:, 1] * d[i, 0]) / cross
-        hit = (np.abs(cross) > 1e-12) & (t > TOOTH_FREE) & (t <= ln[i]) & (u >= 0) & (u <= ln)
-        hit[i] = False
-        if hit.any():
-            ln[i] = t[hit].min()
+    count = np.diff(np.append(first, len(pdf)))
+    for n in np.unique(count[count > 1]):
+        at = first[count == n][:, None] + np.arange(n)
+        if n <= TEETH_AT_ONCE:
+            # teeth only get shorter: an edge where none cross at full length stays as it is
+            meets, t, u = _meet(p[at][:, :, None], d[at][:, :, None], p[at][:, None], d[at][:, None])
+            hit = meets & (t <= ln[at][:, :, None]) & (u <= ln[at][:, None]) & ~np.eye(n, dtype=bool)
+            at = at[hit.any(axis=(1, 2))]
+        if len(at):
+            ln[at] = _clip_edges(p[at], d[at], ln[at])
     return pdf.assign(len=ln)
 
 
+def _clip_batches(batches: Iterator[pd.DataFrame], edge: list[str]) -> Iterator[pd.DataFrame]:
+    """Clips rows sorted by ``edge``; an edge that is cut by the end of a batch waits for the rest of it."""
+    held: list[pd.DataFrame] = []
+    last = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        new = np.ones(len(pdf), dtype=bool)
+        for k, c in enumerate(edge):
+            key = pdf[c].to_numpy()
+            new[1:] = (key[1:] != key[:-1]) if k == 0 else new[1:] | (key[1:] != key[:-1])
+        new[0] = last is None or last != tuple(pdf[c].iloc[0] for c in edge)
+        last = tuple(pdf[c].iloc[-1] for c in edge)
+        begins = np.flatnonzero(new)
+        if len(begins):
+            yield from _clip_held([*held, pdf.iloc[:begins[-1]]], edge)
+            held = [pdf.iloc[begins[-1]:]]
+        else:
+            held.append(pdf)
+    yield from _clip_held(held, edge)
+
+
+def _clip_held(parts: list[pd.DataFrame], edge: list[str]) -> Iterator[pd.DataFrame]:
+    if parts and sum(map(len, parts)):
+        pdf = pd.concat([x for x in parts if len(x)], ignore_index=True)
+        new = (pdf[edge] != pdf[edge].shift()).any(axis=1).to_numpy()
+        new[0] = True
+        yield _clip_teeth(pdf, np.flatnonzero(new))
+
+
 def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part: str = "part", cell: float = 32.0,
                 upper: int = 1220, lower: int = 1230) -> DataFrame:
     """Hatching of slopes: ``slope, upper, o, x, y, tx, ty`` with long and short teeth.
@@ -115,6 +172,8 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     the slope in their way; where teeth cross, the longest goes first.  Between
     two long teeth stands a short one of half their mean length.
     """
+    # read five times below
+    edges = cut_lineage(edges)
     top = edges.filter(F.col(art) == upper).withColumn("upper", F.xxhash64(F.col(part))).withColumn("_ol", G.part_length(F.col(part)))
     top = top.filter(F.col("_ol") >= TOOTH_STEP).select(slope, "upper", "_ol", F.col(part).alias("_p"))
     low = edges.filter(F.col(art) == lower).select(F.col(slope).alias("_s"), F.col(part).alias("_lp"))
@@ -126,8 +185,10 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     first, last = G.start_vertex(F.col("_p")), G.end_vertex(F.col("_p"))
     closest = lambda v: F.array_min(F.transform("_lp", lambda q: F.struct(
         G.dist(q["x"], q["y"], v["x"], v["y"]).alias("d"), q["x"].alias("x"), q["y"].alias("y"))))
+    # the probe is worked out once per pair, not once per use in the distance
+    away = lambda off: G.let(probe(off), lambda g: G.distance(g, F.col("_lg")))
     info = ends.groupBy(slope, "upper").agg(
-        F.min(G.distance(probe(-0.001), "_lg")).alias("_dr"), F.min(G.distance(probe(0.001), "_lg")).alias("_dl"),
+        F.min(away(-0.001)).alias("_dr"), F.min(away(0.001)).alias("_dl"),
         F.min(closest(first)).alias("_c0"), F.min(closest(last)).alias("_c1"))
     side = F.when(F.col("_dr") > F.col("_dl"), -1.0).otherwise(1.0)
     # used four times below: one row per upper edge
@@ -136,15 +197,21 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     seg = lambda v, c: F.struct(v.alias("a"), G.vertex(c["x"], c["y"]).alias("b"))
     join_up = top.filter("_c0 IS NOT NULL").select(slope, F.explode(F.array(seg(first, F.col("_c0")), seg(last, F.col("_c1")))).alias("_e"))
     cuts = edges.select(slope, F.explode(G.segments(F.col(part))).alias("_e")).unionByName(join_up)
-    cuts = cuts.filter(G.seg_length(F.col("_e")) > 0).select(F.col(slope).alias("_cs"), "_e", G.line(F.array(F.col("_e.a"), F.col("_e.b"))).alias("_cg"))
+    cuts = cuts.filter(G.seg_length(F.col("_e")) > 0).select(F.col(slope).alias("_cs"), "_e")
     v = F.col("_v")
     far = (edges.select(slope, F.explode(part).alias("_v")).groupBy(slope).agg(
         F.min(v["x"]).alias("x0"), F.max(v["x"]).alias("x1"), F.min(v["y"]).alias("y0"), F.max(v["y"]).alias("y1"))
         .select(slope, (G.dist(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")) * 1.1).alias("_far")))
+    # the edges of a slope with few of them travel with its teeth, those of any other are met on the grid
+    cuts = cut_lineage(cuts)
+    many = cuts.groupBy(F.col("_cs").alias(slope)).agg(F.count(F.lit(1)).alias("_n"))
+    few = cuts.join(many.filter(F.col("_n") <= EDGES_AT_HAND), F.col("_cs") == F.col(slope), "left_semi").groupBy(
+        F.col("_cs").alias(slope)).agg(F.collect_list("_e").alias("_es"))
+    far = far.join(few, slope, "left")
 
     def stand(df, o):
         """Foot and direction of a tooth at distance ``o``."""
-        at = lambda d: G.interpolate(F.col("_p"), (o + d) / F.col("_ol"))
+        at = lambda d: G.interpolate(F.col("_p"), (o + d) / F.col("_ol"), F.col("_ol"))
         df = df.withColumn("_a", at(0.0)).withColumn("_b", at(0.001))
         ln = G.dist(F.col("_a.x"), F.col("_a.y"), F.col("_b.x"), F.col("_b.y"))
         return df.select("*", F.col("_a.x").alias("x"), F.col("_a.y").alias("y"),
@@ -155,20 +222,36 @@ def slope_teeth(edges: DataFrame, slope: str = "slope", art: str = "art", part:
     count = F.ceil((F.col("_ol") - TOOTH_END - begin) / TOOTH_STEP)
     rays = (top.join(far, slope).filter(count > 0).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
             .withColumn("o", begin + F.col("_i") * TOOTH_STEP))
-    rays = stand(rays, F.col("o")).drop("_c0", "_c1")
-    rays = cut_lineage(rays.withColumn("_ray", G.line(F.array(
-        G.vertex("x", "y"), G.vertex(F.col("x") + F.col("nx") * F.col("_far"), F.col("y") + F.col("ny") * F.col("_far"))))))
-
-    met = grid_join(rays.select(slope, "upper", "o", "x", "y", "nx", "ny", "_ray"), cuts, "_ray", "_cg", cell, on=[(slope, "_cs")])
-    ex, ey = F.col("_e.b.x") - F.col("_e.a.x"), F.col("_e.b.y") - F.col("_e.a.y")
-    rx, ry = F.col("_e.a.x") - F.col("x"), F.col("_e.a.y") - F.col("y")
-    cross = F.col("nx") * ey - F.col("ny") * ex
-    met = met.filter(F.abs(cross) > 1e-12).withColumn("_t", (rx * ey - ry * ex) / cross).withColumn("_u", (rx * F.col("ny") - ry * F.col("nx")) / cross)
-    hits = met.filter((F.col("_t") > TOOTH_FREE) & F.col("_u").between(-1e-9, 1 + 1e-9)).groupBy(slope, "upper", "o").agg(F.min("_t").alias("len"))
-    full = rays.select(slope, "upper", "o", "x", "y", "nx", "ny").join(hits, [slope, "upper", "o"])
-    # one group is the teeth of one upper edge, so it is as large as that geometry
+    rays = stand(rays.drop("_c0", "_c1"), F.col("o"))
+    end = G.vertex(F.col("x") + F.col("nx") * F.col("_far"), F.col("y") + F.col("ny") * F.col("_far"))
+
+    def crossing(e):
+        """Distances along the tooth and along the edge ``e`` where their lines cross; null for parallel ones."""
+        ex, ey = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        rx, ry = e["a"]["x"] - F.col("x"), e["a"]["y"] - F.col("y")
+        return G.let(F.col("nx") * ey - F.col("ny") * ex, lambda c: F.when(F.abs(c) > 1e-12, F.struct(
+            ((rx * ey - ry * ex) / c).alias("t"), ((rx * F.col("ny") - ry * F.col("nx")) / c).alias("u"))))
+
+    meets = lambda c: (c["t"] > TOOTH_FREE) & c["u"].between(-1e-9, 1 + 1e-9)
+    reached = lambda e: (F.greatest(e["a"]["x"], e["b"]["x"]) >= F.least(F.col("x"), F.col("_end.x"))) & (
+        F.least(e["a"]["x"], e["b"]["x"]) <= F.greatest(F.col("x"), F.col("_end.x"))) & (
+        F.greatest(e["a"]["y"], e["b"]["y"]) >= F.least(F.col("y"), F.col("_end.y"))) & (
+        F.least(e["a"]["y"], e["b"]["y"]) <= F.greatest(F.col("y"), F.col("_end.y")))
+    at_hand = F.array_min(F.transform(F.filter(F.transform(F.filter("_es", reached), crossing), meets), lambda c: c["t"]))
+    rays = cut_lineage(rays.withColumn("_end", end).withColumn("len", at_hand).withColumn("_grid", F.col("_es").isNull())
+                       .select(slope, "upper", "o", "x", "y", "nx", "ny", "_end", "len", "_grid"))
+
+    apart = rays.filter("_grid").select(slope, "upper", "o", "x", "y", "nx", "ny", G.line(F.array(G.vertex("x", "y"), F.col("_end"))).alias("_ray"))
+    large = cuts.join(many.filter(F.col("_n") > EDGES_AT_HAND), F.col("_cs") == F.col(slope), "left_semi")
+    met = grid_join(apart, large.withColumn("_cg", G.line(F.array(F.col("_e.a"), F.col("_e.b")))), "_ray", "_cg", cell, on=[(slope, "_cs")])
+    hits = met.withColumn("_c", crossing(F.col("_e"))).filter(meets(F.col("_c"))).groupBy(slope, "upper", "o").agg(F.min("_c.t").alias("len"))
+    foot = [slope, "upper", "o", "x", "y", "nx", "ny"]
+    full = rays.filter("NOT _grid AND len IS NOT NULL").select(*foot, "len").unionByName(
+        rays.filter("_grid").select(*foot).join(hits, [slope, "upper", "o"]))
+    # a task takes many edges at a time and holds whole edges: as much as a batch, or one edge if that is larger
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in full.schema.fields)
-    clipped = cut_lineage(full.groupBy(slope, "upper").applyInPandas(_clip_teeth, types))
+    sorted_ = full.repartition(slope, "upper").sortWithinPartitions(slope, "upper", "o")
+    clipped = cut_lineage(sorted_.mapInPandas(lambda batches: _clip_batches(batches, [slope, "upper"]), types))
 
     from pyspark.sql import Window
     w = Window.partitionBy(slope, "upper").orderBy("o")

@@ -324,3 +324,54 @@ def test_nearest_ends_on_missing_geometries(spark):
              .union(base.select(F.lit("b"), F.lit(9), F.lit(None))))
     got = placement.nearest(left, right, "id", "g", "rg", [("k", "rk")], ["rid"]).select("id", "rid", "distance").collect()
     assert [(r.id, r.rid, round(r.distance, 6)) for r in got] == [(1, 7, 499.0)]
+
+
+def plain_clip(p, d, ln):
+    """Teeth of one edge, longest first, each cut at the nearest tooth that still crosses it."""
+    ln = list(ln)
+    for i in sorted(range(len(ln)), key=lambda j: -ln[j]):
+        best = ln[i]
+        for j in range(len(ln)):
+            cross = d[i][0] * d[j][1] - d[i][1] * d[j][0]
+            if j == i or abs(cross) <= 1e-12:
+                continue
+            rx, ry = p[j][0] - p[i][0], p[j][1] - p[i][1]
+            t, u = (rx * d[j][1] - ry * d[j][0]) / cross, (rx * d[i][1] - ry * d[i][0]) / cross
+            if 0.01 < t <= ln[i] and 0 <= u <= ln[j]:
+                best = min(best, t)
+        ln[i] = best
+    return ln
+
+
+def test_teeth_of_many_edges_are_clipped_together():
+    """Edges come many to a batch, also cut by its end; before, each was a call of its own."""
+    import pandas as pd
+    from landloom.operators import placement
+    rng = np.random.default_rng(4)
+    rows, want = [], []
+    for edge in range(60):
+        n = int(rng.choice([1, 2, 5, 9, 9, 80]))
+        a = rng.uniform(0, 2 * np.pi, n) if edge % 3 else np.full(n, 1.0)
+        p, d, ln = np.c_[np.arange(n) * 6.0, rng.uniform(0, 1, n)], np.c_[np.cos(a), np.sin(a)], rng.choice([3.0, 10.0, 40.0], n)
+        rows += [(edge // 2, edge, i * 6.0, *p[i], *d[i], ln[i]) for i in range(n)]
+        want += plain_clip(p, d, ln)
+    df = pd.DataFrame(rows, columns=["slope", "upper", "o", "x", "y", "nx", "ny", "len"])
+    assert (df["len"].to_numpy() != np.array(want)).any()
+    for size in (7, 100, len(df)):
+        calls = list(placement._clip_batches((df.iloc[i:i + size] for i in range(0, len(df), size)), ["slope", "upper"]))
+        got = pd.concat(calls)
+        assert got[["slope", "upper", "o"]].to_numpy().tolist() == df[["slope", "upper", "o"]].to_numpy().tolist()
+        assert np.array_equal(got["len"].to_numpy(), np.array(want))
+        assert len(calls) <= -(-len(df) // size) + 1
+
+
+def test_edges_at_hand_or_on_the_grid_cut_the_same_teeth(spark, monkeypatch):
+    from landloom.operators import placement
+    up = [(0.0, 0.0), (25.0, 3.0), (40.0, -4.0), (61.0, 0.0)]
+    low = [(0.0, -20.0), (10.0, -12.0), (30.0, -26.0), (61.0, -18.0)]
+    rows = [(s, art, [(x + 7 * s, y * (1 + s / 10)) for x, y in line]) for s in range(6) for art, line in ((1220, up), (1230, low), (1230, low[:2]))]
+    edges = spark.createDataFrame(rows, "slope int, art int, part array<struct<x:double,y:double>>")
+    teeth = lambda: sorted(tuple(r) for r in placement.slope_teeth(edges).collect())
+    near = teeth()
+    monkeypatch.setattr(placement, "EDGES_AT_HAND", 0)
+    assert len(near) > 80 and teeth() == near
