@@ -375,3 +375,54 @@ def test_edges_at_hand_or_on_the_grid_cut_the_same_teeth(spark, monkeypatch):
     near = teeth()
     monkeypatch.setattr(placement, "EDGES_AT_HAND", 0)
     assert len(near) > 80 and teeth() == near
+
+
+def test_ownership_walks_each_booking_once(spark, monkeypatch):
+    """Parcels share bookings, keys hold several parcels (one key is missing); numbers run on across sheets' lists."""
+    from fractions import Fraction
+    from landloom.checks import q_register
+    from landloom.checks.fixtures import Data
+    from landloom.plans import register as R
+    p = q_register.parcels(Data(spark, "/root/testdata/sf0.001")).filter("psize < 30")
+    p = p.withColumn("istgebucht", F.concat(F.lit("K"), (F.col("ogc_fid") % 7).cast("string")))
+    p = p.unionByName(p.filter("psize % 3 = 0").withColumn("istgebucht", F.lit("K1"))).withColumn(
+        "gemarkungsnummer", F.when(F.col("psize") != 7, F.col("gemarkungsnummer")))
+    rng = random.Random(8)
+    # K0..K5 belong to parcels (K6 is no booking), the others hang below one or two of those before them
+    rows = [(f"K{i}", f"S{rng.randrange(5)}", None if i < 6 else [f"K{rng.randrange(i)}" for _ in range(rng.choice([1, 2]))], rng.randint(1, 3),
+             rng.randint(2, 7), rng.choice([1, 2, None]), rng.choice(["1", "2", "10", None]), None) for i in range(30) if i != 6]
+    bookings = spark.createDataFrame(rows, "gml_id string, istbestandteilvon string, an array<string>, zaehler int, nenner int, buchungsart int, "
+                                           "laufendenummer string, endet string")
+    sheets = spark.createDataFrame([(f"S{i}", "14", str(10 + i), str(i), "5000" if i == 4 else "1000", None) for i in range(5)],
+                                   "gml_id string, land string, bezirk string, buchungsblattnummermitbuchstabenerweiterung string, blattart string, endet string")
+    roots = []
+    walk = shares.walk
+    monkeypatch.setattr(shares, "walk", lambda r, *a, **k: roots.append(r.count()) or walk(r, *a, **k))
+    monkeypatch.setattr(R, "COUNT_TOGETHER", 3)
+    out = R.ownership(p, bookings, sheets, reduce=True)
+    got = sorted(map(tuple, out.select("flsnr", "bestdnr", "b", "auftlnr", "zaehler", "nenner", "bvnr").collect()), key=repr)
+    assert roots == [6]
+    assert "Window" not in out.select("flsnr", "bestdnr", "anteil")._jdf.queryExecution().optimizedPlan().toString()
+
+    place = {r.istbestandteilvon: r for r in R.open_sheets(sheets).collect()}
+    want = {}
+
+    def visit(key, row, share, path):
+        at = place[row[1]]
+        if at.blattart != "5000":
+            k = (key, at.bestdnr, row[5], row[6])
+            want[k] = want.get(k, 0) + share
+        for nxt in rows:
+            if nxt[2] and row[0] in nxt[2] and nxt[0] not in path:
+                visit(key, nxt, share * Fraction(nxt[3], nxt[4]), [*path, nxt[0]])
+
+    for r in R.with_keys(p).collect():
+        for row in rows:
+            if row[0] == r.istgebucht:
+                visit(r.flsnr, row, Fraction(row[3], row[4]), [row[0]])
+    first = lambda v: (v is not None, v if v is not None else 0)
+    listed = []
+    for sheet in {k[1] for k in want}:
+        mine = sorted((k for k in want if k[1] == sheet), key=lambda k: (k[3] is not None, k[3] or "", k[0] is not None, k[0] or "", first(k[2])))
+        listed += [(*k, str(want[k].numerator), str(want[k].denominator), f"{i + 1:04d}") for i, k in enumerate(mine)]
+    assert any(k[0] is None for k in want) and got == sorted(listed, key=repr)
