@@ -15,6 +15,8 @@ from .spatial import grid_join
 
 # Inset of building outlines and shortest edge for a number, in metres.
 NUMBER_INSET, NUMBER_EDGE = 1.9, 1.5
+#: Grids on which right rows are counted before a search, and how much finer each is than the one before.
+STEPS, FINER = 4, 8
 # Tooth spacing and tooth limits of slopes, in metres.
 TOOTH_STEP, TOOTH_END, TOOTH_FREE = 6.0, 3.0, 0.01
 
@@ -25,6 +27,9 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, lgeom: str, rgeom: str,
 
     Looks around each left geometry in a window that doubles until something is
     found, so the rows of a key are never paired with each other as a whole.
+    The first window fits the number of right rows close by, ``start`` is its
+    size where there are none.  Of right rows with one key and one geometry only
+    the first in ``order`` is met.
     Adds the right columns and ``distance``; ties go to the smallest ``order``.
     Rows without a geometry are no neighbours and have none: every row that is
     searched for has a partner at a finite distance, so the doubling ends.
@@ -32,24 +37,49 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, lgeom: str, rgeom: str,
     left, right = left.filter(T.col(lgeom).isNotNull()), right.filter(T.col(rgeom).isNotNull())
     have = right.select(*[F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(on)]).distinct()
     todo = left.join(have, [F.col(a) == F.col(f"_k{i}") for i, (a, _) in enumerate(on)], "left_semi")
-    todo = cut_lineage(todo)
     keep = [c for c in right.columns]
-    found, reach = None, float(start)
-    while not todo.isEmpty():
+    here = [b for _, b in on] + [rgeom]
+    right = cut_lineage(right.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(here)]).agg(
+        F.min_by(F.struct(*keep), F.struct(*order)).alias("_r")).select("_r.*"))
+    todo = cut_lineage(todo)
+    todo = cut_lineage(todo.join(_first_reach(todo, right, lid, lgeom, rgeom, on, float(start)), lid, "left")
+                       .withColumn("_reach", F.coalesce("_reach", F.lit(float(start)))))
+    found, reach = None, F.col("_reach")
+    while (cell := todo.agg(F.min("_reach")).first()[0]) is not None:
         b = F.col("_box")
         window = todo.withColumn("_box", G.bbox(lgeom)).withColumn("_win", G.rectangle(
             b["xmin"] - reach, b["ymin"] - reach, b["xmax"] + reach, b["ymax"] + reach)).drop("_box")
-        near = grid_join(window, right, "_win", rgeom, reach, on=on).withColumn("distance", G.distance(lgeom, rgeom))
+        near = grid_join(window, right, "_win", rgeom, cell, on=on).withColumn("distance", G.distance(lgeom, rgeom))
         best = (near.filter(F.col("distance") <= reach).groupBy(lid)
                 .agg(F.min_by(F.struct(*keep, "distance"), F.struct("distance", *order)).alias("_r")))
         best = cut_lineage(best.select(lid, *[F.col(f"_r.{c}").alias(c) for c in keep], F.col("_r.distance").alias("distance")))
         found = best if found is None else found.unionByName(best)
-        todo = cut_lineage(todo.join(best.select(lid), lid, "left_anti"))
-        reach *= 2
+        todo = cut_lineage(todo.join(best.select(lid), lid, "left_anti").withColumn("_reach", reach * 2))
     out = found if found is not None else todo.limit(0).select(lid).join(right.limit(0).withColumn("distance", F.lit(0.0)), F.lit(False))
     return left.join(out, lid, "inner")
 
 
+def _first_reach(left: DataFrame, right: DataFrame, lid: str, lgeom: str, rgeom: str, on: list[tuple[str, str]], start: float) -> DataFrame:
+    """A first window per ``lid`` in the finest of some grids whose cell around it holds a right row.
+
+    It only decides how many right rows are looked at first, not which is found.
+    """
+    def cells(df, geom, keys):
+        b = G.bbox(geom)
+        at = df.select(*keys, ((b["xmin"] + b["xmax"]) / 2).alias("_x"), ((b["ymin"] + b["ymax"]) / 2).alias("_y"))
+        size = F.lit(start) / F.pow(F.lit(float(FINER)), F.col("_step"))
+        return (at.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(STEPS)))).withColumn("_size", size)
+                .withColumn("_cx", F.floor(F.col("_x") / F.col("_size"))).withColumn("_cy", F.floor(F.col("_y") / F.col("_size"))))
+
+    names = [f"_on{i}" for i in range(len(on))]
+    by = [*names, "_step", "_cx", "_cy"]
+    many = cells(right, rgeom, [F.col(b).alias(n) for n, (_, b) in zip(names, on)]).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    met = cells(left, lgeom, [lid, *[F.col(a).alias(n) for n, (a, _) in zip(names, on)]]).join(many, by)
+    finest = met.groupBy(lid).agg(F.max(F.struct("_step", "_size", "_n")).alias("_c"))
+    side, n = F.col("_c._size"), F.col("_c._n")
+    return finest.select(lid, F.least(1.5 * side, F.greatest(side / FINER, 3 * side / F.sqrt(n))).alias("_reach"))
+
+
 def upright(angle: Column) -> Column:
     """Angle in 0..2 pi turned by half a turn where text would stand on its head."""
     a = F.pmod(angle, F.lit(2 * math.pi))

@@ -426,3 +426,21 @@ def test_ownership_walks_each_booking_once(spark, monkeypatch):
         mine = sorted((k for k in want if k[1] == sheet), key=lambda k: (k[3] is not None, k[3] or "", k[0] is not None, k[0] or "", first(k[2])))
         listed += [(*k, str(want[k].numerator), str(want[k].denominator), f"{i + 1:04d}") for i, k in enumerate(mine)]
     assert any(k[0] is None for k in want) and got == sorted(listed, key=repr)
+
+
+def test_nearest_meets_few_of_a_crowd(spark, monkeypatch):
+    """Rows far closer than the first window, several at one spot; before, every left row met all of them."""
+    from landloom.operators import placement
+    rng = random.Random(6)
+    spots = [(i, rng.choice("ab"), *rng.choice([(rng.uniform(0, 9), rng.uniform(0, 9)), (3.0, 3.0), (900.0, 4000.0)])) for i in range(400)]
+    seek = [(i, rng.choice("ab"), rng.uniform(-2, 11), rng.uniform(-2, 11)) for i in range(150)] + [(150, "a", 3.0, 3.0), (151, "b", -5000.0, 70.0)]
+    right = spark.createDataFrame(spots, "rid int, rk string, x double, y double").select("rid", "rk", G.point("x", "y").alias("rg"))
+    left = spark.createDataFrame(seek, "id int, k string, x double, y double").select("id", "k", G.point("x", "y").alias("g"))
+    met = []
+    join = placement.grid_join
+    monkeypatch.setattr(placement, "grid_join", lambda *a, **kw: met.append(j := join(*a, **kw).localCheckpoint()) or j)
+    got = {r.id: (r.rid, r.distance) for r in placement.nearest(left, right, "id", "g", "rg", [("k", "rk")], ["rid"], start=512.0).collect()}
+    for i, k, x, y in seek:
+        d, rid = min((float(np.sqrt((q - x) * (q - x) + (v - y) * (v - y))), r) for r, m, q, v in spots if m == k)
+        assert got[i] == (rid, d)
+    assert sum(j.count() for j in met) < 152 * 400 / 5
