@@ -345,8 +345,12 @@ def _(d):
 
 
 def pair_full(d):
-    return d.sql("""SELECT pid, uid FROM (SELECT p.pid, p.x0 AS a, p.x1 AS b, p.y0 AS c, p.y1 AS d FROM parcel p) q
-                    JOIN usearea u ON a >= u.x0 AND b <= u.x1 AND c >= u.y0 AND d <= u.y1""")
+    # a parcel lies inside an area only if its lower left corner does: corners meet areas on the grid
+    box = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("x0", "y0", "x1", "y1")]
+    p = d.split(d["parcel"]).select("pid", *box("p"), G.point("x0", "y0").alias("corner"))
+    u = d.split(d["usearea"]).select("uid", *box("u"), G.rectangle("x0", "y0", "x1", "y1").alias("ug"))
+    met = spatial.grid_join(p, u, "corner", "ug", CELL)
+    return met.filter("px0 >= ux0 AND px1 <= ux1 AND py0 >= uy0 AND py1 <= uy1").select("pid", "uid")
 
 
 @query("g23_shared_borders", """

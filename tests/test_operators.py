@@ -444,3 +444,16 @@ def test_nearest_meets_few_of_a_crowd(spark, monkeypatch):
         d, rid = min((float(np.sqrt((q - x) * (q - x) + (v - y) * (v - y))), r) for r, m, q, v in spots if m == k)
         assert got[i] == (rid, d)
     assert sum(j.count() for j in met) < 152 * 400 / 5
+
+
+def test_parcels_inside_areas_meet_on_the_grid(spark):
+    """The pairs are those of the plain condition, without comparing every parcel with every area."""
+    from landloom.checks import q_geometry
+    from landloom.checks.fixtures import Data
+    d = Data(spark, "/root/testdata/sf0.001")
+    got = q_geometry.pair_full(d)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the one row of grid levels is joined without a condition
+    assert not [line for line in plan.splitlines() if ("NestedLoop" in line or "Cartesian" in line) and "x0" in line]
+    want = d.sql("SELECT pid, uid FROM parcel p JOIN usearea u ON p.x0 >= u.x0 AND p.x1 <= u.x1 AND p.y0 >= u.y0 AND p.y1 <= u.y1")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
